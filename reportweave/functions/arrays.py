@@ -20,6 +20,15 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def settled(value: Column, name: str) -> Column:
+    """``value`` as a generated column, for use in ``select``.
+
+    A filter on a plain column is pushed below the projection that computes it, with the whole
+    expression copied into the filter. A filter on a generated column stays above.
+    """
+    return F.explode_outer(F.array(value)).alias(name)
+
+
 def running_flags(
     values: Column,
     start: Column,

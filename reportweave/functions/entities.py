@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from reportweave import vocab
 from reportweave.functions import text as tx
 from reportweave.functions.arrays import bind, running_flags
+from reportweave.functions.labels import literal_array, sql_text
 
 ENTITY_TYPE = (
     "struct<entity_group:string,score:double,word:string,start:int,end:int,negated:boolean,"
@@ -87,16 +88,11 @@ def longest_phrases(tokens: Column, hits: Column, phrases: Mapping[str, str]) ->
     heads = sorted(first_words(phrases))
 
     def entries(length: int) -> Column:
-        return F.create_map(
-            *[
-                c
-                for phrase, label in by_length[length].items()
-                for c in (
-                    F.lit(phrase),
-                    F.struct(F.lit(label).alias("label"), F.lit(length).alias("n")),
-                )
-            ]
-        )
+        pairs = [
+            f"{sql_text(phrase)}, named_struct('label', {sql_text(label)}, 'n', {length})"
+            for phrase, label in by_length[length].items()
+        ]
+        return F.expr(f"map({', '.join(pairs)})")
 
     def longest_at(words: Column, hit: Column) -> Column:
         def surface(length: int) -> Column:
@@ -269,7 +265,7 @@ def first_overlap_negated(entities: Column, spans: Column, closed: bool = True)
         return F.coalesce(first["entity_group"] == "negated", F.lit(False))
 
     return bind(
-        F.coalesce(spans, F.array().cast("array<struct<entity_group:string,start:int,end:int>>")),
+        spans,
         lambda all_spans: F.transform(
             entities, lambda e: e.withField("negated", flag(e, all_spans))
         ),
@@ -366,7 +362,7 @@ def domain_count_columns(entities: Column, domains: Sequence[str] = vocab.DOMAIN
 
 def domain_codes(entities: Column, domains: Sequence[str] = vocab.DOMAINS) -> Column:
     """One number per entity for label and assertion; labels outside the list are left out."""
-    names = F.array(*[F.lit(d) for d in domains])
+    names = literal_array(domains)
     codes = F.transform(
         entities,
         lambda e: F.array_position(names, e["entity_group"]).cast("int") * 2

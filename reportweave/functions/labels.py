@@ -17,8 +17,19 @@ def normalise_label(label: Column, separator: str = "_") -> Column:
     return F.replace(F.translate(label, other, separator), F.lit("ophthalm"), F.lit("opthalm"))
 
 
-def literal_map(mapping: Mapping[str, object]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+def sql_text(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_map(mapping: Mapping[str, str]) -> Column:
+    """Constant map, written as one SQL expression: a call per entry would be slow to build."""
+    return F.expr(f"map({', '.join(sql_text(x) for pair in mapping.items() for x in pair)})")
+
+
+def literal_array(values: Sequence[str]) -> Column:
+    """Constant array, written as one SQL expression."""
+    return F.expr(f"array({', '.join(sql_text(v) for v in values)})")
 
 
 def map_label(label: Column, names: Mapping[str, str], strict: bool = True) -> Column:
@@ -51,6 +62,8 @@ def first_choice(accept: Column) -> Column:
 def encode(labels: Column, vocabulary: Column) -> Column:
     """Ids of labels: their place in the vocabulary array, 0 first.
 
+    The vocabulary must be a column: Spark allows no subquery inside an array function.
+
     Most tags are the outside tag, so its id is looked up once per row.
     """
 
@@ -79,7 +92,7 @@ def argmax_index(scores: Column) -> Column:
 
 
 def argmax_label(scores: Column, names: Sequence[str]) -> Column:
-    return F.get(F.array(*[F.lit(n) for n in names]), argmax_index(scores))
+    return F.get(literal_array(names), argmax_index(scores))
 
 
 def argmax_probability(scores: Column) -> Column:
@@ -114,4 +127,4 @@ def first_piece_labels(word_ids: Column, labels: Column) -> Column:
 
 
 def keep_labels(labels: Column, keep: Sequence[str]) -> Column:
-    return F.array_intersect(labels, F.array(*[F.lit(k) for k in keep]))
+    return F.array_intersect(labels, literal_array(keep))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from reportweave.functions import entities as en
 from reportweave.functions import text as tx
-from reportweave.functions.arrays import bind
+from reportweave.functions.arrays import bind, settled
 
 _MARKS = "array<struct<label:string,tok_start:int,tok_end:int>>"
 
@@ -126,7 +126,7 @@ def annotate(
         ),
     )
     extra = [F.col("_toks").alias(keep_tokens)] if keep_tokens else []
-    return work.select(*[F.col(c) for c in columns if c != out], ents.alias(out), *extra)
+    return work.select(*[F.col(c) for c in columns if c != out], settled(ents, out), *extra)
 
 
 def assertions(
@@ -152,4 +152,4 @@ def assertions(
             ),
         ),
     )
-    return work.select(*columns, ents.alias(out))
+    return work.select(*columns, settled(ents, out))

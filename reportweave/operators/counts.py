@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reportweave import vocab
 from reportweave.functions import entities as en
+from reportweave.functions.labels import literal_array
 
 
 def domain_counts(
@@ -72,7 +73,7 @@ def triplet_counts(
 
 
 def _position(value: Column, names: Sequence[str]) -> Column:
-    return F.array_position(F.array(*[F.lit(n) for n in names]), value).cast("int") - 1
+    return F.array_position(literal_array(names), value).cast("int") - 1
 
 
 def triplet_tensor(docs: DataFrame, counts: DataFrame, doc_id: str = "doc_id") -> DataFrame:

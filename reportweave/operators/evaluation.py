@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportweave import vocab
+from reportweave.functions.labels import literal_array
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -35,11 +36,11 @@ def binarise_labels(
     Classes are the labels seen in any gold list; labels predicted only are dropped, so they
     count nowhere. ``classes='keep_list'`` takes the whole keep list.
     """
-    rows = df.select(
+    rows = df.withColumn("_classes", _class_array(df, keep, gold, classes)).select(
         doc_id,
         F.explode(
             F.transform(
-                _class_array(df, keep, gold, classes),
+                "_classes",
                 lambda l: F.struct(
                     l.alias("label"),
                     F.coalesce(F.array_contains(gold, l), F.lit(False)).alias("gold"),
@@ -53,7 +54,7 @@ def binarise_labels(
 
 def _class_array(df: DataFrame, keep: Sequence[str], gold: str, classes: str) -> Column:
     """Sorted classes as one array: a constant, or a scalar over the gold lists."""
-    names = F.array(*[F.lit(k) for k in sorted(keep)])
+    names = literal_array(sorted(keep))
     if classes == "keep_list":
         return names
     # One flag per label of the keep list: the aggregate is as wide as the list, whatever the data.
@@ -79,7 +80,7 @@ def multilabel_confusion(
     classes: str = "gold",
 ) -> DataFrame:
     """``label, tn, fp, fn, tp`` over all documents."""
-    names = F.array(*[F.lit(k) for k in keep])
+    names = literal_array(keep)
     long = df.select(
         F.explode(
             F.transform(
@@ -119,10 +120,10 @@ def specificity(confusion: DataFrame) -> DataFrame:
                 F.lit("micro avg").alias("label"),
                 _ratio(F.sum("tn"), F.sum(F.col("tn") + F.col("fp"))).alias("specificity"),
             ),
-            F.struct(F.lit("macro avg"), F.when(complete, F.avg(spec))),
+            F.struct(F.lit("macro avg").alias("label"), F.when(complete, F.avg(spec)).alias("specificity")),
             F.struct(
-                F.lit("weighted avg"),
-                F.when(complete, _ratio(F.sum(spec * support), F.sum(support))),
+                F.lit("weighted avg").alias("label"),
+                F.when(complete, _ratio(F.sum(spec * support), F.sum(support))).alias("specificity"),
             ),
         ).alias("a")
     )
@@ -230,7 +231,10 @@ def class_report(df: DataFrame, gold: str = "gold", pred: str = "pred") -> DataF
                     F.col("g").alias("label"), hit.alias("tp"), F.col("n").alias("support"),
                     zero.alias("predicted"),
                 ),
-                F.struct(F.col("p"), zero, zero, F.col("n")),
+                F.struct(
+                    F.col("p").alias("label"), zero.alias("tp"), zero.alias("support"),
+                    F.col("n").alias("predicted"),
+                ),
             )
         )
     )
@@ -244,17 +248,18 @@ def class_report(df: DataFrame, gold: str = "gold", pred: str = "pred") -> DataF
     )
     accuracy = _or_zero(_ratio(F.sum("tp"), F.sum("support")))
     weighted = lambda c: _or_zero(_ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")))
-    total = F.sum("support")
+
+    def line(name: str, precision: Column, recall: Column, f1: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("label"), precision.alias("precision"), recall.alias("recall"),
+            f1.alias("f1"), F.sum("support").alias("support"),
+        )
+
     averages = per_class.agg(
         F.array(
-            F.struct(
-                F.lit("accuracy").alias("label"), accuracy.alias("precision"),
-                accuracy.alias("recall"), accuracy.alias("f1"), total.alias("support"),
-            ),
-            F.struct(F.lit("macro avg"), F.avg("precision"), F.avg("recall"), F.avg("f1"), total),
-            F.struct(
-                F.lit("weighted avg"), weighted("precision"), weighted("recall"), weighted("f1"), total
-            ),
+            line("accuracy", accuracy, accuracy, accuracy),
+            line("macro avg", F.avg("precision"), F.avg("recall"), F.avg("f1")),
+            line("weighted avg", weighted("precision"), weighted("recall"), weighted("f1")),
         ).alias("a")
     ).select(F.inline("a"))
     return per_class.drop("tp").unionByName(averages)
@@ -274,7 +279,7 @@ def label_errors(
     With ``ents``, the asserted entities of the keep list as ``(word, entity_group)`` too.
     Both lists sit in the row, so no join is needed.
     """
-    kept = F.array(*[F.lit(k) for k in keep]) if classes == "keep_list" else _class_array(
+    kept = literal_array(keep) if classes == "keep_list" else _class_array(
         df, keep, gold, classes
     )
     columns = [doc_id]
@@ -307,7 +312,7 @@ def gold_vs_pred(
     gold: str = "gold", pred: str = "pred", doc_id: str = "doc_id",
 ) -> DataFrame:
     """``doc_id, label, prediction``: both lists reduced to the keep list and sorted."""
-    names = F.array(*[F.lit(k) for k in keep])
+    names = literal_array(keep)
     pick = lambda c: F.array_sort(F.array_intersect(c, names))
     return df.select(doc_id, pick(gold).alias("label"), pick(pred).alias("prediction"))
 

@@ -135,20 +135,21 @@ def ancestor_closure(deps: DataFrame, doc_id: str = "doc_id") -> DataFrame:
         own = F.transform(heads, lambda h, k: k)
         none = F.array().cast("array<array<int>>")
 
+        def next_level(acc: Column, up: Column) -> Column:
+            return F.struct(
+                up.alias("now"),
+                F.array_append(acc["all"], up).alias("all"),
+                (~F.exists(up, lambda p: p.isNotNull())).alias("done"),
+            )
+
         def round_(acc: Column, _: Column) -> Column:
-            done = ~F.exists(acc["now"], lambda p: p.isNotNull())
-            return F.when(done, acc).otherwise(
-                bind(
-                    climb(heads, acc["now"]),
-                    lambda up: F.struct(
-                        up.alias("now"), F.array_append(acc["all"], up).alias("all")
-                    ),
-                )
+            return F.when(acc["done"], acc).otherwise(
+                bind(climb(heads, acc["now"]), lambda up: next_level(acc, up))
             )
 
         return F.aggregate(
             heads,
-            F.struct(own.alias("now"), none.alias("all")),
+            F.struct(own.alias("now"), none.alias("all"), F.lit(False).alias("done")),
             round_,
             lambda acc: acc["all"],
         )
@@ -161,8 +162,8 @@ def ancestor_closure(deps: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     )
     work = work.withColumn("_levels", bind(F.col("_heads"), levels))
     return (
-        work.select(doc_id, "sent", "_rows", F.posexplode("_levels").alias("_level", "_up"))
-        .select(doc_id, "sent", "_rows", "_level", F.posexplode("_up").alias("_k", "_anc"))
+        work.select(doc_id, "sent", "_rows", F.posexplode_outer("_levels").alias("_level", "_up"))
+        .select(doc_id, "sent", "_rows", "_level", F.posexplode_outer("_up").alias("_k", "_anc"))
         .where("_anc is not null")
         .select(
             doc_id,

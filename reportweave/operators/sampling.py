@@ -118,7 +118,8 @@ def bootstrap_sample(
     draws = (
         counts.groupBy(*by)
         .agg(F.max("_total").alias("_total"))
-        .withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).cast("bigint"))
+        .withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        .withColumn("draw", F.col("draw").cast("bigint"))
         .withColumn("_slot", F.pmod(keys.key_number(draw_key), F.col("_total")))
         .withColumn("_block", F.floor(F.col("_slot") / width))
         .drop("_total")

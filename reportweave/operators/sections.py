@@ -47,7 +47,7 @@ def section_slices(labels: Column, keep_prefix: bool = False) -> Column:
         )
         return F.when(first > 0, F.concat(prefix, body)).otherwise(body)
 
-    return bind(marks, slices)
+    return bind(marks, lambda ms: slices(ms))
 
 
 def slice_texts(slices: Column, parts: Column) -> Column:
@@ -110,7 +110,7 @@ def section_documents(
 
     work = df.withColumn("_parts", tx.pieces(F.col(text)))
     work = work.withColumn("_labels", F.transform("_parts", lambda p: label(tx.token_of(p))))
-    work = work.withColumn("_slices", bind(F.col("_labels"), section_slices))
+    work = work.withColumn("_slices", bind(F.col("_labels"), lambda labels: section_slices(labels)))
     return work.select(
         *columns, merge_sections(slice_texts(F.col("_slices"), F.col("_parts"))).alias(out)
     )
@@ -167,18 +167,13 @@ def section_labels(
     Sections come in fixed order; the first token of section k is labelled k (1 to 5), every
     other token 0. A missing section has no tokens. ``limit`` cuts both to limit - 1.
     """
-    per_section = [tx.words(F.col(n)) for n in names]
+    per_section = [F.coalesce(tx.words(F.col(n)), F.array().cast("array<string>")) for n in names]
 
     def marks(words: Column, k: int) -> Column:
-        rest = F.array_repeat(F.lit(0), F.size(words) - 1)
-        return F.when(F.size(words) == 0, F.array().cast("array<int>")).otherwise(
-            F.concat(F.array(F.lit(k)), rest)
-        )
+        return F.transform(words, lambda _, i: F.when(i == 0, F.lit(k)).otherwise(F.lit(0)))
 
     tokens = F.concat(*per_section)
-    labels = F.concat(
-        *[bind(w, lambda ws, k=k: marks(ws, k)) for k, w in enumerate(per_section, start=1)]
-    )
+    labels = F.concat(*[marks(w, k) for k, w in enumerate(per_section, start=1)])
     if limit is not None:
         tokens, labels = tx.truncate(tokens, limit - 1), tx.truncate(labels, limit - 1)
     return df.withColumn("tokens", tokens).withColumn("labels", labels)

@@ -538,25 +538,25 @@ def tag_vocabulary(spark, sf):
     )
 
 
-def _encoded(spark: SparkSession, sf: str) -> tuple[DataFrame, Column]:
+def _encoded(spark: SparkSession, sf: str) -> DataFrame:
     examples = tag_examples(spark, sf)
     names = tagger.vocabulary_array(tagger.tag_vocabulary(examples))
-    return examples.withColumn("ids", labels.encode(F.col("ner_tags"), names)), names
+    return examples.withColumn("names", names).withColumn(
+        "ids", labels.encode(F.col("ner_tags"), F.col("names"))
+    )
 
 
 @query
 def label_encode(spark, sf):
-    encoded, _ = _encoded(spark, sf)
-    return encoded.select(
+    return _encoded(spark, sf).select(
         "doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids")
     )
 
 
 @query
 def label_decode(spark, sf):
-    encoded, names = _encoded(spark, sf)
-    return encoded.select(
-        "doc_id", F.array_join(labels.decode(F.col("ids"), names), " ").alias("tags")
+    return _encoded(spark, sf).select(
+        "doc_id", F.array_join(labels.decode(F.col("ids"), F.col("names")), " ").alias("tags")
     )
 
 
