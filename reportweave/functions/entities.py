@@ -341,22 +341,17 @@ def clear_tags(tags: Column, tokens: Column, substrings: Sequence[str]) -> Colum
 # ---------------------------------------------------------------- counts
 
 
-def _count_of(codes: Column, code: int) -> Column:
-    return F.aggregate(
-        codes, F.lit(0).cast("bigint"), lambda n, c: F.when(c == code, n + 1).otherwise(n)
-    )
-
-
-def domain_count_columns(entities: Column, domains: Sequence[str] = vocab.DOMAINS) -> list[Column]:
+def domain_count_columns(codes: str, domains: Sequence[str] = vocab.DOMAINS) -> list[Column]:
     """``asserted_x`` and ``denied_x`` for every domain, zero where there is none.
 
-    ``entities`` must be a stored column of codes from ``domain_codes``.
+    ``codes`` names a column made by ``domain_codes``.
     """
     columns = []
     for flag, prefix in ((0, "asserted_"), (1, "denied_")):
         for k, label in enumerate(domains):
             code = 2 * (k + 1) + flag
-            columns.append(_count_of(entities, code).alias(prefix + label))
+            count = F.expr(f"aggregate({codes}, 0L, (n, c) -> if(c = {code}, n + 1L, n))")
+            columns.append(count.alias(prefix + label))
     return columns
 
 

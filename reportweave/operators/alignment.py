@@ -11,10 +11,29 @@ def span_align(mentions: DataFrame, tokens: DataFrame, doc_id: str = "doc_id") -
 
     Strict: a span that does not start and end on token edges is dropped.
     """
-    firsts = tokens.select(doc_id, "start", F.col("i").alias("tok_start"))
-    lasts = tokens.select(doc_id, "end", (F.col("i") + 1).alias("tok_end"))
     spans = mentions.drop("tok_start", "tok_end")
-    return spans.join(firsts, [doc_id, "start"]).join(lasts, [doc_id, "end"])
+    carried = [c for c in spans.columns if c not in (doc_id, "ent_pos")]
+    edges = lambda first, last: F.inline(
+        F.array(
+            F.struct(F.lit(False).alias("_last"), first[0].alias("_pos"), first[1].alias("_i")),
+            F.struct(F.lit(True).alias("_last"), last[0].alias("_pos"), last[1].alias("_i")),
+        )
+    )
+    i = F.col("i")
+    token_edges = tokens.select(doc_id, edges((F.col("start"), i), (F.col("end"), i + 1)))
+    none = F.lit(None).cast("bigint")
+    wanted = spans.select("*", edges((F.col("start"), none), (F.col("end"), none))).drop("_i")
+    # Both edges in one join, so the tokens are made and shuffled once.
+    return (
+        wanted.join(token_edges, [doc_id, "_last", "_pos"])
+        .groupBy(doc_id, "ent_pos")
+        .agg(
+            *[F.first(c).alias(c) for c in carried],
+            F.max(F.when(~F.col("_last"), F.col("_i"))).alias("tok_start"),
+            F.max(F.when(F.col("_last"), F.col("_i"))).alias("tok_end"),
+        )
+        .where("tok_start is not null and tok_end is not null")
+    )
 
 
 def iob_table(tokens: DataFrame, mentions: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -29,7 +29,7 @@ def domain_counts_wide(
     """Adds ``asserted_x`` and ``denied_x`` per domain to every row; rows without entities get 0."""
     keep = [F.col(c) for c in df.columns if c != ents]
     coded = df.select(*keep, en.domain_codes(F.col(ents), domains).alias("_codes"))
-    return coded.select(*keep, *en.domain_count_columns(F.col("_codes"), domains))
+    return coded.select(*keep, *en.domain_count_columns("_codes", domains))
 
 
 def triplet_counts(
@@ -46,27 +46,27 @@ def triplet_counts(
     left out with ``on_other='skip'``.
     """
     findings = mentions.where(F.col("entity_group").isin(list(vocab.TENSOR_ENTITIES)))
-    unlinked = findings.select(
-        doc_id,
-        F.col("entity_group").alias("entity"),
-        F.lit(vocab.TENSOR_LOCATIONS[0]).alias("location"),
-        "negated",
-    )
     is_location = F.col("target_group").isin(list(vocab.LOCATIONS))
-    linked = findings.join(relations.select(doc_id, "ent_pos", "target_group"), [doc_id, "ent_pos"])
     if on_other == "skip":
-        linked = linked.where(is_location)
+        relations = relations.where(is_location)
         location = F.col("target_group")
     else:
         problem = F.raise_error(
             F.concat(F.lit("related entity is not a location: "), F.col("target_group"))
         ).cast("string")
         location = F.when(is_location, F.col("target_group")).otherwise(problem)
-    linked = linked.select(
-        doc_id, F.col("entity_group").alias("entity"), location.alias("location"), "negated"
-    )
+    targets = relations.groupBy(doc_id, "ent_pos").agg(F.collect_list(location).alias("_targets"))
+    unknown = F.array(F.lit(vocab.TENSOR_LOCATIONS[0]))
     return (
-        unlinked.unionByName(linked)
+        findings.join(targets, [doc_id, "ent_pos"], "left")
+        .select(
+            doc_id,
+            F.col("entity_group").alias("entity"),
+            "negated",
+            F.explode_outer(
+                F.concat(unknown, F.coalesce("_targets", F.array().cast("array<string>")))
+            ).alias("location"),
+        )
         .groupBy(doc_id, "entity", "location", "negated")
         .agg(F.count("*").alias("n"))
     )

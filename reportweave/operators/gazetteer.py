@@ -25,46 +25,59 @@ def gazetteer_mentions(
     document. Spark broadcasts the phrase table when its size allows it.
     """
 
-    def runs(parts: Column) -> Column:
-        words = F.transform(parts, lambda t: F.lower(t["tok"]))
+    def run(parts: Column, token: Column, i: Column) -> Column:
+        """A token with the surfaces and ends of the runs it begins."""
+        nexts = [token] + [F.get(parts, i + k) for k in range(1, max_words)]
+        surfaces = [F.lower(t["tok"]) for t in nexts]
+        return F.struct(
+            i.alias("tok_start"),
+            token["start"].alias("start"),
+            *[
+                F.concat_ws(" ", *surfaces[:n]).alias(f"s{n}") if n > 1 else surfaces[0].alias("s1")
+                for n in range(1, max_words + 1)
+            ],
+            *[nexts[n - 1]["end"].alias(f"e{n}") for n in range(1, max_words + 1)],
+        )
 
-        def run(ws: Column, i: Column, n: int) -> Column:
-            last = F.get(parts, i + n - 1)
-            surface = F.concat_ws(" ", *[F.get(ws, i + k) for k in range(n)])
-            return F.when(
-                last.isNotNull(),
+    begins = bind(
+        tx.tokens(F.col(text)), lambda parts: F.transform(parts, lambda t, i: run(parts, t, i))
+    )
+    # One row per run, unpivoted outside the arrays.
+    lengths = F.inline(
+        F.array(
+            *[
                 F.struct(
-                    i.alias("tok_start"),
-                    (i + n).alias("tok_end"),
-                    F.get(parts, i)["start"].alias("start"),
-                    last["end"].alias("end"),
-                    surface.alias("surface"),
-                ),
-            )
-
-        return bind(
-            words,
-            lambda ws: F.flatten(
-                F.transform(
-                    ws, lambda _, i: F.array(*[run(ws, i, n) for n in range(1, max_words + 1)])
+                    F.lit(n).alias("n"), F.col(f"s{n}").alias("surface"), F.col(f"e{n}").alias("end")
                 )
-            ),
+                for n in range(1, max_words + 1)
+            ]
         )
-
-    grams = docs.select(
-        doc_id, F.explode(bind(tx.tokens(F.col(text)), runs)).alias("g")
-    ).select(doc_id, "g.*").where("surface is not null")
+    )
+    grams = (
+        docs.select(doc_id, F.inline_outer(begins))
+        .select(doc_id, "tok_start", "start", lengths)
+        .where("end is not null")
+        .withColumn("tok_end", F.col("tok_start") + F.col("n"))
+    )
     found = hot_split_lookup(grams, phrases.withColumnRenamed("phrase", "surface"), ["surface"])
+    candidate = F.struct("tok_start", "tok_end", "label", "start", "end")
     by_doc = (
-        found.groupBy(doc_id, "tok_start")
-        .agg(F.max_by(F.struct("label", "tok_start", "tok_end", "start", "end"), "tok_end").alias("c"))
-        .groupBy(doc_id)
-        .agg(F.array_sort(F.transform(F.collect_list("c"), _by_position)).alias("cands"))
+        found.groupBy(doc_id)
+        .agg(F.array_sort(F.collect_list(candidate)).alias("_all"))
+        # Of the runs with one start only the longest, the last in order, is a candidate.
+        .withColumn(
+            "cands",
+            F.filter(
+                "_all",
+                lambda c, k: ~c["tok_start"].eqNullSafe(F.get("_all", k + 1)["tok_start"]),
+            ),
+        )
         .withColumn("take", en.free_flags(F.col("cands")))
     )
     return (
         by_doc.select(
-            doc_id, F.posexplode(en.flagged(F.col("cands"), F.col("take"))).alias("ent_pos", "e")
+            doc_id,
+            F.posexplode_outer(en.flagged(F.col("cands"), F.col("take"))).alias("ent_pos", "e"),
         )
         .select(
             doc_id,
@@ -76,7 +89,3 @@ def gazetteer_mentions(
             F.col("e.tok_end").cast("bigint").alias("tok_end"),
         )
     )
-
-
-def _by_position(c: Column) -> Column:
-    return F.struct(c["tok_start"], c["tok_end"], c["label"], c["start"], c["end"])

@@ -25,9 +25,9 @@ def mention_negation(
     mention meets the spans near it and never all spans of a long document.
     """
     op = (lambda a, b: a <= b) if closed else (lambda a, b: a < b)
-    left = mentions.select(doc_id, "ent_pos", "start", "end").withColumn(
-        "_block", _blocks(F.col("start"), F.col("end"))
-    )
+    left = mentions.drop("negated")
+    carried = [c for c in left.columns if c not in (doc_id, "ent_pos")]
+    left = left.withColumn("_block", _blocks(F.col("start"), F.col("end")))
     right = spans.select(
         doc_id,
         "neg_pos",
@@ -35,15 +35,18 @@ def mention_negation(
         F.col("start").alias("_start"),
         F.col("end").alias("_end"),
     ).withColumn("_block", _blocks(F.col("_start"), F.col("_end")))
-    first = (
-        left.join(right, [doc_id, "_block"])
-        .where(op(F.col("start"), F.col("_end")) & op(F.col("_start"), F.col("end")))
-        .groupBy(doc_id, "ent_pos")
-        .agg(F.min_by("_group", "neg_pos").alias("_group"))
+    overlap = op(F.col("l.start"), F.col("r._end")) & op(F.col("r._start"), F.col("l.end"))
+    same_block = (F.col(f"l.{doc_id}") == F.col(f"r.{doc_id}")) & (
+        F.col("l._block") == F.col("r._block")
+    )
+    met = left.alias("l").join(right.alias("r"), same_block & overlap, "left").select(
+        "l.*", F.col("r.neg_pos"), F.col("r._group")
+    )
+    # A mention over two blocks comes twice; without a span there its position is null.
+    return met.groupBy(doc_id, "ent_pos").agg(
+        *[F.first(c).alias(c) for c in carried],
+        F.coalesce(F.min_by("_group", "neg_pos") == "negated", F.lit(False)).alias("negated"),
     )
-    return mentions.drop("negated").join(first, [doc_id, "ent_pos"], "left").withColumn(
-        "negated", F.coalesce(F.col("_group") == "negated", F.lit(False))
-    ).drop("_group")
 
 
 def overlapping_pairs(mentions: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportweave.functions.arrays import bind
+from reportweave.sources.stored import store
 
 # ---------------------------------------------------------------- patterns
 
@@ -41,17 +42,16 @@ def _link(op: str, a: Mapping[str, Column], b: Mapping[str, Column]) -> list[Col
     }[op]
 
 
-def _filter(tokens: DataFrame, attributes: Mapping[str, object]) -> DataFrame:
-    """Tokens that fit a node: a value, or ``{"IN": [...]}`` per attribute."""
+def _fits(attributes: Mapping[str, object]) -> Column:
+    """Whether a token fits a node: a value, or ``{"IN": [...]}`` per attribute."""
+    fits = F.lit(True)
     for name, wanted in attributes.items():
         column = F.lower("tok") if name.upper() == "LOWER" else F.col(
-            {"ORTH": "tok", "TEXT": "tok", "DEP": "dep", "POS": "pos", "ENT_TYPE": "ent_type"}.get(
-                name.upper(), name.lower()
-            )
+            {"ORTH": "tok", "TEXT": "tok"}.get(name.upper(), name.lower())
         )
         values = wanted["IN"] if isinstance(wanted, Mapping) else [wanted]
-        tokens = tokens.where(column.isin(list(values)))
-    return tokens
+        fits = fits & column.isin(list(values))
+    return fits
 
 
 def match_pattern(
@@ -72,7 +72,7 @@ def match_pattern(
     matches: DataFrame | None = None
     for node in pattern:
         name = str(node["RIGHT_ID"])
-        own = _filter(tokens, node.get("RIGHT_ATTRS", {})).select(
+        own = tokens.where(_fits(node.get("RIGHT_ATTRS", {}))).select(
             *base, F.col("i").alias(f"{name}_i"), F.col("head").alias(f"{name}_head")
         )
         if matches is None:
@@ -106,9 +106,18 @@ def dep_match(
     doc_id: str = "doc_id",
 ) -> DataFrame:
     """Distinct first and last tokens of the matches of all patterns."""
+    nodes = [node for pattern in patterns.values() for node in pattern]
+    closure = None
+    if any(node.get("REL_OP") in (">>", "<<") for node in nodes):
+        closure = ancestor_closure(tokens, doc_id)
+    fits = F.lit(False)
+    for node in nodes:
+        fits = fits | _fits(node.get("RIGHT_ATTRS", {}))
+    # Every node is a reader of the tokens: keep what can match at all, once.
+    candidates = store(tokens.where(fits), "pattern-nodes")
     found: DataFrame | None = None
     for pattern in patterns.values():
-        one = match_pattern(tokens, pattern, doc_id=doc_id)
+        one = match_pattern(candidates, pattern, closure, doc_id)
         found = one if found is None else found.unionByName(one)
     assert found is not None, "no patterns"
     return found.distinct()
@@ -155,21 +164,20 @@ def ancestor_closure(deps: DataFrame, doc_id: str = "doc_id") -> DataFrame:
         )
 
     # Heads as positions within the sentence: its tokens are numbered without gaps.
-    first = F.get("_rows", F.lit(0))["i"]
-    work = sentences.withColumn(
-        "_heads",
-        F.transform("_rows", lambda r: (r["head"] - first).cast("int")),
+    work = sentences.withColumn("_first", F.get("_rows", F.lit(0))["i"]).withColumn(
+        "_heads", F.transform("_rows", lambda r: (r["head"] - F.col("_first")).cast("int"))
     )
     work = work.withColumn("_levels", bind(F.col("_heads"), levels))
+    # Exploded rows carry the sentence's first position, not its arrays.
     return (
-        work.select(doc_id, "sent", "_rows", F.posexplode_outer("_levels").alias("_level", "_up"))
-        .select(doc_id, "sent", "_rows", "_level", F.posexplode_outer("_up").alias("_k", "_anc"))
+        work.select(doc_id, "sent", "_first", F.posexplode_outer("_levels").alias("_level", "_up"))
+        .select(doc_id, "sent", "_first", "_level", F.posexplode_outer("_up").alias("_k", "_anc"))
         .where("_anc is not null")
         .select(
             doc_id,
             "sent",
-            F.get("_rows", F.col("_k"))["i"].alias("i"),
-            F.get("_rows", F.col("_anc"))["i"].alias("anc"),
+            (F.col("_first") + F.col("_k")).alias("i"),
+            (F.col("_first") + F.col("_anc")).alias("anc"),
             (F.col("_level") + 1).cast("bigint").alias("depth"),
         )
     )
@@ -192,16 +200,32 @@ def entity_relations(
         "entity_group",
         F.explode(F.sequence(F.col("tok_start"), F.col("tok_end") - 1)).alias("_tok"),
     )
-    source = covered.withColumnRenamed("_tok", "tok_i")
-    target = covered.select(
+    ends = relations.select(
         doc_id,
-        F.col("ent_pos").alias("target_pos"),
-        F.col("entity_group").alias("target_group"),
-        F.col("_tok").alias("tok_j"),
+        "tok_i",
+        "tok_j",
+        F.inline(
+            F.array(
+                F.struct(F.lit(True).alias("_source"), F.col("tok_i").alias("_tok")),
+                F.struct(F.lit(False).alias("_source"), F.col("tok_j").alias("_tok")),
+            )
+        ),
     )
-    return (
-        relations.join(source, [doc_id, "tok_i"])
-        .join(target, [doc_id, "tok_j"])
-        .select(doc_id, "ent_pos", "entity_group", "target_pos", "target_group")
-        .distinct()
+    # Both ends of a relation in one join: entities are disjoint, so a token has one at most.
+    mention = F.struct("ent_pos", "entity_group")
+    pairs = (
+        ends.join(covered, [doc_id, "_tok"])
+        .groupBy(doc_id, "tok_i", "tok_j")
+        .agg(
+            F.max(F.when(F.col("_source"), mention)).alias("s"),
+            F.max(F.when(~F.col("_source"), mention)).alias("t"),
+        )
+        .where("s is not null and t is not null")
     )
+    return pairs.select(
+        doc_id,
+        F.col("s.ent_pos").alias("ent_pos"),
+        F.col("s.entity_group").alias("entity_group"),
+        F.col("t.ent_pos").alias("target_pos"),
+        F.col("t.entity_group").alias("target_group"),
+    ).distinct()

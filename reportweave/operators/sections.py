@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reportweave import vocab
 from reportweave.functions import text as tx
-from reportweave.functions.arrays import bind, running_sum
+from reportweave.functions.arrays import bind, running_sum, settled
 
 
 # ---------------------------------------------------------------- labels to slices to texts
@@ -103,16 +103,15 @@ def section_documents(
     columns = [c for c in df.columns if c != out]
 
     def label(token: Column) -> Column:
-        return bind(
-            F.lower(token),
-            lambda w: F.when(w.isin(words), F.try_element_at(names, w)).otherwise(vocab.OUTSIDE),
-        )
+        # Few tokens are markers; only those are looked up.
+        known = F.lower(token).isin(words)
+        return F.when(known, F.try_element_at(names, F.lower(token))).otherwise(vocab.OUTSIDE)
 
     work = df.withColumn("_parts", tx.pieces(F.col(text)))
     work = work.withColumn("_labels", F.transform("_parts", lambda p: label(tx.token_of(p))))
     work = work.withColumn("_slices", bind(F.col("_labels"), lambda labels: section_slices(labels)))
     return work.select(
-        *columns, merge_sections(slice_texts(F.col("_slices"), F.col("_parts"))).alias(out)
+        *columns, settled(merge_sections(slice_texts(F.col("_slices"), F.col("_parts"))), out)
     )
 
 

@@ -194,7 +194,10 @@ JOIN deps c ON c.doc_id = b.doc_id AND c.sent = b.sent AND c.i = b.head AND c.i
 WHERE a.dep = 'amod' AND b.dep = 'prep' AND c.dep IN ('pobj', 'nsubj')
 UNION SELECT a.doc_id, a.i, b.i FROM deps a
 JOIN deps b ON b.doc_id = a.doc_id AND b.sent = a.sent AND b.head = a.head AND b.i > a.i
-WHERE a.w = 'of' AND b.dep = 'nsubj' AND a.head <> a.i AND b.head <> b.i""",
+WHERE a.w = 'of' AND b.dep = 'nsubj' AND a.head <> a.i AND b.head <> b.i
+""" + f"""UNION SELECT a.doc_id, a.i, b.i FROM deps a
+JOIN deps b ON b.doc_id = a.doc_id AND b.sent = a.sent AND b.i <> a.i AND (b.head = a.i OR b.i = a.head)
+WHERE a.w IN ({_text(st.FINDING_WORDS)}) AND b.w IN ({_text(st.PLACE_WORDS)})""",
     "pairs": """
 SELECT DISTINCT l.doc_id, s.ent_pos, s.entity_group, t.ent_pos AS target_pos, t.entity_group AS target_group
 FROM links l

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportweave import vocab
 from reportweave.functions import entities as en
 from reportweave.functions import keys, labels
 from reportweave.functions import text as tx
+from reportweave.functions.arrays import bind, running_sum
 from reportweave.operators import (
     alignment,
     annotation,
@@ -33,6 +34,7 @@ from reportweave.operators import (
     tasks,
 )
 from reportweave.plans import standins as st
+from reportweave.sources.stored import store
 from reportweave.sources.tables import read_table, spread_if_small
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,29 +171,52 @@ def gold_and_pred(spark: SparkSession, sf: str) -> DataFrame:
         names, lambda n: F.size(F.filter(ents, lambda e: e["entity_group"] == n)) >= 2
     )
     keep = list(vocab.EVALUATION_PATHOLOGIES)
-    return asserted(spark, sf).select(
+    scored = asserted(spark, sf).select(
         "doc_id",
         labels.keep_labels(often, keep).alias("gold"),
         en.asserted_labels(ents, keep).alias("pred"),
     )
+    return store(scored, "gold-and-pred")
 
 
 def dependencies(spark: SparkSession, sf: str) -> DataFrame:
     """Heap-shaped parse of every sentence: the head of its token j is its token j div 2."""
-    doc = Window.partitionBy("doc_id").orderBy("i")
-    before = doc.rowsBetween(Window.unboundedPreceding, -1)
-    is_end = F.col("tok").isin(list(vocab.SENTENCE_ENDS)).cast("int")
-    tokens = longform.token_table(documents(spark, sf)).select("doc_id", "i", "tok")
-    tokens = tokens.withColumn("sent", F.coalesce(F.sum(is_end).over(before), F.lit(0)))
-    first = F.min("i").over(Window.partitionBy("doc_id", "sent"))
-    names = F.array(*[F.lit(d) for d in ("amod", "nsubj", "prep", "pobj")])
-    return tokens.withColumn("_first", first).select(
-        "doc_id",
-        "sent",
-        "i",
-        "tok",
-        (F.col("_first") + F.floor((F.col("i") - F.col("_first")) / 2)).alias("head"),
-        F.get(names, F.length("tok") % 4).alias("dep"),
+    is_end = lambda t: t.isin(list(vocab.SENTENCE_ENDS))
+    names = labels.literal_array(["amod", "nsubj", "prep", "pobj"])
+    docs = documents(spark, sf).select("doc_id", tx.words(F.col("text")).alias("toks"))
+    docs = docs.withColumn(
+        "ends", running_sum(F.transform("toks", lambda t: is_end(t).cast("int")))
+    ).withColumn(
+        "starts",
+        F.concat(
+            F.array(F.lit(0)),
+            F.transform(
+                F.filter(F.transform("toks", lambda t, i: F.when(is_end(t), i)), lambda i: i.isNotNull()),
+                lambda i: i + 1,
+            ),
+        ),
+    )
+
+    def row(ends: Column, starts: Column, tok: Column, i: Column) -> Column:
+        sent = F.coalesce(F.get(ends, i - 1), F.lit(0))
+        first = F.get(starts, sent)
+        return F.struct(
+            sent.cast("bigint").alias("sent"),
+            i.cast("bigint").alias("i"),
+            tok.alias("tok"),
+            (first + F.shiftright(i - first, 1)).cast("bigint").alias("head"),
+        )
+
+    rows = bind(
+        F.col("ends"),
+        lambda ends: bind(
+            F.col("starts"),
+            lambda starts: F.transform("toks", lambda t, i: row(ends, starts, t, i)),
+        ),
+    )
+    exploded = docs.select("doc_id", F.explode_outer(rows).alias("r")).select("doc_id", "r.*")
+    return exploded.where("i is not null").withColumn(
+        "dep", F.get(names, F.length("tok") % 4)
     )
 
 
@@ -209,6 +234,14 @@ PATTERNS = {
         {"RIGHT_ID": "a", "RIGHT_ATTRS": {"LOWER": "of"}},
         {"LEFT_ID": "a", "REL_OP": "$++", "RIGHT_ID": "b", "RIGHT_ATTRS": {"DEP": "nsubj"}},
     ],
+    "finding_place": [
+        {"RIGHT_ID": "a", "RIGHT_ATTRS": {"LOWER": {"IN": list(st.FINDING_WORDS)}}},
+        {"LEFT_ID": "a", "REL_OP": ">", "RIGHT_ID": "b", "RIGHT_ATTRS": {"LOWER": {"IN": list(st.PLACE_WORDS)}}},
+    ],
+    "place_finding": [
+        {"RIGHT_ID": "a", "RIGHT_ATTRS": {"LOWER": {"IN": list(st.FINDING_WORDS)}}},
+        {"LEFT_ID": "a", "REL_OP": "<", "RIGHT_ID": "b", "RIGHT_ATTRS": {"LOWER": {"IN": list(st.PLACE_WORDS)}}},
+    ],
 }
 
 
@@ -216,10 +249,6 @@ def token_relations(spark: SparkSession, sf: str) -> DataFrame:
     return relations.dep_match(dependencies(spark, sf), PATTERNS)
 
 
-def related_entities(spark: SparkSession, sf: str) -> DataFrame:
-    return relations.entity_relations(token_relations(spark, sf), mentions(spark, sf))
-
-
 # ---------------------------------------------------------------- tokens, entities, negation
 
 
@@ -393,7 +422,7 @@ def simple_bootstrap(spark, sf):
 
 @query
 def even_domain_sample(spark, sf):
-    wide = counts.domain_counts_wide(asserted(spark, sf))
+    wide = store(counts.domain_counts_wide(asserted(spark, sf)), "domain-counts")
     columns = {d: f"asserted_{d}" for d in vocab.EVALUATION_PATHOLOGIES}
     quota = 500 // len(columns)
     return sampling.even_domain_sample(wide, columns, quota, ["doc_id"], SEED).select(
@@ -539,7 +568,7 @@ def tag_vocabulary(spark, sf):
 
 
 def _encoded(spark: SparkSession, sf: str) -> DataFrame:
-    examples = tag_examples(spark, sf)
+    examples = store(tag_examples(spark, sf), "tag-examples")
     names = tagger.vocabulary_array(tagger.tag_vocabulary(examples))
     return examples.withColumn("names", names).withColumn(
         "ids", labels.encode(F.col("ner_tags"), F.col("names"))
@@ -589,20 +618,24 @@ def align_labels(spark, sf):
 
 @query
 def group_entities(spark, sf):
-    words = longform.token_table(documents(spark, sf))
-    tags = tag_examples(spark, sf).select(
-        "doc_id", F.posexplode("ner_tags").alias("i", "label")
+    docs = annotation.annotate(documents(spark, sf), st.PHRASES, st.RULES)
+    docs = docs.withColumn("toks", tx.tokens(F.col("text")))
+    tags = en.iob_tags(F.col("ents"), F.size("toks"))
+    # Tags are zipped into the tokens first: an exploded row must not carry a whole array.
+    zipped = F.zip_with("toks", tags, lambda t, tag: t.withField("label", tag))
+    words = docs.select("doc_id", F.posexplode_outer(zipped).alias("i", "t")).select(
+        "doc_id", "i", "t.*"
     )
     part = F.explode(F.sequence(F.lit(0), _piece_count(F.col("tok")) - 1)).alias("k")
-    pieces = words.join(tags, ["doc_id", "i"]).select("*", part).select(
+    pieces = words.where("i is not null").select("*", part).select(
         "doc_id",
         (F.col("start") + 4 * F.col("k")).alias("pos"),
         F.col("i").alias("word_id"),
         # Only the first piece of a word carries its label.
         F.when(F.col("k") == 0, F.col("label")).otherwise("O").alias("label"),
         (1.0 / (1 + F.length("tok") + F.col("k"))).alias("score"),
-        (F.col("start") + 4 * F.col("k")).alias("start"),
-        F.least(F.col("start") + 4 * F.col("k") + 4, F.col("end")).alias("end"),
+        (F.col("start") + 4 * F.col("k")).cast("bigint").alias("start"),
+        F.least(F.col("start") + 4 * F.col("k") + 4, F.col("end")).cast("bigint").alias("end"),
     )
     grouped = grouping.group_entities(grouping.word_labels(pieces))
     return grouped.select(
@@ -655,17 +688,23 @@ def dep_closure(spark, sf):
 
 @query
 def entity_relations(spark, sf):
-    return related_entities(spark, sf)
+    return relations.entity_relations(token_relations(spark, sf), mentions(spark, sf))
+
+
+def _triplets(spark: SparkSession, sf: str) -> DataFrame:
+    found = store(mentions(spark, sf), "mentions")
+    pairs = relations.entity_relations(token_relations(spark, sf), found)
+    return counts.triplet_counts(found, pairs, "skip")
 
 
 @query
 def triplet_counts(spark, sf):
-    return counts.triplet_counts(mentions(spark, sf), related_entities(spark, sf), "skip")
+    return _triplets(spark, sf)
 
 
 @query
 def triplet_tensor(spark, sf):
-    cells = counts.triplet_counts(mentions(spark, sf), related_entities(spark, sf), "skip")
+    cells = _triplets(spark, sf)
     docs = read_table(spark, sf, "documents")
     return counts.triplet_tensor(docs, cells).select(
         "doc_id", F.array_join(F.col("tensor").cast("array<string>"), " ").alias("tensor")
@@ -754,7 +793,7 @@ def tagger_fit(spark, sf):
 
 @query
 def tagger_apply(spark, sf):
-    model = tagger.tagger_fit(tagger.tag_rows(tag_examples(spark, sf)))
+    model = store(tagger.tagger_fit(tagger.tag_rows(tag_examples(spark, sf))), "tagger")
     turns = read_table(spark, sf, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"),
         tx.words(F.col("text")).alias("tokens"),

@@ -37,6 +37,9 @@ RULES = NegationRules(
     pseudo=("with the", "is the"),
 )
 
+PLACE_WORDS = tuple(p for p, label in WORD_PHRASES.items() if label.startswith("location_"))
+FINDING_WORDS = tuple(p for p in WORD_PHRASES if p not in PLACE_WORDS)
+
 SECTION_MARKERS = {
     "from": "report_header",
     "with": "report_indications",

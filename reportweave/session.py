@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -17,16 +14,9 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call sites for error messages cost more than building the plans themselves.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The cluster names a shared folder; only a session without one (tests) gets a local folder."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="reportweave-"))
-
-
-def bench_cores() -> str:
-    return os.environ.get("BENCH_CPUS", "8")
