@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reportweave.functions import entities as en
 from reportweave.functions import text as tx
 from reportweave.functions.arrays import bind
-from reportweave.operators.lookup import hot_split_lookup
+from reportweave.operators.lookup import lookup
 
 
 def gazetteer_mentions(
@@ -22,7 +22,7 @@ def gazetteer_mentions(
 
     Every run of up to ``max_words`` tokens is looked up by its lower-case surface. Runs are
     formed inside the row of their text; only runs that are phrases travel to the grouping by
-    document. Spark broadcasts the phrase table when its size allows it.
+    document. The phrase table is broadcast when its size allows it.
     """
 
     def run(parts: Column, token: Column, i: Column) -> Column:
@@ -59,7 +59,7 @@ def gazetteer_mentions(
         .where("end is not null")
         .withColumn("tok_end", F.col("tok_start") + F.col("n"))
     )
-    found = hot_split_lookup(grams, phrases.withColumnRenamed("phrase", "surface"), ["surface"])
+    found = lookup(grams, phrases.withColumnRenamed("phrase", "surface"), ["surface"])
     candidate = F.struct("tok_start", "tok_end", "label", "start", "end")
     by_doc = (
         found.groupBy(doc_id)

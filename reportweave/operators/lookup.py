@@ -1,33 +1,51 @@
-"""Lookup join that stays even when a few keys hold most of the rows."""
+"""Lookup joins that stay even when a few keys hold most of the rows."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportweave.functions.labels import sql_text
+from reportweave.sources.tables import estimated_bytes
+
 HOT_KEYS = 10_000
 BROADCAST_LIMIT = 64 * 1024 * 1024
+SALTS = 16
+
+
+def phrase_table(spark: SparkSession, phrases: Mapping[str, str]) -> DataFrame:
+    """``phrase, label`` from a short literal list; its size is known to the optimizer."""
+    rows = [
+        f"named_struct('phrase', {sql_text(p)}, 'label', {sql_text(label)})"
+        for p, label in phrases.items()
+    ]
+    return spark.range(1).select(F.expr(f"inline(array({', '.join(rows)}))"))
+
 
+def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with the matching row of ``table`` (unique on ``keys``); others are dropped.
 
-def hot_split_lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    weight: str | None = None,
-    how: str = "inner",
+    A table the optimizer knows to be small is broadcast. A larger one is copied once per
+    salt, so that the rows of one frequent key are spread over 16 tasks.
+    """
+    if estimated_bytes(table) <= BROADCAST_LIMIT:
+        return rows.join(F.broadcast(table), list(keys))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+
+
+def weighted_lookup(
+    rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str
 ) -> DataFrame:
-    """``rows`` joined with ``table`` (unique on ``keys``).
+    """``rows`` with the values of ``table`` (unique on ``keys``), null where there is no match.
 
-    Without ``weight`` this is a plain equi join: Spark broadcasts a table below its size
-    threshold and splits skewed partitions at run time otherwise. With ``weight`` (how often a
-    key is expected) the 10,000 heaviest keys are broadcast, which is a fixed bound, and only
-    the other keys are joined by a shuffle. Rows settled by the broadcast carry a spreading
-    number, match nothing in the second join and land on all partitions evenly.
+    ``weight`` says how often a key is expected. The 10,000 heaviest keys are broadcast, a
+    fixed bound; the other keys are joined by a shuffle. Rows settled by the broadcast carry a
+    spreading number, match nothing in the second join and land on all partitions evenly.
     """
-    if weight is None:
-        return rows.join(table, list(keys), how)
     values = [c for c in table.columns if c not in keys and c != weight]
     hot = table.orderBy(F.col(weight).desc(), *keys).limit(HOT_KEYS)
     hot = hot.select(*keys, F.struct(*values).alias("_hot"))
@@ -39,9 +57,6 @@ def hot_split_lookup(
         ),
     )
     joined = marked.join(cold, [*keys, "_spread"], "left")
-    result = joined.select(
+    return joined.select(
         *rows.columns, F.coalesce(F.col("_hot"), F.col("_cold")).alias("_value")
-    )
-    if how == "inner":
-        result = result.where("_value is not null")
-    return result.select(*rows.columns, "_value.*")
+    ).select(*rows.columns, "_value.*")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reportweave import vocab
-from reportweave.operators.lookup import hot_split_lookup
+from reportweave.operators.lookup import weighted_lookup
 
 START = "<s>"
 
@@ -50,8 +50,8 @@ def tagger_apply(rows: DataFrame, model: DataFrame) -> DataFrame:
     pairs = model.where("prev is not null").withColumnRenamed("tag", "_pair_tag")
     singles = model.where("prev is null").select("tok", F.col("tag").alias("_tok_tag"), "n")
     rows = rows.drop("tag")
-    found = hot_split_lookup(rows, pairs, ["prev", "tok"], weight="n", how="left")
-    found = hot_split_lookup(found, singles, ["tok"], weight="n", how="left")
+    found = weighted_lookup(rows, pairs, ["prev", "tok"], "n")
+    found = weighted_lookup(found, singles, ["tok"], "n")
     return found.select(
         *rows.columns,
         F.coalesce("_pair_tag", "_tok_tag", F.lit(vocab.OUTSIDE)).alias("tag"),

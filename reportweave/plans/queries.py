@@ -33,6 +33,7 @@ from reportweave.operators import (
     tagger,
     tasks,
 )
+from reportweave.operators.lookup import phrase_table
 from reportweave.plans import standins as st
 from reportweave.sources.stored import store
 from reportweave.sources.tables import read_table, spread_if_small
@@ -259,7 +260,7 @@ def tokenise(spark, sf):
 
 @query
 def gazetteer_mentions(spark, sf):
-    phrases = spark.createDataFrame(list(st.PHRASES.items()), "phrase string, label string")
+    phrases = phrase_table(spark, st.PHRASES)
     return gazetteer.gazetteer_mentions(documents(spark, sf), phrases, max_words=2)
 
 
