@@ -54,7 +54,14 @@ def land_reports(reports: DataFrame, path: str, doc_id: str = "doc_id") -> None:
 
 def write_reports(df: DataFrame, path: str, split: str | None = None) -> None:
     """CSV with header; one folder per split when a split column is named."""
-    writer = df.write.mode("overwrite").options(header=True, escape='"', quote='"')
+    writer = df.write.mode("overwrite").options(
+        header=True,
+        escape='"',
+        quote='"',
+        # Spark would trim blanks at the ends of a cell.
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
     (writer.partitionBy(split) if split else writer).csv(path)
 
 
