@@ -380,7 +380,7 @@ FROM (SELECT conv_id, tok, CASE WHEN p = 0 THEN k ELSE 0 END AS lab,
       FROM (SELECT conv_id, k, unnest(l) AS tok, unnest(range(len(l))) AS p
             FROM (SELECT conv_id, k, regexp_extract_all(text, '(\p{L}+|\p{N}+|[^\p{L}\p{N}\s])') AS l
                   FROM section_texts JOIN section_names USING (section))))
-WHERE r <= 511 GROUP BY conv_id"""
+GROUP BY conv_id"""
     c["section_offsets"] = """
 SELECT conv_id, section AS label, CAST(start AS BIGINT) AS start, CAST(start + length(first_token) AS BIGINT) AS "end"
 FROM section_starts"""

@@ -513,7 +513,7 @@ def assemble_sections(spark, sf):
 
 @query
 def section_labels(spark, sf):
-    return sections.section_labels(sectioned_reports(spark, sf), limit=512).select(
+    return sections.section_labels(sectioned_reports(spark, sf)).select(
         "conv_id",
         F.array_join("tokens", " ").alias("tokens"),
         F.array_join(F.col("labels").cast("array<string>"), " ").alias("labels"),
@@ -638,7 +638,7 @@ def group_entities(spark, sf):
         (F.col("start") + 4 * F.col("k")).cast("bigint").alias("start"),
         F.least(F.col("start") + 4 * F.col("k") + 4, F.col("end")).cast("bigint").alias("end"),
     )
-    grouped = grouping.group_entities(grouping.word_labels(pieces))
+    grouped = grouping.group_entities(grouping.word_labels(pieces), index="word_id")
     return grouped.select(
         "doc_id", "ent_pos", "entity_group", F.round("score", 6).alias("score"), "start", "end"
     )

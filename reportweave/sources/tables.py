@@ -25,7 +25,7 @@ def spread_if_small(df: DataFrame) -> DataFrame:
     """
     if estimated_bytes(df) > SPREAD_LIMIT:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def save_dataset(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -62,6 +62,8 @@ GROUP_CASES = [
 def test_grouping(spark):
     rows = [(d, i, t, i / 10, i, i + 1) for d, (tags, _) in enumerate(GROUP_CASES) for i, t in enumerate(tags)]
     words = spark.createDataFrame(rows, "doc_id bigint, pos bigint, label string, score double, start bigint, end bigint")
+    by_number = sorted(map(tuple, grouping.group_entities(words, index="pos").collect()))
+    assert by_number == sorted(map(tuple, grouping.group_entities(words).collect()))
     got = {}
     for r in grouping.group_entities(words).orderBy("doc_id", "ent_pos").collect():
         got.setdefault(r.doc_id, []).append((r.entity_group, r.start, r.end))
