@@ -409,6 +409,7 @@ FROM (SELECT *, sum(CASE WHEN begins THEN 1 ELSE 0 END) OVER (PARTITION BY doc_i
               OR kind IS DISTINCT FROM lag(kind) OVER (PARTITION BY doc_id ORDER BY i) AS begins
             FROM (SELECT *, regexp_replace(tag, '^[BI]-', '') AS kind FROM tags)))
 WHERE kind <> 'O' GROUP BY doc_id, island"""
+    c["group_entities_long"] = c["group_entities"]
     c["argmax_label"] = """
 SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS label,
   round(1.0::DOUBLE / list_sum(list_transform(embedding, lambda s: exp(s::DOUBLE - list_max(embedding)::DOUBLE))), 6) AS score

@@ -617,27 +617,56 @@ def align_labels(spark, sf):
     )
 
 
-@query
-def group_entities(spark, sf):
+def _pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """``doc_id, pieces``: tokens cut to four characters; only a first piece carries the tag."""
     docs = annotation.annotate(documents(spark, sf), st.PHRASES, st.RULES)
     docs = docs.withColumn("toks", tx.tokens(F.col("text")))
-    tags = en.iob_tags(F.col("ents"), F.size("toks"))
-    # Tags are zipped into the tokens first: an exploded row must not carry a whole array.
-    zipped = F.zip_with("toks", tags, lambda t, tag: t.withField("label", tag))
-    words = docs.select("doc_id", F.posexplode_outer(zipped).alias("i", "t")).select(
-        "doc_id", "i", "t.*"
-    )
-    part = F.explode(F.sequence(F.lit(0), _piece_count(F.col("tok")) - 1)).alias("k")
-    pieces = words.where("i is not null").select("*", part).select(
+    docs = docs.withColumn("tags", en.iob_tags(F.col("ents"), F.size("toks")))
+
+    def piece(t: Column, tag: Column, i: Column, k: Column) -> Column:
+        start = t["start"] + 4 * k
+        return F.struct(
+            i.cast("bigint").alias("word_id"),
+            F.when(k == 0, tag).otherwise("O").alias("label"),
+            (1.0 / (1 + F.length(t["tok"]) + k)).alias("score"),
+            start.cast("bigint").alias("start"),
+            F.least(start + 4, t["end"]).cast("bigint").alias("end"),
+        )
+
+    def cut(tags: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                "toks",
+                lambda t, i: F.transform(
+                    F.sequence(F.lit(0), _piece_count(t["tok"]) - 1),
+                    lambda k: piece(t, F.get(tags, i), i, k),
+                ),
+            )
+        )
+
+    return docs.select("doc_id", bind(F.col("tags"), lambda tags: cut(tags)).alias("pieces"))
+
+
+@query
+def group_entities(spark, sf):
+    grouped = grouping.group_entities_in_rows(_pieces(spark, sf))
+    return grouped.select("doc_id", F.posexplode_outer("ents").alias("ent_pos", "e")).where(
+        "ent_pos is not null"
+    ).select(
         "doc_id",
-        (F.col("start") + 4 * F.col("k")).alias("pos"),
-        F.col("i").alias("word_id"),
-        # Only the first piece of a word carries its label.
-        F.when(F.col("k") == 0, F.col("label")).otherwise("O").alias("label"),
-        (1.0 / (1 + F.length("tok") + F.col("k"))).alias("score"),
-        (F.col("start") + 4 * F.col("k")).cast("bigint").alias("start"),
-        F.least(F.col("start") + 4 * F.col("k") + 4, F.col("end")).cast("bigint").alias("end"),
+        F.col("ent_pos").cast("bigint").alias("ent_pos"),
+        "e.entity_group",
+        F.round("e.score", 6).alias("score"),
+        "e.start",
+        "e.end",
     )
+
+
+@query
+def group_entities_long(spark, sf):
+    pieces = _pieces(spark, sf).select("doc_id", F.inline_outer("pieces")).where(
+        "word_id is not null"
+    ).withColumn("pos", F.col("start"))
     grouped = grouping.group_entities(grouping.word_labels(pieces), index="word_id")
     return grouped.select(
         "doc_id", "ent_pos", "entity_group", F.round("score", 6).alias("score"), "start", "end"

@@ -64,6 +64,11 @@ def test_grouping(spark):
     words = spark.createDataFrame(rows, "doc_id bigint, pos bigint, label string, score double, start bigint, end bigint")
     by_number = sorted(map(tuple, grouping.group_entities(words, index="pos").collect()))
     assert by_number == sorted(map(tuple, grouping.group_entities(words).collect()))
+    nested = words.groupBy("doc_id").agg(F.array_sort(F.collect_list(
+        F.struct(F.col("pos").alias("word_id"), "label", "score", "start", "end"))).alias("pieces"))
+    in_rows = grouping.group_entities_in_rows(nested).select("doc_id", F.posexplode("ents").alias("p", "e"))
+    assert sorted((r.doc_id, r.p, r.e.entity_group, r.e.start, r.e.end) for r in in_rows.collect()) == sorted(
+        (r.doc_id, r.ent_pos, r.entity_group, r.start, r.end) for r in grouping.group_entities(words).collect())
     got = {}
     for r in grouping.group_entities(words).orderBy("doc_id", "ent_pos").collect():
         got.setdefault(r.doc_id, []).append((r.entity_group, r.start, r.end))
