@@ -9,12 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names; a local one only where none is set, as in tests."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where none is named, one is made below the temporary folder, but only for a session whose
+    executors run inside the driver. On a cluster every machine would write to its own disk
+    and later reads would miss files, so a missing setting is an error there.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="reportweave-")
         spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -23,7 +35,6 @@ def store(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage, survives lost executors, and lets every reader prune columns and push
     filters, where a recomputed or checkpointed plan would do the work again or read whole rows.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
