@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from reportweave.llm import chat_format, exact_dedup
+from reportweave.llm import bpe, chat_format, exact_dedup, language_id
 
 CORPUS_QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_byte_bpe": bpe.op5_byte_bpe,
     "op10_chat_format": chat_format.op10_chat_format,
 }
 
