@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from reportweave.llm import bpe, chat_format, exact_dedup, language_id
+from reportweave.llm import bpe, chat_format, exact_dedup, language_id, mixing, sharding
 
 CORPUS_QUERIES = {
     "op1_language_id": language_id.op1_language_id,
+    "op2_sharding": sharding.op2_sharding,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_byte_bpe": bpe.op5_byte_bpe,
+    "op9_mixing": mixing.op9_mixing,
     "op10_chat_format": chat_format.op10_chat_format,
 }
 
 CORPUS_SQL = {
     "op4_exact_dedup": exact_dedup.SQL,
+    "op9_mixing": mixing.SQL,
     "op10_chat_format": chat_format.SQL,
 }
