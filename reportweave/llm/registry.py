@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from reportweave.llm import bpe, chat_format, exact_dedup, language_id, mixing, sharding
+from reportweave.llm import bpe, chat_format, exact_dedup, language_id, mixing, near_dedup, sharding
 
 CORPUS_QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_sharding": sharding.op2_sharding,
+    "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_byte_bpe": bpe.op5_byte_bpe,
     "op9_mixing": mixing.op9_mixing,
