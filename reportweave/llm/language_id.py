@@ -30,6 +30,7 @@ MODEL_GRAMS = 50_000  # most frequent n-grams kept
 LONGEST_GRAM = 5
 MEMO_WORDS = 200_000  # unseen words whose scores a worker remembers
 UNKNOWN = "und"
+MIN_SCORE = 0.5  # less certain documents are rejected where a pipeline filters
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -195,14 +196,12 @@ class Scorer:
         return model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def predict(
-    docs: DataFrame, model: LanguageModel, id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (0 to 1); other columns stay as they are.
+def prediction(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
+    """Struct of ``lang_pred`` and ``score`` (0 to 1) for a text.
 
     A null text, or one without letters, is ``und`` with score 0. Texts are read whole.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
     def predicted(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -212,12 +211,35 @@ def predict(
                 [scorer.predict(t) for t in texts], columns=["lang_pred", "score"]
             )
 
-    return _with_struct(docs, predicted(F.col(text)))
+    return predicted(text)
+
+
+def predict(
+    docs: DataFrame, model: LanguageModel, id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``id, lang_pred, score`` for every row of ``docs``; other columns are left out."""
+    found = prediction(docs.sparkSession, model, F.col(text)).alias("_language")
+    return docs.select(F.col(id), found).select(id, "_language.*")
+
 
+def keep_identified(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    min_score: float = MIN_SCORE,
+) -> DataFrame:
+    """The documents whose language is known with at least ``min_score``; columns stay as they are.
 
-def _with_struct(docs: DataFrame, value: Column) -> DataFrame:
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.withColumn("_language", value).select(*keep, "_language.*")
+    Learns from the labelled rows of ``docs`` itself. Without any label only documents without
+    letters are rejected.
+    """
+    model = fit(docs, id, text, lang)
+    if not model.languages:
+        return docs.where(F.col(text).rlike(r"\p{L}"))
+    found = docs.withColumn("_language", prediction(docs.sparkSession, model, F.col(text)))
+    accepted = (F.col("_language.lang_pred") != UNKNOWN) & (F.col("_language.score") >= min_score)
+    return found.where(accepted).select(*docs.columns)
 
 
 def held_out(id: str = "doc_id") -> Column:

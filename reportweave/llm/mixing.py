@@ -112,26 +112,35 @@ def mix(
     seed: str = SEED,
     max_cells: int = MAX_CELLS,
 ) -> DataFrame:
-    """``docs`` with ``_<dim>`` for every dimension, ``_tokens``, ``_probability`` and ``_kept``.
+    """``row`` (a document's own columns), ``cell`` (its dimensions), ``tokens``, ``probability``
+    and ``kept`` for every row of ``docs``.
 
     ``dims`` are the expressions of the dimensions, ``tokens`` the size of a document. A null
     dimension counts as the empty string. Rows with equal ids are kept or dropped together; all
     rows with a null id too. No rows give no rows. Texts are read in place, in a second scan:
     only the cells move.
     """
-    named = {f"_{name}": F.coalesce(c.cast("string"), F.lit("")) for name, c in dims.items()}
-    columns = [c.alias(name) for name, c in named.items()]
-    summed = docs.select(*columns, tokens.alias("_tokens")).groupBy(*named)
+    names = [f"_{name}" for name in dims]
+    columns = [
+        F.coalesce(c.cast("string"), F.lit("")).alias(f"_{name}") for name, c in dims.items()
+    ]
+    summed = docs.select(*columns, tokens.alias("_tokens")).groupBy(*names)
     cells = store(summed.agg(F.sum("_tokens").alias("tokens")), "mix-sums")
     raked = rake(
         _checked(cells, max_cells), {f"_{k}": v for k, v in targets.items()}, budget, rounds
-    ).drop("tokens").withColumnRenamed("probability", "_probability")
+    ).select(*names, "probability")
     uniform = keys.uniform(seed, F.coalesce(F.col(id).cast("string"), F.lit("")))
+    own = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
     return (
-        docs.select("*", *columns, tokens.alias("_tokens"))
-        .join(F.broadcast(raked), list(named))
-        .select(*docs.columns, *named, "_tokens", "_probability")
-        .withColumn("_kept", uniform < F.col("_probability"))
+        docs.select(own, *columns, tokens.alias("tokens"), uniform.alias("_uniform"))
+        .join(F.broadcast(raked), names)
+        .select(
+            "row",
+            F.struct(*[F.col(f"_{name}").alias(name) for name in dims]).alias("cell"),
+            "tokens",
+            "probability",
+            (F.col("_uniform") < F.col("probability")).alias("kept"),
+        )
     )
 
 
@@ -141,16 +150,21 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     return mix(docs, dims, token_count(F.col("text")), FLATTEN)
 
 
+def keep_mixed(docs: DataFrame) -> DataFrame:
+    """The documents of the production mixture, with their own columns."""
+    return mix_documents(docs).where("kept").select("row.*")
+
+
 def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mix_documents(read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
     return mixed.select(
-        "doc_id",
-        F.col("_source").alias("source"),
-        F.col("_lang").alias("lang"),
-        F.col("_topic").alias("topic"),
-        F.col("_tokens").alias("n_tokens"),
-        F.round("_probability", 6).alias("probability"),
-        F.col("_kept").alias("kept"),
+        "row.doc_id",
+        "cell.source",
+        "cell.lang",
+        "cell.topic",
+        F.col("tokens").alias("n_tokens"),
+        F.round("probability", 6).alias("probability"),
+        "kept",
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reportweave.llm import bpe, chat_format, exact_dedup, language_id, mixing, near_dedup, sharding
+from reportweave.llm import bpe, chat_format, exact_dedup, language_id, mixing, near_dedup, sharding, warc
 
 CORPUS_QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -10,12 +10,14 @@ CORPUS_QUERIES = {
     "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_byte_bpe": bpe.op5_byte_bpe,
+    "op8_warc": warc.op8_warc,
     "op9_mixing": mixing.op9_mixing,
     "op10_chat_format": chat_format.op10_chat_format,
 }
 
 CORPUS_SQL = {
     "op4_exact_dedup": exact_dedup.SQL,
+    "op8_warc": warc.SQL,
     "op9_mixing": mixing.SQL,
     "op10_chat_format": chat_format.SQL,
 }
