@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reportweave.llm import bpe, chat_format, exact_dedup, language_id, mixing, near_dedup, sharding, warc
+from reportweave.llm import bpe, chat_format, exact_dedup, language_id, mixing, near_dedup, sharding, top_k, warc
 
 CORPUS_QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -10,6 +10,7 @@ CORPUS_QUERIES = {
     "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_byte_bpe": bpe.op5_byte_bpe,
+    "op6_exact_top_k": top_k.op6_exact_top_k,
     "op8_warc": warc.op8_warc,
     "op9_mixing": mixing.op9_mixing,
     "op10_chat_format": chat_format.op10_chat_format,
@@ -17,6 +18,7 @@ CORPUS_QUERIES = {
 
 CORPUS_SQL = {
     "op4_exact_dedup": exact_dedup.SQL,
+    "op6_exact_top_k": top_k.SQL,
     "op8_warc": warc.SQL,
     "op9_mixing": mixing.SQL,
     "op10_chat_format": chat_format.SQL,
