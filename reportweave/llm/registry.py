@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from reportweave.llm import bpe, chat_format, exact_dedup, language_id, mixing, near_dedup, sharding, top_k, warc
+from reportweave.llm import (
+    bpe,
+    chat_format,
+    exact_dedup,
+    html_text,
+    language_id,
+    mixing,
+    near_dedup,
+    sharding,
+    top_k,
+    warc,
+)
 
 CORPUS_QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -11,6 +22,7 @@ CORPUS_QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_byte_bpe": bpe.op5_byte_bpe,
     "op6_exact_top_k": top_k.op6_exact_top_k,
+    "op7_html_text": html_text.op7_html_text,
     "op8_warc": warc.op8_warc,
     "op9_mixing": mixing.op9_mixing,
     "op10_chat_format": chat_format.op10_chat_format,
