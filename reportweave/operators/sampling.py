@@ -2,8 +2,8 @@
 
 Rows are ordered by a digest of seed and id. The digest is uniform, so the first hex digits
 cut every group into up to 65,536 even buckets. Counting rows per bucket (a small table, summed
-before the shuffle) tells which buckets hold the wanted ranks; only rows of those buckets are
-ever ranked. No group, however large, is sorted by one task.
+before the shuffle) tells which buckets hold the wanted ranks. Rows are joined and ranked by
+group and bucket, never by group alone, so no group, however large, meets in one task.
 """
 
 from __future__ import annotations
@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 
 from reportweave.functions import keys
 
-MAX_GROUPS = 1_000
-BROADCAST_ROWS = 1_000_000
-SMALL_SAMPLE = 10_000
+DRAW_BLOCK = 10_000  # draws that one task makes at a time
 
 
 def _keyed(df: DataFrame, ids: Sequence[str], seed: int | str, key_of: Sequence[str]) -> DataFrame:
@@ -36,16 +34,17 @@ def _bucket_counts(keyed: DataFrame, groups: Sequence[str]) -> DataFrame:
     ).withColumn("_total", F.sum("_n").over(group))
 
 
-def _few(table: DataFrame, limit: int, what: str) -> DataFrame:
-    """Broadcast a table that must stay below ``limit`` rows; more rows are an error."""
-    size = F.count("*").over(Window.partitionBy(F.lit(0)))
-    checked = table.limit(limit + 1).withColumn("_size", size)
-    problem = F.raise_error(F.lit(f"more than {limit} {what}; set few_groups=False"))
-    return F.broadcast(
-        checked.where(F.when(F.col("_size") > limit, problem.cast("boolean")).otherwise(True)).drop(
-            "_size"
-        )
+def _join_buckets(keyed: DataFrame, wanted: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Rows of ``keyed`` in the buckets of ``wanted``; a null group is a group as well."""
+    names = [*groups, "_bucket"]
+    other = wanted.select(
+        *[F.col(c).alias(f"_w_{i}") for i, c in enumerate(names)],
+        *[c for c in wanted.columns if c not in names],
     )
+    same = F.lit(True)
+    for i, c in enumerate(names):
+        same = same & F.col(c).eqNullSafe(F.col(f"_w_{i}"))
+    return keyed.join(other, same).drop(*[f"_w_{i}" for i in range(len(names))])
 
 
 # ---------------------------------------------------------------- samples per group
@@ -58,34 +57,29 @@ def stratified_sample(
     ids: Sequence[str],
     seed: int | str,
     on_short: str = "error",
-    few_groups: bool = True,
     key_of: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``n`` rows of every group, without replacement.
+    """``n`` rows of every group, without replacement; with equal ids still exactly ``n``.
 
-    A group with fewer rows is an error, or is taken whole with ``on_short='take_all'``.
-    ``few_groups``: up to 1,000 groups, whose cut points are broadcast; otherwise joined.
+    A group with fewer rows is an error, or is taken whole with ``on_short='take_all'``. Rows
+    without a group form a group.
     """
     keyed = _keyed(df, ids, seed, key_of or ids)
-    cut = F.min(F.when(F.col("_before") + F.col("_n") >= n, F.col("_bucket")))
-    cuts = _bucket_counts(keyed, by).groupBy(*by).agg(
-        F.coalesce(cut, F.lit(keys.BUCKETS)).alias("_cut"), F.max("_total").alias("_total")
-    )
+    counts = _bucket_counts(keyed, by)
     if on_short == "error":
         problem = F.raise_error(
             F.concat(F.lit("group with too few rows: "), F.concat_ws(",", *by))
-        ).cast("int")
-        cuts = cuts.withColumn("_cut", F.when(F.col("_total") < n, problem).otherwise(F.col("_cut")))
-    cuts = cuts.select(*by, "_cut")
-    if few_groups:
-        cuts = _few(cuts, MAX_GROUPS, "groups")
-    order = Window.partitionBy(*by).orderBy("_key", *ids)
+        ).cast("bigint")
+        counts = counts.withColumn("_n", F.when(F.col("_total") < n, problem).otherwise(F.col("_n")))
+    wanted = counts.where((F.col("_before") < n) & (F.col("_n") > 0)).select(
+        *by, "_bucket", (F.lit(n) - F.col("_before")).alias("_need")
+    )
+    order = Window.partitionBy(*by, "_bucket").orderBy("_key", *ids)
     return (
-        keyed.join(cuts, list(by))
-        .where(F.col("_bucket") <= F.col("_cut"))
+        _join_buckets(keyed, wanted, by)
         .withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= n)
-        .drop("_key", "_bucket", "_cut", "_rank")
+        .where(F.col("_rank") <= F.col("_need"))
+        .drop("_key", "_bucket", "_need", "_rank")
     )
 
 
@@ -95,13 +89,15 @@ def bootstrap_sample(
     n: int,
     ids: Sequence[str],
     seed: int | str,
-    few_groups: bool = True,
 ) -> DataFrame:
     """``n`` draws from every group, with replacement; adds ``draw`` (0 to n-1).
 
-    A draw picks a rank of its group. The rank is found in the bucket counts by a join on
-    blocks of ranks, then only rows of drawn buckets are ranked and joined.
+    A draw picks a rank of its group. Draws are made in blocks spread over the tasks; a rank is
+    found in the bucket counts by a join on blocks of ranks, then only rows of drawn buckets are
+    ranked and joined. No draws (``n`` = 0) give no rows.
     """
+    if n == 0:
+        return df.where(F.lit(False)).withColumn("draw", F.lit(0).cast("bigint"))
     keyed = _keyed(df, ids, seed, ids)
     counts = _bucket_counts(keyed, by)
     width = F.greatest(F.ceil(F.col("_total") / keys.BUCKETS), F.lit(1)).cast("bigint")
@@ -115,31 +111,39 @@ def bootstrap_sample(
         ),
     )
     draw_key = keys.sample_key(f"draw:{seed}", *[F.col(c) for c in by], F.col("draw"))
+    first = F.explode(F.sequence(F.lit(0), F.lit(n - 1), F.lit(DRAW_BLOCK)))
+    last = F.least(F.col("_first") + DRAW_BLOCK - 1, F.lit(n - 1))
+    totals = counts.groupBy(*by).agg(F.max("_total").alias("_total"))
     draws = (
-        counts.groupBy(*by)
-        .agg(F.max("_total").alias("_total"))
-        .withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        totals.withColumn("_first", first)
+        .repartition(*by, "_first")
+        .withColumn("draw", F.explode(F.sequence(F.col("_first"), last)))
         .withColumn("draw", F.col("draw").cast("bigint"))
         .withColumn("_slot", F.pmod(keys.key_number(draw_key), F.col("_total")))
         .withColumn("_block", F.floor(F.col("_slot") / width))
-        .drop("_total")
+        .drop("_total", "_first")
+        .withColumnsRenamed({c: f"_d_{i}" for i, c in enumerate(by)} | {"_block": "_d_block"})
     )
+    same = F.col("_block") == F.col("_d_block")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_d_{i}"))
     located = (
-        draws.join(blocks, [*by, "_block"])
+        draws.join(blocks, same)
         .where(
             (F.col("_slot") >= F.col("_before"))
             & (F.col("_slot") < F.col("_before") + F.col("_n"))
         )
-        .select(*by, "_bucket", "draw", (F.col("_slot") - F.col("_before") + 1).alias("_rank"))
+        .select(*by, "_bucket", "draw", (F.col("_slot") - F.col("_before") + 1).alias("_at"))
     )
-    drawn_buckets = located.select(*by, "_bucket").distinct()
-    if few_groups and n * MAX_GROUPS <= BROADCAST_ROWS:
-        drawn_buckets = _few(drawn_buckets, n * MAX_GROUPS, "drawn buckets")
     order = Window.partitionBy(*by, "_bucket").orderBy("_key", *ids)
-    ranked = keyed.join(drawn_buckets, [*by, "_bucket"]).withColumn(
+    drawn = located.select(*by, "_bucket").distinct()
+    ranked = _join_buckets(keyed, drawn, by).withColumn(
         "_rank", F.row_number().over(order).cast("bigint")
     )
-    return ranked.join(located, [*by, "_bucket", "_rank"]).drop("_key", "_bucket", "_rank")
+    found = _join_buckets(ranked, located.withColumnRenamed("_at", "_wanted_rank"), by)
+    return found.where(F.col("_rank") == F.col("_wanted_rank")).drop(
+        "_key", "_bucket", "_rank", "_wanted_rank"
+    )
 
 
 def even_domain_sample(
@@ -172,16 +176,23 @@ def even_domain_sample(
 
 
 def simple_sample(df: DataFrame, n: int, ids: Sequence[str], seed: int | str) -> DataFrame:
-    """``n`` rows of the table, without replacement.
+    """``n`` rows of the table, without replacement; the whole table if it has fewer.
 
-    A small sample is a top-n: every task keeps its n best. A large one is a filter on the
-    key of the n-th row, so it is never gathered anywhere.
+    With equal ids still exactly ``n``. At most 65,536 bucket numbers are broadcast, so that
+    rows outside the sample do not move.
     """
-    keyed = df.withColumn("_key", keys.sample_key(seed, *[F.col(c) for c in ids]))
-    if n <= SMALL_SAMPLE:
-        return keyed.orderBy("_key", *ids).limit(n).drop("_key")
-    cut = _key_at_ranks(df, ids, seed, lambda total: [F.least(F.lit(n), total)])
-    return keyed.where(F.struct("_key", *ids) <= F.get(cut, F.lit(0))).drop("_key")
+    keyed = _keyed(df, ids, seed, ids)
+    counts = _bucket_counts(keyed.select("_bucket").withColumn("_all", F.lit(0)), ["_all"])
+    wanted = counts.where(F.col("_before") < n).select(
+        "_bucket", (F.lit(n) - F.col("_before")).alias("_need")
+    )
+    order = Window.partitionBy("_bucket").orderBy("_key", *ids)
+    return (
+        keyed.join(F.broadcast(wanted), "_bucket")
+        .withColumn("_rank", F.row_number().over(order))
+        .where(F.col("_rank") <= F.col("_need"))
+        .drop("_key", "_bucket", "_need", "_rank")
+    )
 
 
 def simple_bootstrap(df: DataFrame, n: int, ids: Sequence[str], seed: int | str) -> DataFrame:
@@ -232,7 +243,8 @@ def exact_split(
     """Adds ``split``: train, dev or test, in exact sizes.
 
     The held-out part has ``ceil(test_size * n)`` rows, of which ``ceil(dev_share * m)`` are
-    test. With ``dev_share=1`` there is no dev part (a plain two-way split).
+    test. With ``dev_share=1`` there is no dev part (a plain two-way split). Rows with equal ids
+    fall on one side together, so the sizes are exact for unique ids only.
     """
 
     def borders(total: Column) -> list[Column]:

@@ -24,10 +24,9 @@ def rows(spark):
 GROUPS = {"hot": range(0, 500), "warm": range(500, 697), "rare": range(697, 700)}
 
 
-@pytest.mark.parametrize("few", [True, False])
-@pytest.mark.parametrize("n", [0, 1, 3, 60, 300])
-def test_stratified_takes_the_first_n_by_key(rows, n, few):
-    got = sampling.stratified_sample(rows, ["g"], n, ["id"], 9, "take_all", few_groups=few).collect()
+@pytest.mark.parametrize("n", [0, 1, 3, 60, 300, 499])
+def test_stratified_takes_the_first_n_by_key(rows, n):
+    got = sampling.stratified_sample(rows, ["g"], n, ["id"], 9, "take_all").collect()
     for g, ids in GROUPS.items():
         expected = sorted(ids, key=lambda i: (key(9, i), i))[:n]
         assert sorted(r.id for r in got if r.g == g) == sorted(expected)
@@ -38,20 +37,39 @@ def test_short_group_is_an_error_by_default(rows):
         sampling.stratified_sample(rows, ["g"], 4, ["id"], 9).collect()
 
 
-def test_too_many_groups_for_a_broadcast_is_an_error(rows, monkeypatch):
-    monkeypatch.setattr(sampling, "MAX_GROUPS", 2)
-    with pytest.raises(Exception, match="more than 2 groups"):
-        sampling.stratified_sample(rows, ["g"], 1, ["id"], 9).collect()
+def test_many_groups_and_rows_without_a_group(spark):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") >= 4, F.col("id") % 5_000).alias("g"))
+    got = sampling.stratified_sample(rows, ["g"], 2, ["id"], 9, "take_all")
+    sizes = {r.g: r["count"] for r in got.groupBy("g").count().collect()}
+    assert len(sizes) == 5_001 and set(sizes.values()) == {2}
+    assert sampling.bootstrap_sample(rows, ["g"], 2, ["id"], 9).count() == 2 * 5_001
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_bootstrap_draws_the_row_at_the_drawn_rank(rows, few):
-    got = sampling.bootstrap_sample(rows, ["g"], 40, ["id"], 5, few_groups=few).collect()
-    assert len(got) == 120
+def test_rows_are_ranked_by_bucket(rows):
+    for sample in (
+        sampling.stratified_sample(rows, ["g"], 3, ["id"], 9), sampling.simple_sample(rows, 450, ["id"], 9)
+    ):
+        plan = sample._jdf.queryExecution().executedPlan().toString()
+        ranks = [line for line in plan.split("\n") if "row_number()" in line and "Window" in line]
+        assert ranks and all("_bucket" in line for line in ranks)
+
+
+def test_equal_ids_count_once_each(spark):
+    rows = spark.range(20_000).select((F.col("id") % 500).alias("id"), F.lit("x").alias("g"))
+    assert sampling.simple_sample(rows, 100, ["id"], 1).count() == 100
+    assert sampling.stratified_sample(rows, ["g"], 15_000, ["id"], 1).count() == 15_000
+
+
+def test_bootstrap_draws_the_row_at_the_drawn_rank(rows, monkeypatch):
+    monkeypatch.setattr(sampling, "DRAW_BLOCK", 7)
+    got = sampling.bootstrap_sample(rows, ["g"], 40, ["id"], 5).collect()
+    assert len(got) == 120 and {r.draw for r in got} == set(range(40))
     for r in got:
         order = sorted(GROUPS[r.g], key=lambda i: (key(5, i), i))
         slot = int(key("draw:5", r.g, r.draw)[:8], 16) % len(order)
         assert order[slot] == r.id
+    none = sampling.bootstrap_sample(rows, ["g"], 0, ["id"], 5)
+    assert none.count() == 0 and none.columns == ["id", "g", "draw"]
 
 
 def test_bootstrap_from_one_row(spark):
@@ -60,13 +78,9 @@ def test_bootstrap_from_one_row(spark):
 
 
 @pytest.mark.parametrize("n", [0, 1, 100, 699, 700, 900])
-def test_simple_sample_both_ways(rows, n, monkeypatch):
+def test_simple_sample_takes_the_first_n_by_key(rows, n):
     expected = sorted(sorted(range(700), key=lambda i: (key(3, i), i))[:n])
-    small = sampling.simple_sample(rows, n, ["id"], 3)
-    assert sorted(r.id for r in small.collect()) == expected
-    monkeypatch.setattr(sampling, "SMALL_SAMPLE", -1)
-    large = sampling.simple_sample(rows, n, ["id"], 3)
-    assert sorted(r.id for r in large.collect()) == expected
+    assert sorted(r.id for r in sampling.simple_sample(rows, n, ["id"], 3).collect()) == expected
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 10, 11, 333])
