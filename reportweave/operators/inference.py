@@ -19,26 +19,30 @@ SPAN_TYPE = "array<struct<entity_group:string,score:double,word:string,start:int
 Predict = Callable[[Sequence[str]], Sequence[Sequence[Mapping[str, object]]]]
 
 
-def model_spans(load: Callable[[], Predict], batch_size: int = 32) -> Callable[[Column], Column]:
-    """Column function for a span model.
+def model_spans(
+    loads: Sequence[Callable[[], Predict]], batch_size: int = 32
+) -> Callable[[Column], Column]:
+    """Column function for span models: one array of spans per model, in fields ``m0, m1, ...``.
 
-    ``load`` builds the model once per Python worker; it maps a list of texts to one list of
-    spans per text, with the keys of ``SPAN_TYPE``. Texts come in Arrow batches and are handed
-    on in slices of ``batch_size``.
+    ``loads`` build the models once per Python worker; each maps a list of texts to one list of
+    spans per text, with the keys of ``SPAN_TYPE``. Texts cross to Python once for all models, in
+    Arrow batches, and are handed on in slices of ``batch_size``. The column counts as
+    nondeterministic, so that no later step makes Spark run the models a second time.
     """
     keys = ("entity_group", "score", "word", "start", "end")
 
-    @F.pandas_udf(SPAN_TYPE)
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = load()
+    @F.pandas_udf(", ".join(f"m{i} {SPAN_TYPE}" for i in range(len(loads))))
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        models = [load() for load in loads]
         for texts in batches:
-            spans: list[list[dict[str, object]]] = []
+            spans: list[list[list[dict[str, object]]]] = [[] for _ in models]
             for at in range(0, len(texts), batch_size):
                 part = texts.iloc[at : at + batch_size].tolist()
-                spans += [[{k: s.get(k) for k in keys} for s in doc] for doc in model(part)]
-            yield pd.Series(spans, index=texts.index, dtype=object)
+                for found, model in zip(spans, models, strict=True):
+                    found += [[{k: s.get(k) for k in keys} for s in doc] for doc in model(part)]
+            yield pd.DataFrame({f"m{i}": pd.Series(f, dtype=object) for i, f in enumerate(spans)})
 
-    return predict
+    return predict.asNondeterministic()
 
 
 def annotate_with_models(
@@ -55,18 +59,16 @@ def annotate_with_models(
     Blank texts become the placeholder first, in the text column too. Works on streams.
     """
     filled = df.withColumn(text, tx.blank_placeholder(F.col(text)))
-    found = filled.withColumn("_ner", model_spans(ner, batch_size)(F.col(text))).withColumn(
-        "_neg", model_spans(negation, batch_size)(F.col(text))
-    )
+    found = filled.withColumn("_found", model_spans([ner, negation], batch_size)(F.col(text)))
     ents = en.first_overlap_negated(
         F.transform(
-            "_ner",
+            "_found.m0",
             lambda e: F.struct(
                 *[e[k].alias(k) for k in ("entity_group", "score", "word", "start", "end")],
                 F.lit(False).alias("negated"),
             ),
         ),
-        F.col("_neg"),
+        F.col("_found.m1"),
         closed,
     )
-    return found.withColumn(out, ents).drop("_ner", "_neg")
+    return found.withColumn(out, ents).drop("_found")

@@ -268,7 +268,7 @@ def _draws(group: str, n: int, by: str) -> str:
     return f"""SELECT unnest(range({n})) AS draw, * FROM {by}"""
 
 
-def _wide() -> str:
+def _wide(ents: str = "ents") -> str:
     cells = [
         f"count(*) FILTER (e.entity_group = '{d}' AND {'' if flag else 'NOT '}e.negated) AS {prefix}{d}"
         for flag, prefix in ((0, "asserted_"), (1, "denied_"))
@@ -276,7 +276,7 @@ def _wide() -> str:
     ]
     return (
         "SELECT d.doc_id, " + ", ".join(cells)
-        + " FROM documents d LEFT JOIN ents e ON e.doc_id = d.doc_id GROUP BY d.doc_id"
+        + f" FROM documents d LEFT JOIN {ents} e ON e.doc_id = d.doc_id GROUP BY d.doc_id"
     )
 
 
@@ -284,12 +284,11 @@ def _number(text: str) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
 
 
+# All spans are 40 wide, so the first that overlaps is the next to start from 40 before.
 _OVERLAP = """
-SELECT m.doc_id, m.ent_pos, m.entity_group, coalesce(f.grp = 'negated', false) AS negated{extra}
-FROM {marks} m LEFT JOIN (
-  SELECT m.doc_id, m.ent_pos, arg_min(s.grp, s.neg_pos) AS grp FROM {marks} m
-  JOIN neg_spans s ON s.doc_id = m.doc_id AND m.start <= s.stop AND s.start <= m.stop
-  GROUP BY m.doc_id, m.ent_pos) f ON f.doc_id = m.doc_id AND f.ent_pos = m.ent_pos"""
+SELECT m.doc_id, m.ent_pos, m.entity_group,
+       coalesce(s.start <= m.stop AND s.grp = 'negated', false) AS negated{extra}
+FROM {marks} m ASOF LEFT JOIN neg_spans s ON s.doc_id = m.doc_id AND m.start - 40 <= s.start"""
 
 _NUMBERED_WORDS = """(SELECT doc_id, label AS entity_group, start, stop,
   CAST(row_number() OVER (PARTITION BY doc_id ORDER BY tok_start) - 1 AS BIGINT) AS ent_pos FROM word_marks)"""
@@ -309,6 +308,7 @@ def checks() -> dict[str, str]:
     c["mention_negation"] = _OVERLAP.format(marks="ents", extra="")
     c["mention_negation_nested"] = c["mention_negation"]
     c["annotate"] = _OVERLAP.format(marks=_NUMBERED_WORDS, extra=', m.start, m.stop AS "end"')
+    c["annotate_counts"] = _wide(f"({c['annotate']})")
     c["domain_counts"] = (
         "SELECT doc_id, entity_group, negated, count(*) AS n FROM ents GROUP BY ALL"
     )

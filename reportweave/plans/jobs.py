@@ -6,7 +6,7 @@ Every job takes and returns DataFrames with a ``doc_id``; files are read and wri
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,12 +16,31 @@ from reportweave.functions import entities as en
 from reportweave.functions import labels as lb
 from reportweave.functions import text as tx
 from reportweave.operators import annotation, counts, evaluation, sampling, sections, tasks
+from reportweave.sources.stored import store
+
+# What finds the entities of a text column: phrases, or a function that adds ``ents``.
+Annotator = Mapping[str, str] | Callable[[DataFrame], DataFrame]
 
 # Texts whose labels are to be trained out, and the tokens cleared in them (fixed values).
 FEATURES_OF_CONCERN = "sinusitis|Infection Risk"
 CLEARED_TOKENS = ("Infection", "sinusitis")
 
 
+
+def _with_entities(
+    df: DataFrame,
+    annotator: Annotator,
+    rules: en.NegationRules | None,
+    text: str,
+    by_phrases: Callable[..., DataFrame] = annotation.assertions,
+) -> DataFrame:
+    """``df`` with ``ents``. A function gets and returns the whole rows, its text in ``text``."""
+    if isinstance(annotator, Mapping):
+        return by_phrases(df, annotator, rules, text)
+    named = annotator(df.withColumnRenamed(text, "text") if text != "text" else df)
+    return named.withColumnRenamed("text", text) if text != "text" else named
+
+
 # ---------------------------------------------------------------- production
 
 
@@ -32,12 +51,16 @@ def mask_reports(reports: DataFrame, masked: Column, out: str = "report_body_mas
 
 def extract_domains(
     reports: DataFrame,
-    phrases: Mapping[str, str],
-    rules: en.NegationRules,
+    annotator: Annotator,
+    rules: en.NegationRules | None = None,
     text: str = "report_body_masked",
 ) -> DataFrame:
-    """Every report with 92 domain counts. One pass over the table, no shuffle."""
-    return counts.domain_counts_wide(annotation.assertions(reports, phrases, rules, text))
+    """Every report with 92 domain counts. One pass over the table, no shuffle.
+
+    ``annotator``: phrases (with ``rules``), or a function such as a use of
+    ``annotate_with_models``; the user's models then run once per text.
+    """
+    return counts.domain_counts_wide(_with_entities(reports, annotator, rules, text))
 
 
 # ---------------------------------------------------------------- training sets
@@ -123,42 +146,46 @@ def fine_tuning_set(
 
 def prospective_tasks(
     counted: DataFrame,
-    phrases: Mapping[str, str],
-    rules: en.NegationRules,
+    annotator: Annotator,
+    rules: en.NegationRules | None,
     total: int,
     seed: int = 42,
     domains: Sequence[str] = vocab.EVALUATION_PATHOLOGIES,
     quota: int | None = None,
     text: str = "report_body",
+    length: tuple[int, int] = (30, 1000),
 ) -> DataFrame:
     """Pre-filled choice records from an even sample over domains.
 
     ``counted``: reports with domain counts. The quota per domain is the total over all
     evaluation domains, also when fewer are sampled, unless given.
     """
-    readable = counted.where(tx.length_between(F.col(text), 30, 1000))
+    readable = counted.where(tx.length_between(F.col(text), *length))
     each = quota if quota is not None else total // len(vocab.EVALUATION_PATHOLOGIES)
     columns = {d: f"asserted_{d}" for d in domains}
     sample = sampling.even_domain_sample(readable, columns, each, ["doc_id"], seed)
-    found = annotation.annotate(sample.select("doc_id", "domain", text), phrases, rules, text)
+    picked = sample.select("doc_id", "domain", text)
+    found = _with_entities(picked, annotator, rules, text, annotation.annotate)
     usable = found.where(~en.has_label(F.col("ents"), vocab.EXCLUDED_FROM_EVALUATION))
     return tasks.choice_tasks(usable, text=text, carry=["doc_id", "domain"])
 
 
 def section_review_tasks(
     reports: DataFrame, markers: Mapping[str, str], size: int, seed: int = 42,
-    text: str = "Narrative",
+    text: str = "Narrative", length: tuple[int, int] = (30, 1500),
 ) -> DataFrame:
     """Readable dumps of a text and its sections."""
-    readable = reports.where(tx.length_between(F.col(text), 30, 1500))
+    readable = reports.where(tx.length_between(F.col(text), *length))
     sample = sampling.simple_sample(readable, size, ["doc_id"], seed)
     found = sections.section_documents(sample, markers, text)
     return found.select("doc_id", tx.section_dump(F.col(text), F.col("sections")).alias("text"))
 
 
-def segmentation_tasks(reports: DataFrame, size: int, seed: int = 42) -> DataFrame:
+def segmentation_tasks(
+    reports: DataFrame, size: int, seed: int = 42, length: tuple[int, int] = (30, 1500)
+) -> DataFrame:
     """Joined section texts with section marks and tokens."""
-    readable = reports.where(tx.length_between(F.col("Narrative"), 30, 1500))
+    readable = reports.where(tx.length_between(F.col("Narrative"), *length))
     sample = sampling.simple_sample(readable, size, ["doc_id"], seed)
     marked = sections.section_offsets(sample).withColumn("tokens", tx.tokens(F.col("text")))
     return tasks.document_tasks(marked, carry=["doc_id"])
@@ -186,5 +213,9 @@ def gold_and_predicted(
 
 
 def evaluate_domains(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Metrics per label, and the documents that went wrong with what was found in them."""
+    """Metrics per label, and the documents that went wrong with what was found in them.
+
+    Both read what was scored several times, so it is stored: models run once per text.
+    """
+    scored = store(scored, "scored-documents")
     return evaluation.domain_metrics(scored), evaluation.label_errors(scored, ents="ents")

@@ -34,6 +34,7 @@ from reportweave.operators import (
     tasks,
 )
 from reportweave.operators.lookup import phrase_table
+from reportweave.plans import jobs
 from reportweave.plans import standins as st
 from reportweave.sources.stored import store
 from reportweave.sources.tables import read_table, spread_if_small
@@ -117,16 +118,23 @@ def negation_spans(spark: SparkSession, sf: str) -> DataFrame:
 
 def flagged_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with the four normality flags; unlabelled documents have null flags."""
-    docs = read_table(spark, sf, "documents").select("doc_id", "text")
-    marks = read_table(spark, sf, "labels")
     n = F.length("text")
-    return docs.join(marks, "doc_id", "left").select(
+    # Lengths are taken before the join: no text goes through it unless the result has it.
+    docs = read_table(spark, sf, "documents").select(
         "doc_id",
         F.col("text").alias("Narrative"),
         (n < 300).alias("IS_MISSING"),
-        (F.col("toxic") == 1).alias("IS_COMPARATIVE"),
-        ((F.col("quality") == 1) & (F.col("toxic") == 0) & (n > 1500)).alias("IS_NORMAL"),
-        ((F.col("quality") == 1) & (n > 3000)).alias("IS_NORMAL_FOR_AGE"),
+        (n > 1500).alias("_long"),
+        (n > 3000).alias("_longer"),
+    )
+    good, toxic = F.col("quality") == 1, F.col("toxic") == 1
+    return docs.join(read_table(spark, sf, "labels"), "doc_id", "left").select(
+        "doc_id",
+        "Narrative",
+        "IS_MISSING",
+        toxic.alias("IS_COMPARATIVE"),
+        (good & (F.col("toxic") == 0) & F.col("_long")).alias("IS_NORMAL"),
+        (good & F.col("_longer")).alias("IS_NORMAL_FOR_AGE"),
     )
 
 
@@ -882,9 +890,13 @@ def _negation_model():
     return predict
 
 
+def model_annotator(df: DataFrame) -> DataFrame:
+    return inference.annotate_with_models(df, _word_model, _negation_model)
+
+
 @query
 def annotate(spark, sf):
-    found = inference.annotate_with_models(documents(spark, sf), _word_model, _negation_model)
+    found = model_annotator(documents(spark, sf))
     return (
         found.select("doc_id", F.posexplode("ents").alias("ent_pos", "e"))
         .select(
@@ -898,6 +910,13 @@ def annotate(spark, sf):
     )
 
 
+@query
+def annotate_counts(spark, sf):
+    """Domain counts of what a pair of models finds."""
+    wide = jobs.extract_domains(documents(spark, sf), model_annotator, text="text")
+    return wide.drop("text", "ents")
+
+
 # ---------------------------------------------------------------- records and masking
 
 

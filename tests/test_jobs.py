@@ -69,3 +69,40 @@ def test_evaluation_of_accepted_records(spark, reports):
     assert rows["pathology_ischaemic"].recall == 0.5 and rows["pathology_ischaemic"].specificity == 1.0
     assert [(r.doc_id, r.kind, [f.entity_group for f in r.found]) for r in errors.collect()] == [
         (1, "false_negative", ["pathology_endocrine"])]
+
+
+def _loads():
+    def ner():
+        return lambda texts: [[{"entity_group": "haemorrhage", "score": 1.0, "word": "x", "start": 0, "end": 1}] for _ in texts]
+
+    def negation():
+        return lambda texts: [[{"entity_group": "negated", "score": 1.0, "word": "no", "start": 0, "end": 2}] for _ in texts]
+
+    return ner, negation
+
+
+def test_models_run_once_per_text(spark):
+    from reportweave.operators import inference
+
+    df = spark.createDataFrame([(1, "no bleed"), (2, None)], "doc_id bigint, text string")
+    found = inference.annotate_with_models(df, *_loads())
+    exploded = found.where(F.size("ents") > 0).select("doc_id", F.posexplode("ents").alias("p", "e"))
+    plan = exploded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert [r.e.negated for r in exploded.collect()] == [True, True]
+
+
+def test_jobs_take_a_model_backed_annotator(spark):
+    from reportweave.operators import inference
+
+    label = next(iter(vocab.DOMAINS))
+
+    def ner():
+        return lambda texts: [[{"entity_group": label, "score": 1.0, "word": "x", "start": 9, "end": 12}] for _ in texts]
+
+    annotator = lambda df: inference.annotate_with_models(df, ner, _loads()[1])
+    df = spark.createDataFrame([(1, "no bleed in it", "keep")], "doc_id bigint, report_body string, other string")
+    got = jobs.extract_domains(df, annotator, text="report_body")
+    assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    row = got.first()
+    assert row.other == "keep" and row[f"asserted_{label}"] == 1 and row[f"denied_{label}"] == 0
