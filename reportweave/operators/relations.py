@@ -42,15 +42,40 @@ def _link(op: str, a: Mapping[str, Column], b: Mapping[str, Column]) -> list[Col
     }[op]
 
 
+_TOKEN_TEXT = {"ORTH": "tok", "TEXT": "tok"}
+_COMPARE = {
+    "IN": lambda c, v: c.isin(list(v)),
+    "NOT_IN": lambda c, v: ~c.isin(list(v)),
+    "REGEX": lambda c, v: c.rlike(v),
+    "==": lambda c, v: c == v,
+    "!=": lambda c, v: c != v,
+    ">=": lambda c, v: c >= v,
+    "<=": lambda c, v: c <= v,
+    ">": lambda c, v: c > v,
+    "<": lambda c, v: c < v,
+}
+
+
 def _fits(attributes: Mapping[str, object]) -> Column:
-    """Whether a token fits a node: a value, or ``{"IN": [...]}`` per attribute."""
+    """Whether a token fits a node.
+
+    An attribute has a value or comparisons (``IN``, ``NOT_IN``, ``REGEX``, ``==`` and the like).
+    ``LOWER`` and ``LENGTH`` are made from the token; others, such as ``POS``, ``DEP`` or
+    ``ENT_TYPE``, are columns of that name in lower case. A null attribute fits nothing.
+    """
     fits = F.lit(True)
     for name, wanted in attributes.items():
-        column = F.lower("tok") if name.upper() == "LOWER" else F.col(
-            {"ORTH": "tok", "TEXT": "tok"}.get(name.upper(), name.lower())
+        known = name.upper()
+        column = (
+            F.lower("tok") if known == "LOWER"
+            else F.length("tok") if known == "LENGTH"
+            else F.col(_TOKEN_TEXT.get(known, name.lower()))
         )
-        values = wanted["IN"] if isinstance(wanted, Mapping) else [wanted]
-        fits = fits & column.isin(list(values))
+        tests = wanted if isinstance(wanted, Mapping) else {"==": wanted}
+        for op, value in tests.items():
+            if op not in _COMPARE:
+                raise ValueError(f"unknown comparison {op} of {name}")
+            fits = fits & F.coalesce(_COMPARE[op](column, value), F.lit(False))
     return fits
 
 
@@ -128,11 +153,22 @@ def ancestor_closure(deps: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 
     A sentence is one row of head positions. All its tokens climb together, one level per
     round, until the last has passed its root: as many rounds as the tree is deep, no bound
-    to choose. Roots are tokens that are their own head.
+    to choose. Roots are tokens that are their own head. Tokens may be numbered with gaps. A head
+    that is no token of the sentence, or a cycle, is an error.
     """
     sentences = deps.groupBy(doc_id, "sent").agg(
         F.array_sort(F.collect_list(F.struct("i", "head"))).alias("_rows")
     )
+    where = F.concat_ws(" ", F.lit("sentence"), F.col(doc_id).cast("string"), F.col("sent").cast("string"))
+
+    def position(ids: Column, head: Column) -> Column:
+        """Usually the distance to the first token; searched for where numbers are left out."""
+        near = (head - F.get(ids, F.lit(0))).cast("int")
+        found = F.array_position(ids, head).cast("int") - 1
+        problem = F.raise_error(F.concat(F.lit("head without a token in "), where)).cast("int")
+        return F.when((near >= 0) & F.coalesce(F.get(ids, near) == head, F.lit(False)), near).otherwise(
+            F.when(F.array_contains(ids, head), found).otherwise(problem)
+        )
 
     def climb(heads: Column, now: Column) -> Column:
         """Position of the head; null once a token has passed its root."""
@@ -140,14 +176,18 @@ def ancestor_closure(deps: DataFrame, doc_id: str = "doc_id") -> DataFrame:
             now, lambda p: F.when(F.get(heads, p) != p, F.get(heads, p))
         )
 
+    def pairs(up: Column) -> Column:
+        found = F.transform(up, lambda p, k: F.struct(k.alias("k"), p.alias("p")))
+        return F.filter(found, lambda x: x["p"].isNotNull())
+
     def levels(heads: Column) -> Column:
         own = F.transform(heads, lambda h, k: k)
-        none = F.array().cast("array<array<int>>")
+        none = F.array().cast("array<array<struct<k:int,p:int>>>")
 
         def next_level(acc: Column, up: Column) -> Column:
             return F.struct(
                 up.alias("now"),
-                F.array_append(acc["all"], up).alias("all"),
+                F.array_append(acc["all"], pairs(up)).alias("all"),
                 (~F.exists(up, lambda p: p.isNotNull())).alias("done"),
             )
 
@@ -156,28 +196,39 @@ def ancestor_closure(deps: DataFrame, doc_id: str = "doc_id") -> DataFrame:
                 bind(climb(heads, acc["now"]), lambda up: next_level(acc, up))
             )
 
+        problem = F.raise_error(F.concat(F.lit("heads in a cycle in "), where))
         return F.aggregate(
             heads,
             F.struct(own.alias("now"), none.alias("all"), F.lit(False).alias("done")),
             round_,
-            lambda acc: acc["all"],
+            lambda acc: F.when(acc["done"], acc["all"]).otherwise(
+                problem.cast("array<array<struct<k:int,p:int>>>")
+            ),
         )
 
-    # Heads as positions within the sentence: its tokens are numbered without gaps.
-    work = sentences.withColumn("_first", F.get("_rows", F.lit(0))["i"]).withColumn(
-        "_heads", F.transform("_rows", lambda r: (r["head"] - F.col("_first")).cast("int"))
+    work = sentences.withColumn("_ids", F.transform("_rows", lambda r: r["i"]))
+    work = work.withColumn(
+        "_heads", F.transform("_rows", lambda r: position(F.col("_ids"), r["head"]))
     )
     work = work.withColumn("_levels", bind(F.col("_heads"), levels))
-    # Exploded rows carry the sentence's first position, not its arrays.
+    # Numbers instead of positions before rows are made, so that no row carries the sentence.
+    named = F.transform(
+        "_levels",
+        lambda level: F.transform(
+            level,
+            lambda x: F.struct(
+                F.get(F.col("_ids"), x["k"]).alias("i"), F.get(F.col("_ids"), x["p"]).alias("anc")
+            ),
+        ),
+    )
     return (
-        work.select(doc_id, "sent", "_first", F.posexplode_outer("_levels").alias("_level", "_up"))
-        .select(doc_id, "sent", "_first", "_level", F.posexplode_outer("_up").alias("_k", "_anc"))
-        .where("_anc is not null")
+        work.select(doc_id, "sent", F.posexplode(named).alias("_level", "_pairs"))
+        .select(doc_id, "sent", "_level", F.explode("_pairs").alias("_pair"))
         .select(
             doc_id,
             "sent",
-            (F.col("_first") + F.col("_k")).alias("i"),
-            (F.col("_first") + F.col("_anc")).alias("anc"),
+            "_pair.i",
+            "_pair.anc",
             (F.col("_level") + 1).cast("bigint").alias("depth"),
         )
     )

@@ -192,3 +192,27 @@ def test_codes_round_trip(spark):
 
 def test_truncate(spark):
     assert spark.range(1).select(tx.truncate(F.array(F.lit(1), F.lit(2)), 1)).head()[0] == [1]
+
+
+def test_closure_with_gaps_missing_heads_and_cycles(spark):
+    deps = lambda rows: spark.createDataFrame([(1, 0, i, h) for i, h in rows], "doc_id bigint, sent bigint, i bigint, head bigint")
+    got = relations.ancestor_closure(deps([(0, 0), (2, 0), (4, 2), (5, 4)])).collect()
+    assert {(r.i, r.anc, r.depth) for r in got} == {(2, 0, 1), (4, 2, 1), (4, 0, 2), (5, 4, 1), (5, 2, 2), (5, 0, 3)}
+    with pytest.raises(Exception, match="cycle"):
+        relations.ancestor_closure(deps([(0, 1), (1, 0)])).collect()
+    with pytest.raises(Exception, match="head without a token"):
+        relations.ancestor_closure(deps([(0, 0), (2, 1)])).collect()
+
+
+def test_pattern_comparisons(spark):
+    rows = [(1, 0, 0, 0, "Bleed", "ROOT", "NOUN", "X"), (1, 0, 1, 0, "big", "amod", "ADJ", None), (1, 0, 2, 0, "old", "amod", "ADJ", "Y")]
+    tokens = spark.createDataFrame(rows, "doc_id bigint, sent bigint, i bigint, head bigint, tok string, dep string, pos string, ent_type string")
+    root = {"RIGHT_ID": "a", "RIGHT_ATTRS": {"POS": "NOUN"}}
+    for attributes, wanted in (
+        ({"POS": {"NOT_IN": ["NOUN"]}}, {1, 2}), ({"TEXT": {"REGEX": "^b"}}, {1}), ({"ENT_TYPE": {"!=": "X"}}, {2}),
+        ({"LENGTH": {">=": 3}, "LOWER": {"IN": ["old"]}}, {2}), ({"DEP": "amod", "LENGTH": {">": 3}}, set()),
+    ):
+        node = {"RIGHT_ID": "b", "LEFT_ID": "a", "REL_OP": ">>", "RIGHT_ATTRS": attributes}
+        assert {r.tok_j for r in relations.match_pattern(tokens, [root, node]).collect()} == wanted
+    with pytest.raises(ValueError, match="unknown comparison"):
+        relations.match_pattern(tokens, [{"RIGHT_ID": "a", "RIGHT_ATTRS": {"POS": {"LIKE": "x"}}}])
