@@ -79,27 +79,19 @@ def multilabel_confusion(
     pred: str = "pred",
     classes: str = "gold",
 ) -> DataFrame:
-    """``label, tn, fp, fn, tp`` over all documents."""
-    names = literal_array(keep)
-    long = df.select(
-        F.explode(
-            F.transform(
-                names,
-                lambda l: F.struct(
-                    l.alias("label"),
-                    F.coalesce(F.array_contains(gold, l), F.lit(False)).alias("g"),
-                    F.coalesce(F.array_contains(pred, l), F.lit(False)).alias("p"),
-                ),
-            )
-        ).alias("r")
-    ).select("r.*")
-    g, p = F.col("g"), F.col("p")
-    counts = long.groupBy("label").agg(
-        F.count_if(~g & ~p).alias("tn"),
-        F.count_if(~g & p).alias("fp"),
-        F.count_if(g & ~p).alias("fn"),
-        F.count_if(g & p).alias("tp"),
-    )
+    """``label, tn, fp, fn, tp`` over all documents, counted in one aggregate without more rows."""
+
+    def cell(label: str) -> Column:
+        g, p = (F.coalesce(F.array_contains(c, label), F.lit(False)) for c in (gold, pred))
+        return F.struct(
+            F.lit(label).alias("label"),
+            F.count_if(~g & ~p).alias("tn"),
+            F.count_if(~g & p).alias("fp"),
+            F.count_if(g & ~p).alias("fn"),
+            F.count_if(g & p).alias("tp"),
+        )
+
+    counts = df.agg(F.array(*[cell(label) for label in keep]).alias("a")).select(F.inline("a"))
     return counts.where(F.col("tp") + F.col("fn") > 0) if classes == "gold" else counts
 
 
@@ -273,16 +265,19 @@ def label_errors(
     ents: str | None = None,
     doc_id: str = "doc_id",
     classes: str = "gold",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``doc_id, label, kind`` of every false positive and false negative.
 
+    ``carry`` are further columns to keep, such as the text of the document.
+
     With ``ents``, the asserted entities of the keep list as ``(word, entity_group)`` too.
     Both lists sit in the row, so no join is needed.
     """
     kept = literal_array(keep) if classes == "keep_list" else _class_array(
         df, keep, gold, classes
     )
-    columns = [doc_id]
+    columns = [doc_id, *carry]
     if ents is not None:
         df = df.withColumn(
             "found",
@@ -309,12 +304,15 @@ def label_errors(
 
 def gold_vs_pred(
     df: DataFrame, keep: Sequence[str] = vocab.EVALUATION_PATHOLOGIES,
-    gold: str = "gold", pred: str = "pred", doc_id: str = "doc_id",
+    gold: str = "gold", pred: str = "pred", doc_id: str = "doc_id", carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``doc_id, label, prediction``: both lists reduced to the keep list and sorted."""
+    """``doc_id, label, prediction``: both lists reduced to the keep list and sorted.
+
+    ``carry`` are further columns to keep, such as the text of the document.
+    """
     names = literal_array(keep)
     pick = lambda c: F.array_sort(F.array_intersect(c, names))
-    return df.select(doc_id, pick(gold).alias("label"), pick(pred).alias("prediction"))
+    return df.select(doc_id, *carry, pick(gold).alias("label"), pick(pred).alias("prediction"))
 
 
 def span_scores(gold: DataFrame, pred: DataFrame, doc_id: str = "doc_id") -> DataFrame:

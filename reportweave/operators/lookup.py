@@ -8,11 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportweave.functions.labels import sql_text
-from reportweave.sources.tables import estimated_bytes
 
 HOT_KEYS = 10_000
-BROADCAST_LIMIT = 64 * 1024 * 1024
-SALTS = 16
 
 
 def phrase_table(spark: SparkSession, phrases: Mapping[str, str]) -> DataFrame:
@@ -27,14 +24,10 @@ def phrase_table(spark: SparkSession, phrases: Mapping[str, str]) -> DataFrame:
 def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``rows`` with the matching row of ``table`` (unique on ``keys``); others are dropped.
 
-    A table the optimizer knows to be small is broadcast. A larger one is copied once per
-    salt, so that the rows of one frequent key are spread over 16 tasks.
+    A plain join: Spark broadcasts a table below its own threshold, also one that only turns out
+    small at run time, and splits the partition of a frequent key in a larger join.
     """
-    if estimated_bytes(table) <= BROADCAST_LIMIT:
-        return rows.join(F.broadcast(table), list(keys))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+    return rows.join(table, list(keys))
 
 
 def weighted_lookup(

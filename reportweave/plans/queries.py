@@ -37,7 +37,7 @@ from reportweave.operators.lookup import phrase_table
 from reportweave.plans import jobs
 from reportweave.plans import standins as st
 from reportweave.sources.stored import store
-from reportweave.sources.tables import read_table, spread_if_small
+from reportweave.sources.tables import read_table, spread_locally
 
 Query = Callable[[SparkSession, str], DataFrame]
 SEED = st.SAMPLE_SEED
@@ -53,7 +53,7 @@ def query(f: Query) -> Query:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread_if_small(read_table(spark, sf, "documents").select("doc_id", "text"))
+    return spread_locally(read_table(spark, sf, "documents").select("doc_id", "text"))
 
 
 def annotated(spark: SparkSession, sf: str) -> DataFrame:

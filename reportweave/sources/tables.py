@@ -4,28 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-SPREAD_LIMIT = 64 * 1024 * 1024
-
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Size the optimizer expects for a plan; file size for a plain scan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_if_small(df: DataFrame) -> DataFrame:
-    """Rows of a small table spread over all cores.
+def spread_locally(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores in a session on one machine; on a cluster ``df`` as it is.
 
-    Parquet splits at row groups only, so a small file is read by one task and the text work
-    behind it would run on one core. Large tables have row groups enough and are left alone:
-    no shuffle there.
+    Test files have one row group, which one task reads. On a cluster tables have row groups
+    enough, and no text is moved for this.
     """
-    if estimated_bytes(df) > SPREAD_LIMIT:
+    context = df.sparkSession.sparkContext
+    if not context.master.startswith("local["):
         return df
-    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(2 * context.defaultParallelism)
 
 
 def save_dataset(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -110,16 +110,20 @@ def test_blank_text_yields_a_row(spark):
     assert [r.ents for r in annotation.annotate(df, PHRASES, RULES).collect()] == [[], [], []]
 
 
-def test_join_form_equals_row_form(spark, texts, monkeypatch):
+def test_join_form_equals_row_form(spark, texts):
     df, _ = texts
     row = longform.mention_table(annotation.annotate(df, PHRASES)).select(
         "doc_id", "ent_pos", "entity_group", "start", "end", "tok_start", "tok_end")
     expected = sorted(map(tuple, row.collect()))
     table = phrase_table(spark, PHRASES)
     assert sorted(map(tuple, gazetteer.gazetteer_mentions(df, table, 3).collect())) == expected
-    # The way for phrase tables beyond the broadcast limit.
-    monkeypatch.setattr("reportweave.operators.lookup.BROADCAST_LIMIT", -1)
-    assert sorted(map(tuple, gazetteer.gazetteer_mentions(df, table, 3).collect())) == expected
+    # The way for phrase tables beyond Spark's broadcast threshold.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, gazetteer.gazetteer_mentions(df, table, 3).collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def overlap_reference(ents, spans, closed):

@@ -126,3 +126,16 @@ def test_task_records(spark):
     assert r.accept == ["pathology-vascular"]
     spans = spark.sql("select array(named_struct('token_start',2,'token_end',2,'label','x')) s")
     assert tuple(spans.select(tasks.exclusive_ends(F.col("s"))).head()[0][0]) == ("x", 2, 3)
+
+
+def test_errors_and_comparison_carry_the_text(spark):
+    df = spark.createDataFrame([(1, ["a"], ["b"], "whole text")], "doc_id bigint, gold array<string>, pred array<string>, text string")
+    errors = evaluation.label_errors(df, ["a", "b"], classes="keep_list", carry=["text"])
+    assert errors.columns == ["doc_id", "text", "label", "kind"] and {r.text for r in errors.collect()} == {"whole text"}
+    assert evaluation.gold_vs_pred(df, ["a", "b"], carry=["text"]).first().text == "whole text"
+
+
+def test_confusion_is_one_aggregate_without_new_rows(spark):
+    df = spark.createDataFrame([(1, ["a"], ["b"])], "doc_id bigint, gold array<string>, pred array<string>")
+    plan = evaluation.multilabel_confusion(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "explode" not in plan
