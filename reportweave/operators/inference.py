@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reportweave.functions import entities as en
 from reportweave.functions import text as tx
+from reportweave.operators.sections import sections_from_labels
 
 SPAN_TYPE = "array<struct<entity_group:string,score:double,word:string,start:int,end:int>>"
 Predict = Callable[[Sequence[str]], Sequence[Sequence[Mapping[str, object]]]]
@@ -45,6 +46,41 @@ def model_spans(
     return predict.asNondeterministic()
 
 
+LabelTokens = Callable[[Sequence[Sequence[str]]], Sequence[Sequence[str]]]
+
+
+def model_labels(
+    load: Callable[[], LabelTokens], batch_size: int = 32
+) -> Callable[[Column], Column]:
+    """Column function for a model that gives one label per token; as ``model_spans`` otherwise."""
+
+    @F.pandas_udf("array<string>")
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = load()
+        for rows in batches:
+            labels: list[list[str]] = []
+            for at in range(0, len(rows), batch_size):
+                part = [list(tokens) for tokens in rows.iloc[at : at + batch_size]]
+                labels += [list(found) for found in model(part)]
+            yield pd.Series(labels, index=rows.index, dtype=object)
+
+    return predict.asNondeterministic()
+
+
+def section_with_model(
+    df: DataFrame,
+    load: Callable[[], LabelTokens],
+    text: str = "text",
+    out: str = "sections",
+    batch_size: int = 32,
+    keep_prefix: bool = False,
+) -> DataFrame:
+    """Adds sections by a model that labels tokens: ``O``, or the section that starts there."""
+    columns = [c for c in df.columns if c != out]
+    labelled = df.withColumn("_label", model_labels(load, batch_size)(tx.words(F.col(text))))
+    return sections_from_labels(labelled, "_label", text, out, keep_prefix).select(*columns, out)
+
+
 def annotate_with_models(
     df: DataFrame,
     ner: Callable[[], Predict],

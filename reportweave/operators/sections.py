@@ -115,6 +115,34 @@ def section_documents(
     )
 
 
+def sections_from_labels(
+    df: DataFrame,
+    labels: str = "labels",
+    text: str = "text",
+    out: str = "sections",
+    keep_prefix: bool = False,
+) -> DataFrame:
+    """Adds ``ARRAY<STRUCT<section,text>>`` from one label per token, such as a model gives.
+
+    ``labels`` is an array column: ``O``, or the name of the section that starts at the token.
+    Tokens are those of ``functions.text.words``; a text whose labels differ in number is an
+    error, a null array counts as empty.
+    """
+    columns = [c for c in df.columns if c != out]
+    given = F.coalesce(F.col(labels), F.array().cast("array<string>"))
+    problem = F.raise_error(F.lit("as many labels as tokens are needed")).cast("array<string>")
+    work = df.withColumn("_parts", tx.pieces(F.col(text)))
+    work = work.withColumn(
+        "_labels", F.when(F.size(given) == F.size("_parts"), given).otherwise(problem)
+    )
+    work = work.withColumn(
+        "_slices", bind(F.col("_labels"), lambda l: section_slices(l, keep_prefix))
+    )
+    return work.select(
+        *columns, settled(merge_sections(slice_texts(F.col("_slices"), F.col("_parts"))), out)
+    )
+
+
 def assemble_sections(
     pieces: DataFrame, doc_id: str, section: str = "section", order: str = "ord", text: str = "text"
 ) -> DataFrame:

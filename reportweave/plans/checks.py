@@ -367,6 +367,7 @@ SELECT vec_id, CAST(floor(embedding[1]::DOUBLE / 0.05::DOUBLE) AS BIGINT) || ':'
 
     c["section_boundaries"] = "SELECT * FROM slices"
     c["section_documents"] = "SELECT doc_id, ord, section, text FROM doc_sections"
+    c["section_by_model"] = c["section_documents"]
     c["section_dump"] = """
 SELECT d.doc_id, d.text || chr(10) || chr(10) || coalesce(string_agg(s.section || chr(10) || s.text,
   chr(10) || chr(10) ORDER BY s.ord), '') AS dump

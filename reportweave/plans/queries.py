@@ -507,6 +507,20 @@ def section_documents(spark, sf):
     )
 
 
+def _section_model():
+    """Stand-in for a token model: the marker words, from the Python side."""
+    names = st.SECTION_MARKERS
+    return lambda texts: [[names.get(t.lower(), vocab.OUTSIDE) for t in tokens] for tokens in texts]
+
+
+@query
+def section_by_model(spark, sf):
+    found = inference.section_with_model(documents(spark, sf), _section_model)
+    return found.select("doc_id", F.posexplode("sections").alias("ord", "s")).select(
+        "doc_id", F.col("ord").cast("bigint").alias("ord"), "s.section", "s.text"
+    )
+
+
 @query
 def section_dump(spark, sf):
     return _sectioned_documents(spark, sf).select(

@@ -216,3 +216,23 @@ def test_pattern_comparisons(spark):
         assert {r.tok_j for r in relations.match_pattern(tokens, [root, node]).collect()} == wanted
     with pytest.raises(ValueError, match="unknown comparison"):
         relations.match_pattern(tokens, [{"RIGHT_ID": "a", "RIGHT_ATTRS": {"POS": {"LIKE": "x"}}}])
+
+
+def test_sections_from_token_labels(spark):
+    text = "Head a, b. Body: c  d"
+    df = spark.createDataFrame([(k, text) for k in range(100)] + [(100, None)], "doc_id bigint, text string")
+
+    def load():
+        names = {"Head": "report_header", "Body": "report_body"}
+        return lambda rows: [[names.get(t, "O") for t in tokens] for tokens in rows]
+
+    from reportweave.operators import inference
+
+    found = inference.section_with_model(df, load, batch_size=7)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    got = found.collect()
+    expected = [("report_header", "Head a, b."), ("report_body", "Body: c  d")]
+    assert all([tuple(s) for s in r.sections] == expected for r in got if r.text)
+    assert [r.sections for r in got if r.text is None] == [[]]
+    with pytest.raises(Exception, match="as many labels as tokens"):
+        sections.sections_from_labels(df.withColumn("labels", F.array(F.lit("O")))).collect()
