@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reportweave.llm.batches import slices
@@ -28,6 +28,7 @@ FIT_DOCS = 6_000  # labelled documents to learn from
 MODEL_WORDS = 50_000  # most frequent words kept
 MODEL_GRAMS = 50_000  # most frequent n-grams kept
 LONGEST_GRAM = 5
+SAMPLE_BUCKETS = 16_384
 MEMO_WORDS = 200_000  # unseen words whose scores a worker remembers
 UNKNOWN = "und"
 MIN_SCORE = 0.5  # less certain documents are rejected where a pipeline filters
@@ -53,17 +54,17 @@ def words_of(text: str) -> list[str]:
 def bounded_sample(rows: DataFrame, id: str, limit: int) -> DataFrame:
     """Whole hash buckets of ``rows``, as many as hold up to ``limit`` rows.
 
-    65,536 buckets are counted by a pre-aggregated sum, so the choice is repeatable and gathers
-    no rows. With fewer rows than ``limit`` it is the whole table.
+    Buckets are counted by a pre-aggregated sum, so the choice is repeatable and gathers no rows;
+    one number comes back. With fewer rows than ``limit`` it is the whole table.
     """
-    bucket = F.pmod(F.xxhash64(F.col(id).cast("string"), F.lit("language sample")), F.lit(65_536))
-    counts = sorted(rows.groupBy(bucket.alias("bucket")).count().collect())
-    total, cut = 0, -1
-    for number, n in counts:
-        if total + n > limit:
-            break
-        total, cut = total + n, number
-    return rows.where(bucket <= cut)
+    bucket = F.pmod(
+        F.xxhash64(F.col(id).cast("string"), F.lit("language sample")), F.lit(SAMPLE_BUCKETS)
+    )
+    counts = rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("bucket"))
+    fitting = counts.select("bucket", so_far.alias("rows")).where(F.col("rows") <= limit)
+    cut = fitting.agg(F.max("bucket")).first()[0]
+    return rows.where(bucket <= (-1 if cut is None else cut))
 
 
 def count_words(rows: DataFrame, lang: str, text: str) -> DataFrame:
@@ -103,13 +104,18 @@ def count_grams(words: DataFrame, longest: int = LONGEST_GRAM) -> DataFrame:
     return grams.groupBy("lang", "token").agg(F.sum("n").alias("n"))
 
 
-def _strongest(counts: DataFrame, limit: int) -> dict[str, dict[str, int]]:
-    """Counts per language of the ``limit`` tokens with the largest totals: a bounded model."""
-    per_token = counts.groupBy("token").agg(
-        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")
-    )
-    best = per_token.orderBy(F.col("total").desc(), "token").limit(limit)
-    return {row["token"]: row["by"] for row in best.collect()}
+def _strongest(
+    counts: DataFrame, limit: int, languages: list[str]
+) -> tuple[list[str], np.ndarray]:
+    """The ``limit`` tokens with the largest totals and their counts by language: a bounded model."""
+    by_language = [
+        F.sum(F.when(F.col("lang") == name, F.col("n")).otherwise(0)).alias(f"n{i}")
+        for i, name in enumerate(languages)
+    ]
+    per_token = counts.groupBy("token").agg(F.sum("n").alias("total"), *by_language)
+    best = per_token.orderBy(F.col("total").desc(), "token").limit(limit).drop("total").toArrow()
+    columns = [best.column(i + 1).to_numpy() for i in range(len(languages))]
+    return best.column(0).to_pylist(), np.column_stack(columns) if columns else np.zeros((0, 0))
 
 
 def fit(
@@ -129,22 +135,21 @@ def fit(
     sample = bounded_sample(rows, id, fit_docs)
     words = store(count_words(sample, lang, text), "language-words")
     grams = store(count_grams(words), "language-grams")
-    found = []
-    for counts, limit in ((words, model_words), (grams, model_grams)):
-        sums = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        found.append((sums, _strongest(counts, limit)))
-    languages = sorted(found[0][0], key=lambda name: (-found[0][0][name], name))
+    sums = [
+        {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+        for counts in (words, grams)
+    ]
+    languages = sorted(sums[0], key=lambda name: (-sums[0][name], name))
     index: list[dict[str, int]] = []
-    table: list[list[float]] = []
-    for sums, tokens in found:
-        index.append({token: len(table) + i for i, token in enumerate(tokens)})
-        for by in tokens.values():
-            table.append([
-                math.log((by.get(name, 0) + 0.5) / (sums.get(name, 0) + 0.5 * len(tokens) + 1))
-                for name in languages
-            ])
-    shape = (len(table), len(languages))
-    return LanguageModel(languages, index[0], index[1], np.array(table, float).reshape(shape))
+    tables: list[np.ndarray] = []
+    at = 0
+    for counts, limit, total in zip((words, grams), (model_words, model_grams), sums, strict=True):
+        tokens, found = _strongest(counts, limit, languages)
+        index.append({token: at + i for i, token in enumerate(tokens)})
+        all_of = np.array([total.get(name, 0) for name in languages], float)
+        tables.append(np.log((found + 0.5) / (all_of + 0.5 * len(tokens) + 1)))
+        at += len(tokens)
+    return LanguageModel(languages, index[0], index[1], np.concatenate(tables))
 
 
 class Scorer:
