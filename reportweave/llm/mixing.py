@@ -96,7 +96,7 @@ def rake(
                 "_weight",
                 F.when(have > 0, F.least(scaled, F.col("tokens").cast("double"))).otherwise(0.0),
             )
-        raked = raked.checkpoint()  # a few rows; keeps the plan short
+        raked = store(raked, "mix-round")  # a few rows; keeps the plan short
     kept = F.when(F.col("tokens") > 0, F.col("_weight") / F.col("tokens")).otherwise(float(budget))
     return raked.select(*cells.columns, kept.alias("probability"))
 
