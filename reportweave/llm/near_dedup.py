@@ -33,7 +33,7 @@ from reportweave.sources.tables import read_table
 SIMILAR_PERCENT = 80
 SHINGLE_WORDS = 5
 BLOCK_ROWS = 4_096  # sketches in a block
-BLOCK_SHINGLES = 1_000_000  # shingles of members in a block
+BLOCK_SHINGLES = 100_000  # shingles of full sets in a block
 
 
 # ---------------------------------------------------------------- sets and sketches
@@ -250,22 +250,32 @@ def _targets(table: pa.Table, threshold: float) -> set[tuple[int, int]]:
 
 
 def _links_into(
-    suspects: DataFrame, members: DataFrame, sets: DataFrame, percent: int
+    suspects: DataFrame, members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int
 ) -> DataFrame:
     """``a, b``: for a suspect class and a block of its target component, a link if there is one.
 
-    ``members`` (``comp, id, n, comp_shingles``) are the classes of the target components.
+    ``members`` (``comp, id, n, comp_shingles``) are the classes of the target components, and
+    ``sizes`` (``id, n``) those of all. A component's members and the classes that ask are both
+    cut into blocks of bounded size, and every block of one meets every block of the other.
     """
-    blocks = _blocks("comp_shingles", BLOCK_SHINGLES)
-    inside = members.select(
-        "comp", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"), "id", F.lit(0).alias("asks")
+    by_comp = members.groupBy("comp").agg(F.max("comp_shingles").alias("comp_shingles"))
+    asked_by = suspects.withColumnRenamed("target", "comp").join(sizes, "id")
+    asked_by_comp = asked_by.groupBy("comp").agg(F.sum("n").alias("stray_shingles"))
+    counts = by_comp.join(asked_by_comp, "comp").select(
+        "comp",
+        _blocks("comp_shingles", BLOCK_SHINGLES).alias("inner_blocks"),
+        _blocks("stray_shingles", BLOCK_SHINGLES).alias("outer_blocks"),
     )
-    counts = members.groupBy("comp").agg(F.max("comp_shingles").alias("comp_shingles"))
-    asking = suspects.withColumnRenamed("target", "comp").join(counts, "comp").select(
-        "comp", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "id", F.lit(1).alias("asks")
+    one_of = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    each_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    inside = members.select("comp", "id").join(counts, "comp").select(
+        "comp", one_of("inner_blocks").alias("i"), each_of("outer_blocks").alias("j"), "id", F.lit(0).alias("asks")
+    )
+    asking = asked_by.join(counts, "comp").select(
+        "comp", each_of("inner_blocks").alias("i"), one_of("outer_blocks").alias("j"), "id", F.lit(1).alias("asks")
     )
     rows = inside.unionByName(asking).join(sets, "id")
-    keys = ["comp", "block"]
+    keys = ["comp", "i", "j"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, keys):
@@ -353,7 +363,7 @@ def near_duplicates(
         members = store(totals.join(sums, "comp"), "target-members")
         wanted = members.select("id").union(suspects.select("id")).distinct()
         sets = store(_full_sets(known, wanted, width), "shingle-sets")
-        more = store(_links_into(suspects, members, sets, percent), "further-links")
+        more = store(_links_into(suspects, members, reps.select("id", "n"), sets, percent), "further-links")
         found = connected_components(links.union(more))
 
     named = sketches.select("id", "n", "digest").join(classes, "digest", "left")

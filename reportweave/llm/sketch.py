@@ -11,7 +11,7 @@ BANDS, BAND_WIDTH = 48, 6
 REGISTERS = BANDS * BAND_WIDTH
 MANTISSA_BITS = 10
 BAND_BYTES = 2 * BAND_WIDTH
-WINDOW = 1 << 20  # bytes hashed at once
+WINDOW = 1 << 18  # bytes hashed at once
 
 _RANDOM = np.random.default_rng(20_240_601)
 _BYTE = _RANDOM.integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
