@@ -102,11 +102,18 @@ def deduplicate(
 
 
 def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, with their own columns; repeated rows of a kept id stay once."""
-    marked = deduplicate(docs, id, text)
-    kept = marked.where("kept").select(F.col("id").alias("_kept_id")).distinct()
-    once = docs.join(kept, F.col(id).eqNullSafe(F.col("_kept_id")), "left_semi")
-    return once.dropDuplicates([id])
+    """The documents that stay, with their own columns; rows that repeat an id and its text stay once.
+
+    A document is its id and its text: rows that share an id, or have none, stay for every text
+    that ``deduplicate`` keeps of them.
+    """
+    kept = deduplicate(docs, id, text).where("kept").select(
+        F.col("id").alias("_kept_id"), F.col("digest").alias("_kept_digest")
+    ).distinct()
+    own = docs.withColumn("_own_digest", text_digest(text))
+    same = F.col(id).eqNullSafe(F.col("_kept_id")) & (F.col("_own_digest") == F.col("_kept_digest"))
+    once = own.join(kept, same, "left_semi").dropDuplicates([id, "_own_digest"])
+    return once.select(*docs.columns)
 
 
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:

@@ -35,6 +35,12 @@ def test_keep_first_keeps_columns_and_whole_rows(spark):
     assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 2, 4, 5, 7, 8]
 
 
+def test_keep_first_keeps_every_text(spark):
+    rows = [(None, "one"), (None, "two"), (None, "two"), (1, "three"), (1, "four"), (1, "four"), (2, "three"), (None, "four")]
+    kept = ed.keep_first(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id or -1, r.text) for r in kept) == [(-1, "one"), (-1, "two"), (1, "four"), (2, "three")]
+
+
 def test_index_takes_deliveries(spark):
     index = ed.DigestIndex(spark, f"index_{uuid.uuid4().hex}", 4)
     day = lambda rows: ed.digests_of(spark.createDataFrame(rows, "doc_id bigint, text string"))
