@@ -29,6 +29,7 @@ MODEL_WORDS = 50_000  # most frequent words kept
 MODEL_GRAMS = 50_000  # most frequent n-grams kept
 LONGEST_GRAM = 5
 SAMPLE_BUCKETS = 16_384
+FINE_BUCKETS = 65_536  # of the one sample bucket that is cut
 MEMO_WORDS = 200_000  # unseen words whose scores a worker remembers
 UNKNOWN = "und"
 MIN_SCORE = 0.5  # less certain documents are rejected where a pipeline filters
@@ -51,20 +52,47 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _first_too_many(rows: DataFrame, bucket: Column, limit: int) -> tuple[int, int] | None:
+    """The first bucket that ends above ``limit`` rows and the rows before it; none if all fit."""
+    counts = rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("bucket"))
+    above = counts.select("bucket", "n", so_far.alias("rows")).where(F.col("rows") > limit)
+    found = above.agg(F.min(F.struct("bucket", (F.col("rows") - F.col("n")).alias("before")))).first()[0]
+    return None if found is None else (found["bucket"], found["before"])
+
+
 def bounded_sample(rows: DataFrame, id: str, limit: int) -> DataFrame:
-    """Whole hash buckets of ``rows``, as many as hold up to ``limit`` rows.
+    """``limit`` of ``rows``, or the whole table where it has no more.
 
-    Buckets are counted by a pre-aggregated sum, so the choice is repeatable and gathers no rows;
-    one number comes back. With fewer rows than ``limit`` it is the whole table.
+    Rows are taken in the order of two hashes over all their columns, so a repeated or missing id
+    does not bring them together. Buckets of the first hash are taken whole; the one that does
+    not fit is cut by the second, and a bucket of that one that does not fit holds repeats of a
+    few rows, which are taken by number. Buckets are counted by pre-aggregated sums, so the
+    choice is repeatable and gathers no rows. Columns must be of types that can be grouped.
     """
-    bucket = F.pmod(
-        F.xxhash64(F.col(id).cast("string"), F.lit("language sample")), F.lit(SAMPLE_BUCKETS)
+    columns = [F.col(id).cast("string"), *[F.col(f"`{c}`") for c in rows.columns if c != id]]
+    coarse = F.pmod(F.xxhash64(*columns, F.lit("language sample")), F.lit(SAMPLE_BUCKETS))
+    fine = F.pmod(F.xxhash64(*columns, F.lit("within a bucket")), F.lit(FINE_BUCKETS))
+    first = _first_too_many(rows, coarse, limit)
+    if first is None:
+        return rows
+    left = limit - first[1]
+    within = rows.where(coarse == first[0])
+    second = _first_too_many(within, fine, left)
+    if second is None:  # only if the rows are not the same when read again
+        return rows.where(coarse <= first[0])
+    sample = rows.where((coarse < first[0]) | ((coarse == first[0]) & (fine < second[0])))
+    left -= second[1]
+    if not left:
+        return sample
+    names = [f"`{c}`" for c in rows.columns]
+    repeats = within.where(fine == second[0]).groupBy(*names).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(
+        Window.partitionBy(F.lit(0)).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
     )
-    counts = rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    so_far = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("bucket"))
-    fitting = counts.select("bucket", so_far.alias("rows")).where(F.col("rows") <= limit)
-    cut = fitting.agg(F.max("bucket")).first()[0]
-    return rows.where(bucket <= (-1 if cut is None else cut))
+    times = F.least("_n", F.lit(left) - F.coalesce(before, F.lit(0)))
+    taken = repeats.withColumn("_times", times.cast("int")).where("_times > 0")
+    return sample.union(taken.select(*names, F.explode(F.array_repeat(F.lit(0), F.col("_times")))).select(*names))
 
 
 def count_words(rows: DataFrame, lang: str, text: str) -> DataFrame:
@@ -131,7 +159,7 @@ def fit(
 
     Without such rows the model knows no language and every prediction is ``und``.
     """
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(id, text, lang)
     sample = bounded_sample(rows, id, fit_docs)
     words = store(count_words(sample, lang, text), "language-words")
     grams = store(count_grams(words), "language-grams")

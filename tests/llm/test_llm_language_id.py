@@ -59,6 +59,21 @@ def test_sample_is_bounded(spark):
     assert li.bounded_sample(rows, "doc_id", 60_000).count() == 50_000
 
 
+def test_sample_is_full_with_hot_buckets(spark, monkeypatch):
+    same = "CAST(NULL AS bigint) AS doc_id", "concat('text ', id % 9999) AS text", "'en' AS lang"
+    nulls = spark.range(10_000).selectExpr(*same)
+    copies = spark.range(10_000).selectExpr("CAST(NULL AS bigint) AS doc_id", "'copy' AS text", "'en' AS lang")
+    for _ in range(2):
+        rows = spark.range(50_000).withColumnRenamed("id", "doc_id")
+        first, again = (sorted(r[0] for r in li.bounded_sample(rows, "doc_id", 5_000).collect()) for _ in "12")
+        assert len(set(first)) == 5_000 and first == again
+        assert li.bounded_sample(nulls, "doc_id", 6_000).count() == 6_000
+        assert li.bounded_sample(copies, "doc_id", 6_000).count() == 6_000
+        assert li.bounded_sample(nulls.union(copies), "doc_id", 30_000).count() == 20_000
+        monkeypatch.setattr(li, "SAMPLE_BUCKETS", 1)
+    assert li.fit(nulls, fit_docs=100).languages == ["en"]
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     truth = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
