@@ -20,6 +20,7 @@ from reportweave.llm.batches import slices
 from reportweave.sources.tables import read_table
 
 MAX_DEPTH = 100  # deeper elements become siblings, as in browsers
+TABLE_DEPTH = 4  # by which the parts of a table may be deeper, so that its cells stay in place
 MAX_SPAN = 1_000  # columns or rows that one cell may cover
 PAD_WIDTH = 60  # longer cells do not widen their column
 
@@ -28,7 +29,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 UNSEEN = frozenset(
     "script style title iframe noembed noframes noscript head template datalist audio video canvas"
-    " object svg math area base col colgroup embed link meta param source track rp".split()
+    " object area base col colgroup embed link meta param source track rp".split()
 )
 SPACED = frozenset(
     "p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr fieldset menu dir xmp listing".split()
@@ -54,10 +55,29 @@ IMPLIED_END = {
     "thead": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
 }
+GROUPS = frozenset("tbody thead tfoot".split())
+TABLE_PARTS = GROUPS | {"table", "tr"}
+# What a table tag goes straight into; anything open inside of that is closed.
+TABLE_PARENTS = dict.fromkeys(GROUPS, {"table"}) | {
+    "tr": GROUPS | {"table"}, "td": TABLE_PARTS, "th": TABLE_PARTS,
+}
+# Drawings and formulas: what is not shown, what holds HTML again, and the HTML that ends them.
+FOREIGN_UNSEEN = {
+    "svg": frozenset(
+        "defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split()
+    ),
+    "math": frozenset("annotation annotation-xml mphantom".split()),
+}
+SVG_TEXT = frozenset({"text", "foreignobject"})
+HOLDS_HTML = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu"
+    " meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 CELL_WALLS = frozenset({"td", "th", "caption", "table", "html"})
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?"
+    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>?"
     r"|</(?P<end>[a-zA-Z][^\s/>]*+)[^>]*+>?"
     r"|<(?P<start>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[\s/]++|[^\s/>][^\s/>=]*+"
     r"(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?)?)*+)>?",
@@ -76,6 +96,8 @@ class Node:
     attributes: dict[str, str]
     hidden: bool
     tight: bool = False  # a list in a list item, which is not set apart
+    foreign: str = ""  # svg or math, for an element of a drawing or a formula
+    mute: bool = False  # its own text is not shown, its elements are
     children: list[Node | str] = field(default_factory=list)
 
 
@@ -99,6 +121,26 @@ def _hides(tag: str, attributes: dict[str, str]) -> bool:
     )
 
 
+def _hides_foreign(kind: str, tag: str, attributes: dict[str, str]) -> bool:
+    return tag in FOREIGN_UNSEEN[kind] or (
+        kind == "svg"
+        and (
+            attributes.get("display", "").strip().lower() == "none"
+            or attributes.get("visibility", "").strip().lower() in ("hidden", "collapse")
+        )
+    )
+
+
+def _closes_itself(raw: str) -> bool:
+    """Whether a tag ends with a slash that is not the end of an unquoted value."""
+    if not raw.endswith("/"):
+        return False
+    last = None
+    for last in _ATTRIBUTE.finditer(raw):
+        pass
+    return last is None or last.end() < len(raw)
+
+
 class TreeBuilder:
     def __init__(self) -> None:
         self.root = Node("html", {}, False)
@@ -116,20 +158,34 @@ class TreeBuilder:
             del self.open[cut:]
 
     def _push(self, tag: str, attributes: dict[str, str]) -> None:
-        while len(self.open) >= MAX_DEPTH:
+        while len(self.open) >= MAX_DEPTH and (
+            len(self.open) >= MAX_DEPTH + TABLE_DEPTH
+            or self.open[-1].tag not in TABLE_PARTS | {"td", "th"}
+        ):
             self.open.pop()
         parent = self.open[-1]
         tight = tag in ("ul", "ol") and any(n.tag == "li" for n in self.open)
         node = Node(tag, attributes, parent.hidden or _hides(tag, attributes), tight)
+        node.foreign = tag if tag in FOREIGN_UNSEEN else "" if parent.tag in HOLDS_HTML else parent.foreign
+        if node.foreign:
+            node.hidden = node.hidden or _hides_foreign(node.foreign, tag, attributes)
+            inside = parent.foreign == "svg" and not parent.mute and parent.tag not in HOLDS_HTML
+            node.mute = node.foreign == "svg" and tag not in SVG_TEXT and not inside
         parent.children.append(node)
         if tag not in VOID:
             self.open.append(node)
 
+    def in_foreign(self) -> bool:
+        return bool(self.open[-1].foreign) and self.open[-1].tag not in HOLDS_HTML
+
     def start(self, tag: str, raw: str) -> None:
         if tag in ("html", "body") and len(self.open) > 1 and any(n.tag == tag for n in self.open):
             return
         if tag == "html":
             return
+        if tag in ENDS_FOREIGN:
+            while self.in_foreign():
+                self.open.pop()
         if tag in ENDS_PARAGRAPH:
             self._pop_to({"p"}, CELL_WALLS)
         if tag not in ("title", "meta", "link", "style", "script", "base", "noscript", "template", "head"):
@@ -137,12 +193,20 @@ class TreeBuilder:
         if tag in IMPLIED_END:
             ends, walls = IMPLIED_END[tag]
             self._pop_to(ends, walls)
+            parents = TABLE_PARENTS.get(tag, ())
+            for i in range(len(self.open) - 1, 0, -1):
+                if self.open[i].tag in parents:
+                    del self.open[i + 1 :]
+                    break
             here = self.open[-1].tag
             if tag in ("td", "th") and here == "table":
                 self._push("tr", {})
             elif tag in ("td", "th") and here in ("tbody", "thead", "tfoot"):
                 self._push("tr", {})
+        alone = tag == "form" and self.open[-1].tag in TABLE_PARTS  # holds nothing, as in browsers
         self._push(tag, _attributes(raw) if raw else {})
+        if alone and self.open[-1].tag == "form":
+            self.open.pop()
 
     def end(self, tag: str) -> None:
         if tag in ("html", "body") or tag in VOID:
@@ -158,6 +222,8 @@ class TreeBuilder:
 
     def text(self, text: str) -> None:
         if text:
+            if self.open[-1].tag == "head" and text.strip():
+                self.open.pop()
             self.open[-1].children.append(text)
 
 
@@ -178,7 +244,9 @@ def parse(page: str) -> Node:
         elif tag := found["start"]:
             tag = tag.lower()
             builder.start(tag, found["rest"])
-            if tag in RAW:
+            if builder.open[-1].foreign and builder.open[-1].tag == tag and _closes_itself(found["rest"]):
+                builder.open.pop()
+            elif tag in RAW:
                 low = page.lower() if low is None else low
                 if len(low) != len(page):  # a few letters change length when lowered
                     low = re.sub("[A-Z]", lambda m: m[0].lower(), page)
@@ -187,6 +255,11 @@ def parse(page: str) -> Node:
                 body = page[at:stop]
                 builder.text(html.unescape(body) if tag in ("textarea", "title") else body)
                 at = stop
+        elif builder.in_foreign() and page.startswith("<![CDATA[", found.start()):
+            stop = page.find("]]>", found.start())
+            stop = len(page) if stop < 0 else stop
+            builder.text(page[found.start() + len("<![CDATA[") : stop])
+            at = stop + len("]]>")
     return builder.root
 
 
@@ -267,7 +340,7 @@ def _apart(node: Node) -> list[str]:
 def _children(node: Node, flow: Flow, keeps: bool = False) -> None:
     for child in node.children:
         if isinstance(child, str):
-            if not node.hidden:
+            if not node.hidden and not node.mute:
                 (flow.kept if keeps else flow.text)(child)
         else:
             _element(child, flow, keeps)
@@ -282,10 +355,14 @@ def _element(node: Node, flow: Flow, keeps: bool) -> None:
         flow.end_line(always=True)
     elif tag == "input":
         flow.text(node.attributes.get("value") or " ")
-    elif tag in ("td", "th"):  # outside a table
+    elif tag in ("td", "th", "mtd"):  # outside a table
         flow.text(" ")
         _children(node, flow, keeps)
         flow.text(" ")
+    elif node.foreign == "svg" and tag in SVG_TEXT:
+        flow.end_line()
+        _children(node, flow, keeps)
+        flow.end_line()
     elif tag not in BLOCK:
         _children(node, flow, keeps)
     else:
@@ -344,17 +421,33 @@ def _rows(node: Node) -> Iterator[Node]:
         if isinstance(child, Node) and not child.hidden:
             if child.tag == "tr":
                 yield child
-            elif child.tag in ("tbody", "thead", "tfoot", "form"):
+            elif child.tag in GROUPS:
                 yield from _rows(child)
 
 
-def _table(node: Node, flow: Flow) -> None:
-    """Captions and stray text first, then rows of cells padded to the width of their column."""
+def _strays(node: Node) -> Iterator[Node | str]:
+    """What stands in a table or its parts but is no part of it."""
     for child in node.children:
         if isinstance(child, str):
-            if child.strip():
-                flow.text(child)
-        elif child.tag not in ("tr", "tbody", "thead", "tfoot", "form"):
+            if child.strip() and not node.hidden:
+                yield child
+        elif child.tag == "tr" or child.tag in GROUPS:
+            yield from _strays(child)
+        elif not (child.tag == "caption" and node.tag == "table" or child.tag in ("td", "th") and node.tag == "tr"):
+            yield child
+
+
+def _table(node: Node, flow: Flow) -> None:
+    """What does not belong into a table first, as in browsers, then captions, then rows of cells
+    padded to the width of their column."""
+    for child in _strays(node):
+        if isinstance(child, str):
+            flow.text(child)
+        else:
+            _element(child, flow, False)
+    flow.end_line()
+    for child in node.children:
+        if isinstance(child, Node) and child.tag == "caption":
             _element(child, flow, False)
     flow.end_line()
     grid: list[list[tuple[int, list[str], int]]] = []  # column, lines, columns covered

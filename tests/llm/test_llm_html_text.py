@@ -30,6 +30,37 @@ def test_rendering(page, text):
     assert render(page) == text
 
 
+WHOLE = [
+    ("<table><tr><form><td>A</td></form></tr><tr><td>B</table>", "A\nB"), ("<table><form><tr><td>A</form></table>", "A"),
+    ("<table><tbody>note<tr><td>a</table>", "note\na"), ("<table><tr>note<td>a</table>", "note\na"),
+    ("<table><tr><td>a</td><p>b</p></tr></table>", "b\n\na"), ("<table><tr><b>n<td>a<td>b</table>", "n\na  b"),
+    ("<table><caption>C</caption><tbody><tr><td>a</td><i>n</i></tr></table>", "n\nC\na"),
+    ("<table><tr hidden>x<td>a</tr><tr><td>b</table>", "b"), ("<table><form hidden><tr><td>a</table>", "a"),
+    ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>tex</annotation></math>", "x=1"),
+    ("<svg>no<title>t</title><g>no<text>A<tspan>B</tspan></text></g><text>C</text></svg>d", "AB\nC\nd"),
+    ("<svg><defs><text>no</text></defs><style/><title/><path d=x /><text><![CDATA[a<b]]></text></svg>c", "a<b\nc"),
+    ("<svg><foreignObject>f<p>g</p></foreignObject></svg>", "f\n\ng"), ("<svg><path><p>out</svg>", "out"),
+    ("<svg><text display=none>no</text><text>x", "x"), ("<![CDATA[a>b", "b"),
+    ("<head><title>t</title>Hello <b>you</b>", "Hello you"), ("<head><script>1</script> x", "x"), ("<head>a</head>b", "ab"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), WHOLE)
+def test_all_visible_text(page, text):
+    assert render(page) == text
+
+
+@pytest.mark.parametrize("depth", [*range(90, 106), 150])
+def test_deep_tables_keep_their_cells(depth):
+    rows = "<tr><td>a1<td><p>b<b>2</b></p><tr><th>c3<td>d4"
+    found = render(f"{'<div>' * depth}<table><tbody>{rows}</table>")
+    assert found.split() == ["a1", "b2", "c3", "d4"] or found.split() == ["a1", "b", "2", "c3", "d4"]
+    inner = render("<table><td>" + "<div>" * depth + f"<table>{rows}</table>")
+    assert sorted("".join(inner.split())) == list("1234abcd")
+    nested = render("<table><tr><td>x<td>y" * depth)
+    assert nested.count("x") == nested.count("y") == depth
+
+
 @pytest.mark.parametrize("page", ["<div>" * 20_000 + "x", "<a \"" * 50_000, "<ul><li>" * 5_000 + "x", "<table><td>" * 3_000 + "x", "<b><p>" * 20_000, "x" * 3_000_000])
 def test_hard_pages(page):
     assert len(render(page)) <= 20 * len(page)  # items keep their indent
