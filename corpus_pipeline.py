@@ -33,8 +33,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` (little-endian unsigned 32-bit integers)."""
-    return bpe.encode_documents(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    """``doc_id, n_tokens, ids`` (little-endian unsigned 32-bit integers).
+
+    All ids are decoded again; a text that they do not give back is an error.
+    """
+    path = public_tokenizers.path(RANKS)
+    return bpe.encode_documents(docs, path, public_tokenizers.PATTERN, verify=True)
 
 
 STAGES = [

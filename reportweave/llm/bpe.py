@@ -102,13 +102,15 @@ def encode_documents(
     id: str = "doc_id",
     text: str = "text",
     decode: bool = False,
+    verify: bool = False,
 ) -> DataFrame:
     """``id, n_tokens, ids`` and, with ``decode``, ``decoded``, for every row.
 
     ``ids`` is binary: token ids as little-endian unsigned 32-bit integers. ``decoded`` are the
     raw bytes that the ids stand for; they need not be valid UTF-8 for ids from elsewhere. A null
     text counts as empty and has no tokens; texts are encoded whole, whatever their length.
-    Repeated rows are encoded each; other columns are ignored.
+    Repeated rows are encoded each; other columns are ignored. With ``verify`` the ids of every row
+    are decoded again, and bytes other than the text's are an error.
     """
     raw = docs.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
@@ -119,15 +121,22 @@ def encode_documents(
         split, _ = encodings(raw.value, pattern)
         for whole in batches:
             for batch in slices(whole):
-                found = [encode_text(t or "", raw.value, pattern) for t in batch[1].to_pylist()]
-                columns = [
-                    batch[0],
-                    pa.array([len(ids) for ids in found], pa.int64()),
-                    pa.array([np.array(ids, "<u4").tobytes() for ids in found], pa.binary()),
-                ]
+                sizes, packed, decoded = [], [], []
+                for t in batch[1].to_pylist():
+                    ids = encode_text(t or "", raw.value, pattern)
+                    sizes.append(len(ids))
+                    packed.append(np.array(ids, "<u4").tobytes())
+                    if not (decode or verify):
+                        continue
+                    back = split.decode_bytes(ids)
+                    if verify and back != (t or "").encode():
+                        raise ValueError(f"token ids do not decode to their text: {(t or "")[:80]!r}")
+                    if decode:
+                        decoded.append(back)
+                columns = [batch[0], pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())]
                 names = ["id", "n_tokens", "ids"]
                 if decode:
-                    columns.append(pa.array([split.decode_bytes(i) for i in found], pa.binary()))
+                    columns.append(pa.array(decoded, pa.binary()))
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays(columns, names)
 

@@ -3,10 +3,11 @@ import struct
 
 import brute
 import public_tokenizers
+import pytest
 import tiktoken
 
 import corpus_pipeline as cp
-from reportweave.llm import mixing
+from reportweave.llm import bpe, mixing
 from reportweave.llm.registry import CORPUS_QUERIES, CORPUS_SQL
 
 
@@ -71,3 +72,11 @@ def test_stages_take_extra_columns(spark, small):
     for _, stage in cp.STAGES[:4]:
         found = stage(spark, docs, small)
         assert found.columns == docs.columns and found.count() > 0
+
+
+def test_ids_that_do_not_decode_to_the_text(spark, small, monkeypatch):
+    docs = spark.createDataFrame([(1, "one text"), (2, None), (3, "")], "doc_id bigint, text string")
+    assert cp.encode(spark, docs, small).count() == 3
+    monkeypatch.setattr(bpe, "encode_text", lambda text, raw, pattern: [0, 1])
+    with pytest.raises(Exception, match="do not decode"):
+        cp.encode(spark, docs, small).collect()
