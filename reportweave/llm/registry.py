@@ -6,6 +6,7 @@ from reportweave.llm import (
     bpe,
     chat_format,
     exact_dedup,
+    filter_audit,
     html_text,
     language_id,
     mixing,
@@ -26,6 +27,7 @@ CORPUS_QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_mixing": mixing.op9_mixing,
     "op10_chat_format": chat_format.op10_chat_format,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
 }
 
 CORPUS_SQL = {
@@ -34,4 +36,5 @@ CORPUS_SQL = {
     "op8_warc": warc.SQL,
     "op9_mixing": mixing.SQL,
     "op10_chat_format": chat_format.SQL,
+    "op12_filter_audit": filter_audit.SQL,
 }
