@@ -5,6 +5,7 @@ from __future__ import annotations
 from reportweave.llm import (
     bpe,
     chat_format,
+    collocations,
     exact_dedup,
     filter_audit,
     html_text,
@@ -27,6 +28,7 @@ CORPUS_QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_mixing": mixing.op9_mixing,
     "op10_chat_format": chat_format.op10_chat_format,
+    "op11_collocations": collocations.op11_collocations,
     "op12_filter_audit": filter_audit.op12_filter_audit,
 }
 
@@ -36,5 +38,6 @@ CORPUS_SQL = {
     "op8_warc": warc.SQL,
     "op9_mixing": mixing.SQL,
     "op10_chat_format": chat_format.SQL,
+    "op11_collocations": collocations.SQL,
     "op12_filter_audit": filter_audit.SQL,
 }
