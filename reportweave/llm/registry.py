@@ -13,6 +13,7 @@ from reportweave.llm import (
     mixing,
     near_dedup,
     sharding,
+    substring_dedup,
     top_k,
     warc,
 )
@@ -30,6 +31,7 @@ CORPUS_QUERIES = {
     "op10_chat_format": chat_format.op10_chat_format,
     "op11_collocations": collocations.op11_collocations,
     "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_substring_dedup": substring_dedup.op13_substring_dedup,
 }
 
 CORPUS_SQL = {
@@ -40,4 +42,5 @@ CORPUS_SQL = {
     "op10_chat_format": chat_format.SQL,
     "op11_collocations": collocations.SQL,
     "op12_filter_audit": filter_audit.SQL,
+    "op13_substring_dedup": substring_dedup.SQL,
 }
