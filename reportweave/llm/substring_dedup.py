@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from reportweave.llm.automaton import SuffixAutomaton
 from reportweave.llm.sketch import mix
 from reportweave.llm.words import byte_table, cut, groups, joined, value_hashes
+from reportweave.sources.stored import store
 from reportweave.sources.tables import read_table
 
 WINDOW = 20  # words
@@ -234,11 +235,11 @@ def _matched(segments: DataFrame, window: int, shard_words: int) -> DataFrame:
                 ["id", "key", "first", "last"],
             )
 
-    dealt = segments.withColumn(
-        "deal", F.when(F.col("words").isNull(), F.xxhash64("key", "place")).otherwise(F.col("route"))
-    ).repartition("deal")
+    dealt = segments.repartition(
+        F.when(F.col("words").isNull(), F.xxhash64("key", "place")).otherwise(F.col("route"))
+    )
     in_order = dealt.sortWithinPartitions("route", F.col("id").asc_nulls_last(), "key", "place")
-    return in_order.drop("deal").mapInArrow(match, "id bigint, key bigint, first int, last int")
+    return in_order.mapInArrow(match, "id bigint, key bigint, first int, last int")
 
 
 def _split(text: str | None) -> list[bytes]:
@@ -309,6 +310,7 @@ def remove_repeats(
         F.collect_set(F.when(~F.col("hot"), F.col("place"))).alias("places"),
         F.collect_set(F.when(F.col("hot"), F.col("place"))).alias("hot"),
     )
+    places = store(places, "anchor-places")
     segments = _segments(rows.join(places, "key"), window, anchor)
     spans = _matched(segments, window, shard_words).groupBy("key").agg(
         F.collect_list(F.struct("id", "first", "last")).alias("spans")
