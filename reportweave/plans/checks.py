@@ -308,6 +308,14 @@ def checks() -> dict[str, str]:
     c["mention_negation"] = _OVERLAP.format(marks="ents", extra="")
     c["mention_negation_nested"] = c["mention_negation"]
     c["annotate"] = _OVERLAP.format(marks=_NUMBERED_WORDS, extra=', m.start, m.stop AS "end"')
+    c["annotate_windows"] = c["annotate"]
+    counted = [f"count(*) FILTER (w IN ({_text(words)}))" for words in st.CLASS_WORDS.values()]
+    shown = _text(vocab.NORMALITY_DISPLAY[k] for k in st.CLASS_WORDS)
+    c["classify_by_model"] = f"""
+SELECT doc_id, [{shown}][list_position(n, list_max(n))] AS label,
+       round((list_max(n) + 1) / (list_sum(n) + {len(counted)})::DOUBLE, 6) AS score
+FROM (SELECT d.doc_id, [{", ".join(counted)}] AS n
+      FROM documents d LEFT JOIN tokens t ON t.doc_id = d.doc_id GROUP BY d.doc_id)"""
     c["annotate_counts"] = _wide(f"({c['annotate']})")
     c["domain_counts"] = (
         "SELECT doc_id, entity_group, negated, count(*) AS n FROM ents GROUP BY ALL"
@@ -368,6 +376,7 @@ SELECT vec_id, CAST(floor(embedding[1]::DOUBLE / 0.05::DOUBLE) AS BIGINT) || ':'
     c["section_boundaries"] = "SELECT * FROM slices"
     c["section_documents"] = "SELECT doc_id, ord, section, text FROM doc_sections"
     c["section_by_model"] = c["section_documents"]
+    c["section_windows"] = c["section_documents"]
     c["section_dump"] = """
 SELECT d.doc_id, d.text || chr(10) || chr(10) || coalesce(string_agg(s.section || chr(10) || s.text,
   chr(10) || chr(10) ORDER BY s.ord), '') AS dump

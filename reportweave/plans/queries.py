@@ -7,6 +7,7 @@ the same name in ``reportweave.plans.checks``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -924,6 +925,93 @@ def annotate(spark, sf):
     )
 
 
+MODEL_LIMIT = 512
+
+
+def _cut_off(model):
+    """``model`` as one that reads 512 tokens and silently leaves out what comes after."""
+    import regex
+
+    token = regex.compile(r"\p{L}+|\p{N}+|[^\p{L}\p{N}\s]")
+
+    def load():
+        predict = model()
+
+        def limited(texts):
+            ends = [[m.end() for m in islice(token.finditer(t), MODEL_LIMIT)] for t in texts]
+            return predict([t[: e[-1] if e else 0] for t, e in zip(texts, ends, strict=True)])
+
+        return limited
+
+    return load
+
+
+@query
+def annotate_windows(spark, sf):
+    """What ``annotate`` finds, by models that never see more than 512 tokens of a text."""
+    found = inference.annotate_windows(
+        documents(spark, sf), _cut_off(_word_model), _cut_off(_negation_model), limit=MODEL_LIMIT
+    )
+    return longform.mention_table(
+        found.withColumn("ents", F.transform("ents", _without_tokens))
+    ).select("doc_id", "ent_pos", "entity_group", "start", "end", "negated")
+
+
+def _without_tokens(e: Column) -> Column:
+    none = F.lit(None).cast("int")
+    return e.withField("tok_start", none).withField("tok_end", none)
+
+
+def _limited_section_model():
+    names = st.SECTION_MARKERS
+
+    def predict(texts):
+        if any(len(tokens) > MODEL_LIMIT for tokens in texts):
+            raise ValueError("more tokens than the model takes")
+        return [[names.get(t.lower(), vocab.OUTSIDE) for t in tokens] for tokens in texts]
+
+    return predict
+
+
+@query
+def section_windows(spark, sf):
+    """What ``section_documents`` finds, by a model that refuses more than 512 tokens."""
+    found = inference.section_with_model(
+        documents(spark, sf), _limited_section_model, limit=MODEL_LIMIT
+    )
+    return found.select("doc_id", F.posexplode("sections").alias("ord", "s")).select(
+        "doc_id", F.col("ord").cast("bigint").alias("ord"), "s.section", "s.text"
+    )
+
+
+def _class_model():
+    """Stand-in for a text classifier: the class whose words are most frequent."""
+    import regex
+
+    word = regex.compile(r"\p{L}+")
+
+    def predict(texts):
+        found = []
+        for text in texts:
+            n = [0] * len(st.CLASS_WORDS)
+            for m in word.finditer(text):
+                for k, words in enumerate(st.CLASS_WORDS.values()):
+                    n[k] += m.group().lower() in words
+            best = max(range(len(n)), key=lambda k: (n[k], -k))
+            found.append({"label": list(st.CLASS_WORDS)[best], "score": (n[best] + 1) / (sum(n) + len(n))})
+        return found
+
+    return predict
+
+
+@query
+def classify_by_model(spark, sf):
+    found = inference.classify_with_model(
+        documents(spark, sf), _class_model, names=vocab.NORMALITY_DISPLAY
+    )
+    return found.select("doc_id", "label", F.round("score", 6).alias("score"))
+
+
 @query
 def annotate_counts(spark, sf):
     """Domain counts of what a pair of models finds."""

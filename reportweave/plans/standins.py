@@ -50,4 +50,12 @@ SECTION_MARKERS = {
     "this": "report_tail",
 }
 
+CLASS_WORDS = {
+    "ABNORMAL": ("no", "not", "nicht"),
+    "IS_NORMAL": ("the", "der", "le"),
+    "IS_NORMAL_FOR_AGE": ("of", "und", "de"),
+    "IS_COMPARATIVE": ("and", "die", "la", "el"),
+    "IS_MISSING": ("by",),
+}
+
 SAMPLE_SEED = 42
