@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportweave.functions.arrays import bind
 from reportweave.sources.stored import store
 
 # ---------------------------------------------------------------- patterns
@@ -79,159 +81,247 @@ def _fits(attributes: Mapping[str, object]) -> Column:
     return fits
 
 
-def match_pattern(
+#: Which equality a link gives: what of the bound node meets what of the new node.
+_EQUALITY = {
+    **dict.fromkeys((">", ">++", ">--", ">+", ">-"), (lambda a: a["i"], "head")),
+    **dict.fromkeys(("<", "<++", "<--", "<+", "<-"), (lambda a: a["head"], "i")),
+    **dict.fromkeys(("$+", "$-", "$++", "$--"), (lambda a: a["head"], "head")),
+    ".": (lambda a: a["i"] + 1, "i"),
+    ";": (lambda a: a["i"] - 1, "i"),
+}
+_ANCESTRY = (">>", "<<")
+
+
+def _holds(op: str, a: Column, b: Column) -> Column:
+    """Whether the link ``op`` holds between a bound node and a new one."""
+    if op in _ANCESTRY:
+        above, below = (a, b) if op == ">>" else (b, a)
+        return (below["pre"] > above["pre"]) & (below["pre"] <= above["last"])
+    condition = F.lit(True)
+    for c in _link(op, a, b):
+        condition = condition & c
+    return condition
+
+
+def match_patterns(
     tokens: DataFrame,
-    pattern: Sequence[Mapping[str, object]],
-    closure: DataFrame | None = None,
+    patterns: Mapping[str, Sequence[Mapping[str, object]]],
     doc_id: str = "doc_id",
 ) -> DataFrame:
-    """Distinct ``doc_id, tok_i, tok_j``: first and last node of every match of a pattern.
-
-    ``tokens``: ``doc_id, sent, i, head, tok, dep, pos``. A pattern is a list of nodes with
-    ``RIGHT_ID`` and ``RIGHT_ATTRS``; all but the first name a bound node (``LEFT_ID``) and a
-    link (``REL_OP``). Every node adds one join on document, sentence and the link; ``>>`` and
-    ``<<`` use ``closure`` (``doc_id, sent, i, anc``), computed from the tokens when not given.
+    """``pattern, doc_id, tok_i, tok_j``: first and last node of the matches of all patterns, distinct.
+
+    ``tokens``: ``doc_id, sent, i, head, tok, dep, pos`` and other attributes. A pattern is a list
+    of nodes with ``RIGHT_ID`` and ``RIGHT_ATTRS``; all but the first name a bound node
+    (``LEFT_ID``) and a link (``REL_OP``). A token becomes one row per node that it fits, of any
+    pattern, in one pass. Then all patterns grow together, node by node: one join on document,
+    sentence, pattern and the equality of the link, so there are as many joins as the longest
+    pattern has links. Ancestry is a comparison of two intervals (``tree_numbers``), which are
+    computed only where a pattern asks for it.
     """
-    base = [doc_id, "sent"]
-    names: list[str] = []
-    matches: DataFrame | None = None
-    for node in pattern:
-        name = str(node["RIGHT_ID"])
-        own = tokens.where(_fits(node.get("RIGHT_ATTRS", {}))).select(
-            *base, F.col("i").alias(f"{name}_i"), F.col("head").alias(f"{name}_head")
+    plans: list[tuple[str, list[tuple[Mapping[str, object], int, str]]]] = []
+    for title, pattern in patterns.items():
+        names: list[str] = []
+        steps = []
+        for node in pattern:
+            left, op = 0, ""
+            if names:
+                left, op = names.index(str(node["LEFT_ID"])), str(node["REL_OP"])
+                if op not in _EQUALITY and op not in (".*", ";*", *_ANCESTRY):
+                    raise ValueError(f"unknown link {op} in {title}")
+            names.append(str(node["RIGHT_ID"]))
+            steps.append((node.get("RIGHT_ATTRS", {}), left, op))
+        if not steps:
+            raise ValueError(f"pattern {title} has no node")
+        plans.append((title, steps))
+    if not plans:
+        raise ValueError("no patterns")
+
+    asks = any(op in _ANCESTRY for _, steps in plans for _, _, op in steps)
+    rows = tree_numbers(tokens, doc_id) if asks else tokens.withColumns(
+        {"pre": F.lit(None).cast("int"), "last": F.lit(None).cast("int")}
+    )
+    roles = [
+        F.when(
+            _fits(attributes),
+            F.struct(
+                F.lit(p).alias("p"), F.lit(k).alias("k"),
+                (F.col(_EQUALITY[op][1]) if op in _EQUALITY else F.lit(0)).cast("bigint").alias("key"),
+            ),
         )
-        if matches is None:
-            matches = own
-        else:
-            left, op = str(node["LEFT_ID"]), str(node["REL_OP"])
-            if op in (">>", "<<"):
-                closure = ancestor_closure(tokens, doc_id) if closure is None else closure
-                below, above = (f"{name}_i", f"{left}_i") if op == ">>" else (f"{left}_i", f"{name}_i")
-                pairs = closure.select(*base, F.col("i").alias(below), F.col("anc").alias(above))
-                matches = matches.join(pairs, [*base, f"{left}_i"]).join(own, [*base, f"{name}_i"])
-            else:
-                a = {"i": F.col(f"{left}_i"), "head": F.col(f"{left}_head")}
-                b = {"i": F.col(f"r.{name}_i"), "head": F.col(f"r.{name}_head")}
-                condition = F.lit(True)
-                for c in [F.col(f"l.{k}") == F.col(f"r.{k}") for k in base] + _link(op, a, b):
-                    condition = condition & c
-                matches = matches.alias("l").join(own.alias("r"), condition).select(
-                    "l.*", F.col(f"r.{name}_i"), F.col(f"r.{name}_head")
-                )
-        names.append(name)
-    assert matches is not None, "a pattern has at least one node"
+        for p, (_, steps) in enumerate(plans)
+        for k, (attributes, _, op) in enumerate(steps)
+    ]
+    node = F.struct("i", "head", "pre", "last").alias("node")
+    fitting = rows.select(doc_id, "sent", node, F.explode(F.array_compact(F.array(*roles))).alias("role"))
+    found = store(fitting.select(doc_id, "sent", "node", "role.*"), "pattern-nodes")
+
+    matches = found.where("k = 0").select(doc_id, "sent", "p", F.array("node").alias("nodes"))
+    for k in range(1, max(len(steps) for _, steps in plans)):
+        key, holds, ended = F.lit(None).cast("bigint"), F.lit(False), F.lit(True)
+        for p, (_, steps) in enumerate(plans):
+            if len(steps) <= k:
+                continue
+            _, left, op = steps[k]
+            bound = F.get("nodes", F.lit(left))
+            own = F.col("p") == p
+            ended = ended & ~own
+            key = F.when(own, (_EQUALITY[op][0](bound) if op in _EQUALITY else F.lit(0)).cast("bigint")).otherwise(key)
+            holds = F.when(own, _holds(op, bound, F.col("node"))).otherwise(holds)
+        new = found.where(F.col("k") == k).select(doc_id, "sent", "p", "key", "node")
+        # Patterns that have ended here have no new node and pass through the outer join.
+        grown = matches.withColumn("key", key).join(new, [doc_id, "sent", "p", "key"], "left")
+        matches = grown.where(ended | F.coalesce(holds, F.lit(False))).select(
+            doc_id, "sent", "p",
+            F.when(F.col("node").isNull(), F.col("nodes")).otherwise(F.array_append("nodes", F.col("node"))).alias("nodes"),
+        )
+    titles = F.element_at(F.array(*[F.lit(title) for title, _ in plans]), F.col("p") + 1)
     return matches.select(
-        doc_id, F.col(f"{names[0]}_i").alias("tok_i"), F.col(f"{names[-1]}_i").alias("tok_j")
+        titles.alias("pattern"), doc_id, F.get("nodes", F.lit(0))["i"].alias("tok_i"),
+        F.element_at("nodes", -1)["i"].alias("tok_j"),
     ).distinct()
 
 
+def match_pattern(
+    tokens: DataFrame, pattern: Sequence[Mapping[str, object]], doc_id: str = "doc_id"
+) -> DataFrame:
+    """Distinct ``doc_id, tok_i, tok_j`` of the matches of one pattern, as ``match_patterns``."""
+    return match_patterns(tokens, {"pattern": pattern}, doc_id).drop("pattern")
+
+
 def dep_match(
     tokens: DataFrame,
     patterns: Mapping[str, Sequence[Mapping[str, object]]],
     doc_id: str = "doc_id",
 ) -> DataFrame:
     """Distinct first and last tokens of the matches of all patterns."""
-    nodes = [node for pattern in patterns.values() for node in pattern]
-    closure = None
-    if any(node.get("REL_OP") in (">>", "<<") for node in nodes):
-        closure = ancestor_closure(tokens, doc_id)
-    fits = F.lit(False)
-    for node in nodes:
-        fits = fits | _fits(node.get("RIGHT_ATTRS", {}))
-    # Every node is a reader of the tokens: keep what can match at all, once.
-    candidates = store(tokens.where(fits), "pattern-nodes")
-    found: DataFrame | None = None
-    for pattern in patterns.values():
-        one = match_pattern(candidates, pattern, closure, doc_id)
-        found = one if found is None else found.unionByName(one)
-    assert found is not None, "no patterns"
-    return found.distinct()
+    return match_patterns(tokens, patterns, doc_id).drop("pattern").distinct()
 
 
-def ancestor_closure(deps: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id, sent, i, anc, depth``: every token with every ancestor in its sentence.
-
-    A sentence is one row of head positions. All its tokens climb together, one level per
-    round, until the last has passed its root: as many rounds as the tree is deep, no bound
-    to choose. Roots are tokens that are their own head. Tokens may be numbered with gaps. A head
-    that is no token of the sentence, or a cycle, is an error.
-    """
-    sentences = deps.groupBy(doc_id, "sent").agg(
-        F.array_sort(F.collect_list(F.struct("i", "head"))).alias("_rows")
-    )
-    where = F.concat_ws(" ", F.lit("sentence"), F.col(doc_id).cast("string"), F.col("sent").cast("string"))
-
-    def position(ids: Column, head: Column) -> Column:
-        """Usually the distance to the first token; searched for where numbers are left out."""
-        near = (head - F.get(ids, F.lit(0))).cast("int")
-        found = F.array_position(ids, head).cast("int") - 1
-        problem = F.raise_error(F.concat(F.lit("head without a token in "), where)).cast("int")
-        return F.when((near >= 0) & F.coalesce(F.get(ids, near) == head, F.lit(False)), near).otherwise(
-            F.when(F.array_contains(ids, head), found).otherwise(problem)
-        )
+# ---------------------------------------------------------------- trees
 
-    def climb(heads: Column, now: Column) -> Column:
-        """Position of the head; null once a token has passed its root."""
-        return F.transform(
-            now, lambda p: F.when(F.get(heads, p) != p, F.get(heads, p))
-        )
 
-    def pairs(up: Column) -> Column:
-        found = F.transform(up, lambda p, k: F.struct(k.alias("k"), p.alias("p")))
-        return F.filter(found, lambda x: x["p"].isNotNull())
+def _sentences(deps: DataFrame, doc_id: str) -> DataFrame:
+    """One row per sentence: its tokens in order, with all their columns but the sentence's own."""
+    own = ["i", "head", *[c for c in deps.columns if c not in (doc_id, "sent", "i", "head")]]
+    return deps.groupBy(doc_id, "sent").agg(
+        F.array_sort(F.collect_list(F.struct("i", F.struct(*own).alias("t")))).alias("rows")
+    )
 
-    def levels(heads: Column) -> Column:
-        own = F.transform(heads, lambda h, k: k)
-        none = F.array().cast("array<array<struct<k:int,p:int>>>")
 
-        def next_level(acc: Column, up: Column) -> Column:
-            return F.struct(
-                up.alias("now"),
-                F.array_append(acc["all"], pairs(up)).alias("all"),
-                (~F.exists(up, lambda p: p.isNotNull())).alias("done"),
-            )
+def _parents(ids: np.ndarray, heads: np.ndarray, starts: np.ndarray, names: Callable[[int], str]) -> np.ndarray:
+    """Places of the heads among all tokens; ``ids`` are sorted in each sentence, which begin at ``starts``."""
+    sizes = np.diff(np.append(starts, len(ids)))
+    first = np.repeat(ids[starts], sizes)
+    widths = ids[starts + sizes - 1] - ids[starts] + 1
+    base = np.repeat(np.cumsum(widths) - widths, sizes)
+    keys, wanted = base + ids - first, base + heads - first
+    inside = (heads >= first) & (heads - first < np.repeat(widths, sizes))
+    at = np.minimum(np.searchsorted(keys, wanted), len(ids) - 1)
+    bad = ~inside | (keys[at] != wanted)
+    if bad.any():
+        sentence = np.searchsorted(starts, int(np.flatnonzero(bad)[0]), "right") - 1
+        raise ValueError(f"head without a token in {names(sentence)}")
+    return at
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, Callable[[int], str], np.ndarray]:
+    """Ids, places of heads and starts of the sentences of ``doc, sent, ids, heads`` rows."""
+    ids, heads = (batch[c].flatten().to_numpy().astype(np.int64) for c in (2, 3))
+    sizes = batch[2].value_lengths().to_numpy()
+    starts = np.cumsum(sizes) - sizes
+    names = lambda row: f"sentence {batch[0][row].as_py()} {batch[1][row].as_py()}"
+    return ids, _parents(ids, heads, starts, names), starts, names, np.repeat(np.arange(len(sizes)), sizes)
+
+
+def tree_numbers(deps: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """The token rows with ``pre``, ``last`` and ``depth``: their places in a walk over the tree.
+
+    A token comes before its children and these in the order of the sentence; ``last`` is the
+    largest number below a token. So x is an ancestor of y where ``pre(x) < pre(y) <= last(x)``,
+    and no pair of them is ever listed. Linear in the sentence, however deep. Roots are their own
+    heads; tokens may be numbered with gaps, and trees of one sentence follow each other. A head that is no
+    token of the sentence, or a cycle, is an error.
+    """
+    sentences = _sentences(deps, doc_id)
+
+    def walk(rows: pd.DataFrame) -> pd.DataFrame:
+        out: dict[str, list] = {"pre": [], "last": [], "depth": []}
+        for ids, heads in zip(rows["ids"], rows["heads"], strict=True):
+            ids, heads = np.asarray(ids, np.int64), np.asarray(heads, np.int64)
+            parent = _parents(ids, heads, np.zeros(1, int), lambda _: "a sentence").tolist()
+            children: list[list[int]] = [[] for _ in parent]
+            roots = []
+            for k, p in enumerate(parent):
+                (roots if p == k else children[p]).append(k)
+            pre, last, depth = [0] * len(parent), [0] * len(parent), [0] * len(parent)
+            order, stack = [], roots[::-1]
+            while stack:
+                k = stack.pop()
+                pre[k] = last[k] = len(order)
+                depth[k] = depth[parent[k]] + 1 if parent[k] != k else 0
+                order.append(k)
+                stack += children[k][::-1]
+            if len(order) < len(parent):
+                raise ValueError(f"heads in a cycle in a sentence of {len(parent)} tokens")
+            for k in reversed(order):
+                last[parent[k]] = max(last[parent[k]], last[k])
+            for name, values in (("pre", pre), ("last", last), ("depth", depth)):
+                out[name].append(values)
+        return pd.DataFrame({name: pd.Series(values, dtype=object) for name, values in out.items()})
+
+    kind = "pre array<int>, last array<int>, depth array<int>"
+
+    @F.pandas_udf(kind)
+    def numbers(ids: pd.Series, heads: pd.Series) -> pd.DataFrame:
+        return walk(pd.DataFrame({"ids": ids, "heads": heads}))
+
+    arrays = numbers(F.col("rows.t.i"), F.col("rows.t.head"))
+    numbered = sentences.select(doc_id, "sent", F.col("rows.t").alias("t"), arrays.alias("n"))
+    exploded = numbered.select(
+        doc_id, "sent", F.explode(F.arrays_zip("t", "n.pre", "n.last", "n.depth")).alias("r")
+    )
+    return exploded.select(doc_id, "sent", "r.t.*", "r.pre", "r.last", "r.depth")
 
-        def round_(acc: Column, _: Column) -> Column:
-            return F.when(acc["done"], acc).otherwise(
-                bind(climb(heads, acc["now"]), lambda up: next_level(acc, up))
-            )
 
-        problem = F.raise_error(F.concat(F.lit("heads in a cycle in "), where))
-        return F.aggregate(
-            heads,
-            F.struct(own.alias("now"), none.alias("all"), F.lit(False).alias("done")),
-            round_,
-            lambda acc: F.when(acc["done"], acc["all"]).otherwise(
-                problem.cast("array<array<struct<k:int,p:int>>>")
-            ),
-        )
+def ancestor_closure(deps: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """``doc_id, sent, i, anc, depth``: every token with every ancestor in its sentence.
 
-    work = sentences.withColumn("_ids", F.transform("_rows", lambda r: r["i"]))
-    work = work.withColumn(
-        "_heads", F.transform("_rows", lambda r: position(F.col("_ids"), r["head"]))
-    )
-    work = work.withColumn("_levels", bind(F.col("_heads"), levels))
-    # Numbers instead of positions before rows are made, so that no row carries the sentence.
-    named = F.transform(
-        "_levels",
-        lambda level: F.transform(
-            level,
-            lambda x: F.struct(
-                F.get(F.col("_ids"), x["k"]).alias("i"), F.get(F.col("_ids"), x["p"]).alias("anc")
-            ),
-        ),
-    )
-    return (
-        work.select(doc_id, "sent", F.posexplode(named).alias("_level", "_pairs"))
-        .select(doc_id, "sent", "_level", F.explode("_pairs").alias("_pair"))
-        .select(
-            doc_id,
-            "sent",
-            "_pair.i",
-            "_pair.anc",
-            (F.col("_level") + 1).cast("bigint").alias("depth"),
-        )
+    The tokens of many sentences climb together, one level per round, until the last has passed
+    its root; each level leaves as rows, so that nothing but the heads is held. Roots are tokens
+    that are their own head. Tokens may be numbered with gaps. A head that is no token of the
+    sentence, or a cycle, is an error. Where only the test is wanted, use ``tree_numbers``.
+    """
+    rows = _sentences(deps.select(doc_id, "sent", "i", "head"), doc_id).select(
+        doc_id, "sent", F.col("rows.t.i").alias("ids"), F.col("rows.t.head").alias("heads")
     )
+    kind = dict(deps.select(doc_id, "sent").dtypes)
+
+    def climb(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, parent, starts, names, of = _flat(batch)
+            longest = int(np.diff(np.append(starts, len(ids))).max())
+            token, above = np.arange(len(ids)), parent
+            depth = 1
+            while True:
+                going = above != (token if depth == 1 else previous)
+                token, above = token[going], above[going]
+                if not len(token):
+                    break
+                if depth > longest:
+                    raise ValueError(f"heads in a cycle in {names(int(of[token[0]]))}")
+                row = pa.array(of[token])
+                yield pa.RecordBatch.from_arrays(
+                    [batch[0].take(row), batch[1].take(row), pa.array(ids[token]), pa.array(ids[above]),
+                     pa.array(np.full(len(token), depth, np.int64))],
+                    ["doc", "sent", "i", "anc", "depth"],
+                )
+                previous, above = above, parent[above]
+                depth += 1
+
+    found = rows.mapInArrow(climb, f"doc {kind[doc_id]}, sent {kind['sent']}, i bigint, anc bigint, depth bigint")
+    return found.withColumnRenamed("doc", doc_id)
 
 
 # ---------------------------------------------------------------- entity pairs

@@ -525,6 +525,30 @@ FROM climb GROUP BY doc_id""",
         recursive="""climb AS (
   SELECT doc_id, i, head AS anc, 1 AS depth FROM deps WHERE head <> i
   UNION ALL SELECT c.doc_id, c.i, d.head, c.depth + 1 FROM climb c
+  JOIN deps d ON d.doc_id = c.doc_id AND d.i = c.anc WHERE d.head <> d.i)""",
+    )
+    composed["dep_numbers"] = compose(
+        """SELECT doc_id, sent, i, pre, pre + below - 1 AS last, depth FROM (
+  SELECT w.*, row_number() OVER (PARTITION BY w.doc_id, w.sent ORDER BY path) - 1 AS pre, s.below
+  FROM ways w JOIN (SELECT doc_id, x AS i, count(*) AS below FROM (SELECT doc_id, unnest(path) AS x FROM ways)
+                    GROUP BY ALL) s ON s.doc_id = w.doc_id AND s.i = w.i)""",
+        recursive="""ways AS (
+  SELECT doc_id, CAST(sent AS BIGINT) AS sent, i, [i] AS path, 0::BIGINT AS depth FROM deps WHERE head = i
+  UNION ALL SELECT d.doc_id, CAST(d.sent AS BIGINT), d.i, list_append(w.path, d.i), w.depth + 1
+  FROM ways w JOIN deps d ON d.doc_id = w.doc_id AND d.head = w.i AND d.i <> w.i)""",
+    )
+    composed["dep_ancestors"] = compose(
+        r"""SELECT DISTINCT 'far_below' AS pattern, a.doc_id, a.i AS tok_i, b.i AS tok_j FROM deps b
+JOIN climb c ON c.doc_id = b.doc_id AND c.i = b.i JOIN deps a ON a.doc_id = c.doc_id AND a.i = c.anc
+WHERE regexp_full_match(a.tok, '\p{L}+') AND a.dep = 'nsubj' AND b.dep NOT IN ('amod', 'prep') AND length(b.tok) >= 3
+UNION SELECT 'below_a_mark', a.doc_id, a.i, x.i FROM deps a
+JOIN climb c ON c.doc_id = a.doc_id AND c.i = a.i JOIN deps b ON b.doc_id = c.doc_id AND b.i = c.anc
+JOIN deps x ON x.doc_id = b.doc_id AND x.head = b.i AND x.i <> b.i
+WHERE a.w IN ('the', 'de', 'der') AND regexp_full_match(b.tok, '\p{L}+') AND length(b.tok) < 4
+  AND NOT regexp_full_match(x.tok, '\p{L}+') AND NOT regexp_full_match(x.tok, '\p{N}+')""",
+        recursive="""climb AS (
+  SELECT doc_id, i, head AS anc FROM deps WHERE head <> i
+  UNION ALL SELECT c.doc_id, c.i, d.head FROM climb c
   JOIN deps d ON d.doc_id = c.doc_id AND d.i = c.anc WHERE d.head <> d.i)""",
     )
     return composed

@@ -729,6 +729,35 @@ def dep_match(spark, sf):
     return token_relations(spark, sf)
 
 
+@query
+def dep_numbers(spark, sf):
+    """Pre-order numbers, by which an ancestor is recognised without listing pairs."""
+    numbered = relations.tree_numbers(dependencies(spark, sf))
+    return numbered.select(
+        "doc_id", "sent", "i", *[F.col(c).cast("bigint").alias(c) for c in ("pre", "last", "depth")]
+    )
+
+
+ANCESTRY_PATTERNS = {
+    "far_below": [
+        {"RIGHT_ID": "a", "RIGHT_ATTRS": {"POS": "WORD", "DEP": "nsubj"}},
+        {"LEFT_ID": "a", "REL_OP": ">>", "RIGHT_ID": "b", "RIGHT_ATTRS": {"DEP": {"NOT_IN": ["amod", "prep"]}, "LENGTH": {">=": 3}}},
+    ],
+    "below_a_mark": [
+        {"RIGHT_ID": "a", "RIGHT_ATTRS": {"LOWER": {"REGEX": "^(the|de|der)$"}}},
+        {"LEFT_ID": "a", "REL_OP": "<<", "RIGHT_ID": "b", "RIGHT_ATTRS": {"POS": {"IN": ["WORD"]}, "LENGTH": {"<": 4}}},
+        {"LEFT_ID": "b", "REL_OP": ">", "RIGHT_ID": "c", "RIGHT_ATTRS": {"POS": {"NOT_IN": ["WORD", "NUM"]}}},
+    ],
+}
+
+
+@query
+def dep_ancestors(spark, sf):
+    kind = F.when(F.col("tok").rlike(r"^\p{L}+$"), "WORD").when(F.col("tok").rlike(r"^\p{N}+$"), "NUM")
+    tokens = dependencies(spark, sf).withColumn("pos", kind.otherwise("PUNCT"))
+    return relations.match_patterns(tokens, ANCESTRY_PATTERNS)
+
+
 @query
 def dep_closure(spark, sf):
     closure = relations.ancestor_closure(dependencies(spark, sf))

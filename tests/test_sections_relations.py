@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from against_sql import compare
 from reportweave import vocab
 from reportweave.functions import labels
 from reportweave.functions import text as tx
@@ -145,7 +146,6 @@ def test_patterns_equal_brute_force(spark):
     rows = random_forest(21, 4)
     index = {(r[0], r[2]): r for r in rows}
     tokens = spark.createDataFrame(rows, SCHEMA).cache()
-    closure = relations.ancestor_closure(tokens).cache()
     for k, op in enumerate(OPS):
         op2 = OPS[(k * 7 + 3) % len(OPS)]
         pattern = [
@@ -159,7 +159,7 @@ def test_patterns_equal_brute_force(spark):
             for y in rows if same(x, y) and holds(op, x, y, index)
             for z in rows if same(y, z) and z[4] in "ab" and holds(op2, y, z, index)
         }
-        got = relations.match_pattern(tokens, pattern, closure)
+        got = relations.match_pattern(tokens, pattern)
         assert {tuple(r) for r in got.collect()} == expected, (op, op2)
 
 
@@ -236,3 +236,54 @@ def test_sections_from_token_labels(spark):
     assert [r.sections for r in got if r.text is None] == [[]]
     with pytest.raises(Exception, match="as many labels as tokens"):
         sections.sections_from_labels(df.withColumn("labels", F.array(F.lit("O")))).collect()
+
+
+def test_patterns_together_equal_patterns_alone(spark):
+    rows = random_forest(5, 5)
+    tokens = spark.createDataFrame(rows, SCHEMA).cache()
+    node = lambda name, **more: {"RIGHT_ID": name, **more}
+    patterns = {
+        "one": [node("x", RIGHT_ATTRS={"LOWER": "a"})],
+        "two": [node("x", RIGHT_ATTRS={"DEP": "p"}), node("y", LEFT_ID="x", REL_OP=">>")],
+        "same two": [node("x", RIGHT_ATTRS={"DEP": "p"}), node("y", LEFT_ID="x", REL_OP=">>")],
+        "four": [node("w"), node("x", LEFT_ID="w", REL_OP=">"), node("y", LEFT_ID="w", REL_OP=".*"),
+                 node("z", LEFT_ID="x", REL_OP="<<", RIGHT_ATTRS={"DEP": "q"})],
+        "nothing": [node("x", RIGHT_ATTRS={"LOWER": "zzz"}), node("y", LEFT_ID="x", REL_OP="$+")],
+    }
+    together = {tuple(r) for r in relations.match_patterns(tokens, patterns).collect()}
+    alone = {
+        (name, *r) for name, pattern in patterns.items()
+        for r in relations.match_pattern(tokens, pattern).collect()
+    }
+    assert together == alone
+    assert {r[0] for r in together} == {"one", "two", "same two", "four"}
+    assert relations.dep_match(tokens, patterns).columns == ["doc_id", "tok_i", "tok_j"]
+    with pytest.raises(ValueError, match="unknown link"):
+        relations.match_patterns(tokens, {"x": [node("a"), node("b", LEFT_ID="a", REL_OP="?")]})
+
+
+def test_numbers_of_deep_and_gappy_trees(spark):
+    rows = random_forest(31) + [(60, 0, 3 * k, 3 * max(k - 1, 0), "a", "p") for k in range(20_000)]
+    index = {(r[0], r[2]): r for r in rows}
+    got = relations.tree_numbers(spark.createDataFrame(rows, SCHEMA))
+    assert set(SCHEMA.replace(" bigint", "").replace(" string", "").split(", ")) < set(got.columns)
+    found = {(r.doc_id, r.i): r for r in got.collect()}
+    assert len(found) == len(rows)
+    assert [found[60, 3 * k][-3:] for k in (0, 1, 19_999)] == [(0, 19_999, 0), (1, 19_999, 1), (19_999, 19_999, 19_999)]
+    for a in random_forest(31):
+        assert found[a[0], a[2]].depth == len(ancestors(a, index))
+        for b in random_forest(31):
+            if (a[0], a[1]) == (b[0], b[1]):
+                x, y = found[a[0], a[2]], found[b[0], b[2]]
+                assert (x.pre < y.pre <= x.last) == (a[2] in ancestors(b, index))
+    deps = lambda rows: spark.createDataFrame([(1, 0, i, h) for i, h in rows], "doc_id bigint, sent bigint, i bigint, head bigint")
+    with pytest.raises(Exception, match="cycle"):
+        relations.tree_numbers(deps([(0, 1), (1, 0), (2, 2)])).collect()
+    with pytest.raises(Exception, match="head without a token"):
+        relations.tree_numbers(deps([(0, 0), (2, 1)])).collect()
+    assert relations.tree_numbers(deps([(0, 0)]).where("false")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["dep_numbers", "dep_ancestors", "dep_match", "dep_closure", "triplet_counts"])
+def test_relation_queries(spark, name):
+    compare(spark, name)
