@@ -90,6 +90,7 @@ _EQUALITY = {
     ";": (lambda a: a["i"] - 1, "i"),
 }
 _ANCESTRY = (">>", "<<")
+MAX_NODES = 60  # bits of one number
 
 
 def _holds(op: str, a: Column, b: Column) -> Column:
@@ -140,24 +141,37 @@ def match_patterns(
     rows = tree_numbers(tokens, doc_id) if asks else tokens.withColumns(
         {"pre": F.lit(None).cast("int"), "last": F.lit(None).cast("int")}
     )
-    roles = [
-        F.when(
-            _fits(attributes),
-            F.struct(
-                F.lit(p).alias("p"), F.lit(k).alias("k"),
-                (F.col(_EQUALITY[op][1]) if op in _EQUALITY else F.lit(0)).cast("bigint").alias("key"),
-            ),
+    nodes = [(p, k, *step) for p, (_, steps) in enumerate(plans) for k, step in enumerate(steps)]
+    if len(nodes) > MAX_NODES:
+        raise ValueError(f"{len(nodes)} nodes in one pass; match at most {MAX_NODES} together")
+    # One bit per node that a token fits; only tokens with a bit become rows.
+    fits = F.lit(0).cast("bigint")
+    for n, (_, _, attributes, _, _) in enumerate(nodes):
+        fits = fits + F.when(_fits(attributes), F.lit(1 << n).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    key = F.lit(0).cast("bigint")
+    for n, (_, _, _, _, op) in enumerate(nodes):
+        if op in _EQUALITY:
+            key = F.when(F.col("n") == n, F.col(_EQUALITY[op][1]).cast("bigint")).otherwise(key)
+    of = lambda which: F.get(F.array(*[F.lit(x[which]) for x in nodes]), F.col("n"))
+    fitting = rows.select(doc_id, "sent", "i", "head", "pre", "last", fits.alias("fits")).where("fits <> 0")
+    found = store(fitting, "pattern-nodes")
+
+    def step(k: int) -> DataFrame:
+        """One row per token and pattern whose node ``k`` it fits."""
+        own = [n for n, x in enumerate(nodes) if x[1] == k]
+        some = F.col("fits").bitwiseAND(F.lit(sum(1 << n for n in own)).cast("bigint")) != 0
+        ones = F.filter(
+            F.array(*[F.lit(n) for n in own]), lambda n: F.call_function("bit_get", F.col("fits"), n) == 1
         )
-        for p, (_, steps) in enumerate(plans)
-        for k, (attributes, _, op) in enumerate(steps)
-    ]
-    node = F.struct("i", "head", "pre", "last").alias("node")
-    fitting = rows.select(doc_id, "sent", node, F.explode(F.array_compact(F.array(*roles))).alias("role"))
-    found = store(fitting.select(doc_id, "sent", "node", "role.*"), "pattern-nodes")
-
-    matches = found.where("k = 0").select(doc_id, "sent", "p", F.array("node").alias("nodes"))
+        pattern = F.get(F.array(*[F.lit(x[0]) for x in nodes]), F.col("n"))
+        return found.where(some).select("*", F.explode(ones).alias("n")).select(
+            doc_id, "sent", pattern.alias("p"), key.alias("key"),
+            F.struct("i", "head", "pre", "last").alias("node"),
+        )
+
+    matches = step(0).select(doc_id, "sent", "p", F.array("node").alias("nodes"))
     for k in range(1, max(len(steps) for _, steps in plans)):
-        key, holds, ended = F.lit(None).cast("bigint"), F.lit(False), F.lit(True)
+        wanted, holds, ended = F.lit(None).cast("bigint"), F.lit(False), F.lit(True)
         for p, (_, steps) in enumerate(plans):
             if len(steps) <= k:
                 continue
@@ -165,11 +179,11 @@ def match_patterns(
             bound = F.get("nodes", F.lit(left))
             own = F.col("p") == p
             ended = ended & ~own
-            key = F.when(own, (_EQUALITY[op][0](bound) if op in _EQUALITY else F.lit(0)).cast("bigint")).otherwise(key)
+            equal = _EQUALITY[op][0](bound) if op in _EQUALITY else F.lit(0)
+            wanted = F.when(own, equal.cast("bigint")).otherwise(wanted)
             holds = F.when(own, _holds(op, bound, F.col("node"))).otherwise(holds)
-        new = found.where(F.col("k") == k).select(doc_id, "sent", "p", "key", "node")
         # Patterns that have ended here have no new node and pass through the outer join.
-        grown = matches.withColumn("key", key).join(new, [doc_id, "sent", "p", "key"], "left")
+        grown = matches.withColumn("key", wanted).join(step(k), [doc_id, "sent", "p", "key"], "left")
         matches = grown.where(ended | F.coalesce(holds, F.lit(False))).select(
             doc_id, "sent", "p",
             F.when(F.col("node").isNull(), F.col("nodes")).otherwise(F.array_append("nodes", F.col("node"))).alias("nodes"),
