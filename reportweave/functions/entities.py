@@ -177,6 +177,12 @@ def scope_events(
     )
 
 
+def with_marks(events: Column, marks: Column) -> Column:
+    """Boundaries and triggers together with marks that were found later, in token order."""
+    added = F.transform(marks, lambda s: _event(s["tok_start"], _MARK, s["tok_end"] - s["tok_start"]))
+    return F.sort_array(F.concat(events, added))
+
+
 _NONE = -1
 _FAR = 2**62
 

@@ -43,6 +43,11 @@ def _negation(df: DataFrame, rules: en.NegationRules) -> DataFrame:
             ),
         ),
     )
+    return decide(df, rules)
+
+
+def decide(df: DataFrame, rules: en.NegationRules) -> DataFrame:
+    """Adds ``_neg`` from ``_events``, which hold the marks too (null: nothing to decide), and ``_marks``."""
     df = df.withColumn("_back", F.reverse("_events"))
     df = (
         df.withColumn("_left", en.triggered_from_left(F.col("_events")))

@@ -305,6 +305,7 @@ def checks() -> dict[str, str]:
         "SELECT e.doc_id, ent_pos, entity_group, substr(d.text, start + 1, stop - start) AS word, start,"
         ' stop AS "end", negated FROM ents e JOIN documents d ON d.doc_id = e.doc_id'
     )
+    c["gazetteer_negex"] = c["negex"]
     c["mention_negation"] = _OVERLAP.format(marks="ents", extra="")
     c["mention_negation_nested"] = c["mention_negation"]
     c["annotate"] = _OVERLAP.format(marks=_NUMBERED_WORDS, extra=', m.start, m.stop AS "end"')

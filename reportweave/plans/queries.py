@@ -33,6 +33,7 @@ from reportweave.operators import (
     sections,
     tagger,
     tasks,
+    vocabulary,
 )
 from reportweave.operators.lookup import phrase_table
 from reportweave.plans import jobs
@@ -280,6 +281,19 @@ def negex(spark, sf):
     )
 
 
+@query
+def gazetteer_negex(spark, sf):
+    """What ``negex`` finds, from a table of 100,000 phrases and more."""
+    others = spark.range(100_000).select(
+        F.concat_ws(" ", F.lit("of"), F.concat(F.lit("zz"), F.col("id").cast("string")), F.lit("the")).alias("phrase"),
+        F.lit("descriptor_other").alias("label"),
+    )
+    phrases = phrase_table(spark, st.PHRASES).union(others)
+    return vocabulary.vocabulary_entities(documents(spark, sf), phrases, st.RULES, max_words=3).drop(
+        "tok_start", "tok_end"
+    )
+
+
 @query
 def mention_negation(spark, sf):
     found = mentions(spark, sf).select("doc_id", "ent_pos", "entity_group", "start", "end")
