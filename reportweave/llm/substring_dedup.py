@@ -1,7 +1,7 @@
 """Removal of passages that occur earlier in the corpus, by suffix automata of reference shards.
 
 The corpus is its own reference. A window of 20 words can only repeat where the smallest of its
-8-word hashes (its anchor) occurs twice, so Spark counts anchors first, and only texts around
+6-word hashes (its anchor) occurs twice, so Spark counts anchors first, and only texts around
 repeated anchors go on. They are dealt by anchor: equal windows have equal anchors, so each shard
 of the reference can be matched apart, and its automaton has a bounded size. Within a shard the
 segments come in the order of the corpus. Each is streamed through the automaton of all earlier
@@ -30,11 +30,15 @@ from reportweave.sources.stored import store
 from reportweave.sources.tables import read_table
 
 WINDOW = 20  # words
-ANCHOR = 8  # words hashed together
+ANCHOR = 6  # words hashed together
 HOT_ANCHOR = 2_000  # an anchor that occurs more often is dealt window by window
 SHARD_WORDS = 50_000  # an automaton is begun anew after so many words, between anchors
 MAX_REFERENCE_WORDS = 2_000_000  # of a reference that is broadcast
 
+SAMPLE_SHARE = 64  # one text of so many is looked at for heavy anchors
+HEAVY_SHARE = 1_000  # an anchor that holds more than 1 / HEAVY_SHARE of them is heavy
+SALTS = 64  # parts into which the rows of a heavy anchor are dealt
+
 _BLANKS = byte_table(b" \t\n\v\f\r")
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,7 +77,7 @@ def anchors(texts: _Texts, window: int, anchor: int) -> tuple[np.ndarray, np.nda
     covered = 1
     while covered < width:
         step = min(covered, width - covered)
-        left, right = least[: len(least) - step], least[step:]
+        left, right = least[: max(len(least) - step, 0)], least[step:]
         least = np.where(hashes[left] <= hashes[right], left, right)
         covered += step
     inside = texts.of[starts] == texts.of[starts + window - 1] if len(starts) else np.zeros(0, bool)
@@ -86,8 +90,11 @@ def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
     return docs.select(F.col(id).cast("bigint").alias("id"), key.alias("key"), F.col(text).alias("text"))
 
 
-def _anchor_rows(rows: DataFrame, window: int, anchor: int) -> DataFrame:
-    """``hash, key, place`` of all anchors; the place counts words from the start of the text."""
+def _anchor_rows(rows: DataFrame, window: int, anchor: int, heavy: tuple[int, ...] = ()) -> DataFrame:
+    """``hash, salt, key, place`` of all anchors; the place counts words from the start of the text.
+
+    The salt spreads the rows of a heavy anchor and is 0 for the others.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches):
@@ -95,22 +102,37 @@ def _anchor_rows(rows: DataFrame, window: int, anchor: int) -> DataFrame:
             _, places, hashes = anchors(texts, window, anchor)
             places = np.unique(places)
             of = texts.of[places]
+            keys, found = batch[0].take(pa.array(of)), hashes[places].view(np.int64)
+            spread = mix(keys.to_numpy().view(np.uint64) + places.astype(np.uint64)) % np.uint64(SALTS)
+            salt = np.where(np.isin(found, heavy), spread.astype(np.int32), 0).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[places].view(np.int64)), batch[0].take(pa.array(of)),
-                 pa.array((places - texts.bounds[of]).astype(np.int32))],
-                ["hash", "key", "place"],
+                [pa.array(found), pa.array(salt), keys, pa.array((places - texts.bounds[of]).astype(np.int32))],
+                ["hash", "salt", "key", "place"],
             )
 
-    return rows.select("key", "text").mapInArrow(find, "hash bigint, key bigint, place int")
+    return rows.select("key", "text").mapInArrow(find, "hash bigint, salt int, key bigint, place int")
+
+
+def _heavy_anchors(rows: DataFrame, window: int, anchor: int) -> tuple[int, ...]:
+    """At most ``HEAVY_SHARE`` anchors that hold much of a sample of the texts.
+
+    They decide how rows are dealt, and nothing else.
+    """
+    some = _anchor_rows(rows.where(F.pmod("key", F.lit(SAMPLE_SHARE)) == 0), window, anchor)
+    counts = store(some.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1"), "sampled-anchors")
+    total = counts.agg(F.sum("times")).first()[0] or 0
+    return tuple(r["hash"] for r in counts.where(F.col("times") * HEAVY_SHARE > F.lit(total)).collect())
 
 
-_SEGMENT = "route bigint, id bigint, key bigint, place int, first int, windows int, words binary"
+_SEGMENT = "route bigint, id bigint, key bigint, place int, shape int, words binary"
+_LEAD = 1 << 16
 
 
 def _segments(placed: DataFrame, window: int, anchor: int) -> DataFrame:
     """Segments around repeated anchors: all windows of one anchor, as one run of words.
 
-    ``place`` is the anchor's, ``first`` the first window's and ``windows`` their number. Of equal
+    ``place`` is the anchor's; ``shape`` holds how many words the first window starts before it
+    (times ``_LEAD``) and the number of windows. Of equal
     segments met together only the earliest keeps its words; the others repeat it for certain.
     Windows of hot anchors are segments of their own, dealt by all their words.
     """
@@ -156,9 +178,8 @@ def _segments(placed: DataFrame, window: int, anchor: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(route.view(np.int64)), ids, keys,
                  pa.array(inner.astype(np.int32)),
-                 pa.array((first - texts.bounds[row]).astype(np.int32)),
-                 pa.array(number.astype(np.int32)), pa.array(words, pa.binary())],
-                ["route", "id", "key", "place", "first", "windows", "words"],
+                 pa.array(((place - first) * _LEAD + number).astype(np.int32)), pa.array(words, pa.binary())],
+                ["route", "id", "key", "place", "shape", "words"],
             )
 
     return placed.select("id", "key", "text", "places", "hot").mapInArrow(cut_out, _SEGMENT)
@@ -200,8 +221,10 @@ def _matched(segments: DataFrame, window: int, shard_words: int) -> DataFrame:
         route, held, seen, document = None, None, {}, {}
         for batch in groups(batches):
             ids, keys, first, last = [], [], [], []
-            columns = [batch[name].to_pylist() for name in ("route", "id", "key", "place", "first", "windows", "words")]
-            for at, id, key, place, start, windows, run in zip(*columns, strict=True):
+            columns = [batch[name].to_pylist() for name in ("route", "id", "key", "place", "shape", "words")]
+            for at, id, key, place, shape, run in zip(*columns, strict=True):
+                lead, windows = divmod(shape, _LEAD)
+                start = place - lead
                 if run is None:
                     known = [True] * windows
                 else:
@@ -302,10 +325,15 @@ def remove_repeats(
     """
     if not 0 < anchor <= window:
         raise ValueError("an anchor has 1 to window words")
+    if window >= _LEAD // 2:
+        raise ValueError(f"a window has fewer than {_LEAD // 2} words")
     rows = _rows(docs, id, text)
-    found = _anchor_rows(rows, window, anchor)
+    heavy = _heavy_anchors(rows, window, anchor)
+    found = _anchor_rows(rows, window, anchor, heavy)
     repeated = found.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1")
-    candidates = found.join(repeated, "hash").select("key", "place", (F.col("times") > hot_anchor).alias("hot"))
+    salts = F.when(F.col("hash").isin(*heavy), F.sequence(F.lit(0), F.lit(SALTS - 1))) if heavy else F.lit(None)
+    repeated = repeated.withColumn("salt", F.explode(F.coalesce(salts, F.array(F.lit(0)))))
+    candidates = found.join(repeated, ["hash", "salt"]).select("key", "place", (F.col("times") > hot_anchor).alias("hot"))
     places = candidates.groupBy("key").agg(
         F.collect_set(F.when(~F.col("hot"), F.col("place"))).alias("places"),
         F.collect_set(F.when(F.col("hot"), F.col("place"))).alias("hot"),

@@ -76,6 +76,17 @@ def test_few_words_that_meet_in_small_groups(spark):
         assert result(sd.remove_repeats(table(spark, docs), window=12, anchor=4, hot_anchor=hot)) == brute(docs, 12)
 
 
+def test_heavy_anchors_are_dealt_in_parts(spark, monkeypatch):
+    docs = corpus(12)
+    monkeypatch.setattr(sd, "SAMPLE_SHARE", 1)
+    rows = sd._rows(table(spark, docs), "doc_id", "text")
+    heavy = sd._heavy_anchors(rows, 20, 6)
+    assert 0 < len(heavy) <= sd.HEAVY_SHARE
+    salts = {r.salt for r in sd._anchor_rows(rows, 20, 6, heavy).collect()}
+    assert len(salts) > 10
+    assert result(sd.remove_repeats(table(spark, docs))) == brute(docs, 20)
+
+
 def test_null_repeated_and_missing_ids(spark):
     passage = " ".join(f"p{i}" for i in range(30))
     docs = [(5, "x " + passage), (5, "x " + passage), (None, passage), (None, passage + " y"), (9, "z " + passage), (9, "q")]
