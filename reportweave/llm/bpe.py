@@ -139,6 +139,7 @@ def encode_documents(
                     columns.append(pa.array(decoded, pa.binary()))
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays(columns, names)
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(encode, schema).withColumnRenamed("id", id)
 

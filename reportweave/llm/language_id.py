@@ -15,7 +15,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +29,7 @@ MODEL_GRAMS = 50_000  # most frequent n-grams kept
 LONGEST_GRAM = 5
 SAMPLE_BUCKETS = 16_384
 FINE_BUCKETS = 65_536  # of the one sample bucket that is cut
-MEMO_WORDS = 200_000  # unseen words whose scores a worker remembers
+MEMO_WORDS = 50_000  # unseen words whose scores a worker remembers
 UNKNOWN = "und"
 MIN_SCORE = 0.5  # less certain documents are rejected where a pipeline filters
 
@@ -48,8 +47,12 @@ class LanguageModel:
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-case runs of letters."""
-    return _WORD.findall(text.lower())
+    """Lower-case runs of letters (Unicode category L)."""
+    found = _WORD.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    # The pattern takes in numerals such as fractions; they end a word.
+    return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 def _first_too_many(rows: DataFrame, bucket: Column, limit: int) -> tuple[int, int] | None:
@@ -181,11 +184,18 @@ def fit(
 
 
 class Scorer:
-    """Scores texts; remembers unseen words up to a bound."""
+    """Scores texts. All words that a worker knows or remembers have a row in one table."""
 
-    def __init__(self, model: LanguageModel, longest: int = LONGEST_GRAM) -> None:
-        self.model, self.longest = model, longest
-        self.memo: dict[str, np.ndarray] = {}
+    def __init__(self, model: LanguageModel, longest: int = LONGEST_GRAM, memo: int = MEMO_WORDS) -> None:
+        self.model, self.longest, self.memo = model, longest, memo
+        self.rows: dict[str, int] = {}
+        self.table = np.zeros((len(model.words) + memo, len(model.languages)))
+        self.table[: len(model.words)] = model.table[: len(model.words)]
+        self.forget()
+
+    def forget(self) -> None:
+        """Back to the words of the model."""
+        self.rows = dict(self.model.words)
 
     def unseen(self, word: str) -> np.ndarray:
         """Mean row of the n-grams that cover the word, longest first; zeros if none is known."""
@@ -203,56 +213,59 @@ class Scorer:
             return np.zeros(len(self.model.languages))
         return self.model.table[rows].mean(axis=0)
 
+    def total(self, found: Counter) -> np.ndarray:
+        """Sum of the rows of all words, as often as they occur, in parts of ``memo`` words at most."""
+        total = np.zeros(len(self.model.languages))
+        words = list(found)
+        for at in range(0, len(words), self.memo):
+            part = words[at : at + self.memo]
+            new = [w for w in part if w not in self.rows]
+            if len(self.rows) + len(new) > len(self.table):
+                self.forget()
+                new = [w for w in part if w not in self.rows]
+            for w in new:
+                row = self.rows[w] = len(self.rows)
+                self.table[row] = self.unseen(w)
+            rows = np.fromiter(map(self.rows.__getitem__, part), np.int64, len(part))
+            total += np.fromiter(map(found.__getitem__, part), float, len(part)) @ self.table[rows]
+        return total
+
     def predict(self, text: str | None) -> tuple[str, float]:
         """Most likely language and its probability; ties go to the more frequent language."""
-        model = self.model
         found = Counter(words_of(text)) if text else {}
-        if not found or not model.languages:
+        if not found or not self.model.languages:
             return UNKNOWN, 0.0
-        known, weights = [], []
-        total = np.zeros(len(model.languages))
-        for word, n in found.items():
-            row = model.words.get(word)
-            if row is not None:
-                known.append(row)
-                weights.append(n)
-                continue
-            score = self.memo.get(word)
-            if score is None:
-                if len(self.memo) >= MEMO_WORDS:
-                    self.memo.clear()
-                score = self.memo[word] = self.unseen(word)
-            total += n * score
-        if known:
-            total += np.array(weights, float) @ model.table[known]
+        total = self.total(found)
         best = int(total.argmax())
-        return model.languages[best], float(1 / np.exp(total - total[best]).sum())
+        return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def prediction(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
-    """Struct of ``lang_pred`` and ``score`` (0 to 1) for a text.
+def predict(
+    docs: DataFrame, model: LanguageModel, id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``id, lang_pred, score`` (0 to 1) for every row of ``docs``; other columns are left out.
 
-    A null text, or one without letters, is ``und`` with score 0. Texts are read whole.
+    A null text, or one without letters, is ``und`` with score 0, and every text is if the model
+    knows no language. Texts are read whole. Repeated rows and null ids come back as they are; no
+    rows give no rows. Workers take a few texts at a time and hold one model and a bounded table.
     """
-    shared = spark.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predicted(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for texts in columns:
-            yield pd.DataFrame(
-                [scorer.predict(t) for t in texts], columns=["lang_pred", "score"]
-            )
-
-    return predicted(text)
-
+        for whole in batches:
+            for batch in slices(whole):
+                found = [scorer.predict(t) for t in batch[1].to_pylist()]
+                names, scores = zip(*found, strict=True) if found else ((), ())
+                yield pa.RecordBatch.from_arrays(
+                    [batch[0], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                    ["id", "lang_pred", "score"],
+                )
+        pa.default_memory_pool().release_unused()
 
-def predict(
-    docs: DataFrame, model: LanguageModel, id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """``id, lang_pred, score`` for every row of ``docs``; other columns are left out."""
-    found = prediction(docs.sparkSession, model, F.col(text)).alias("_language")
-    return docs.select(F.col(id), found).select(id, "_language.*")
+    return rows.mapInArrow(predicted, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id)
 
 
 def keep_identified(
@@ -265,23 +278,34 @@ def keep_identified(
     """The documents whose language is known with at least ``min_score``; columns stay as they are.
 
     Learns from the labelled rows of ``docs`` itself. Without any label only documents without
-    letters are rejected.
+    letters are rejected, null texts among them. Nothing is added to a row, so columns may have
+    any name. Repeated rows and null ids are judged by their text; no rows give no rows.
     """
     model = fit(docs, id, text, lang)
     if not model.languages:
         return docs.where(F.col(text).rlike(r"\p{L}"))
-    found = docs.withColumn("_language", prediction(docs.sparkSession, model, F.col(text)))
-    accepted = (F.col("_language.lang_pred") != UNKNOWN) & (F.col("_language.score") >= min_score)
-    return found.where(accepted).select(*docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def accepted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for whole in batches:
+            for batch in slices(whole):
+                found = [scorer.predict(t) for t in batch[at].to_pylist()]
+                yield batch.filter(pa.array([name != UNKNOWN and score >= min_score for name, score in found], pa.bool_()))
+        pa.default_memory_pool().release_unused()
+
+    return docs.mapInArrow(accepted, docs.schema)
 
 
 def held_out(id: str = "doc_id") -> Column:
-    return F.crc32(F.col(id).cast("string").cast("binary")) % 4 == 2
+    """Whether a row is kept from learning; one without an id is not."""
+    return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
-    labelled = docs.where(~F.coalesce(held_out(), F.lit(False)))
+    labelled = docs.where(~held_out())
     model = fit(labelled.select("doc_id", "text", "lang"))
     return predict(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out().alias("held_out"), "lang_pred", "score"

@@ -44,6 +44,48 @@ def test_edges(spark):
     assert nothing.languages == [] and li.Scorer(nothing).predict("a") == ("und", 0.0)
 
 
+def test_numerals_are_no_letters(spark):
+    assert li.words_of("½ ² Ⅷ a½b x_1y É") == ["a", "b", "x", "y", "é"]
+    model = li.fit(docs(spark, TRAIN))
+    got = li.predict(docs(spark, [(1, "½ ² Ⅷ", "x"), (None, "the½", "x")]), model).collect()
+    assert [r.lang_pred for r in got] == ["und", "en"]
+    ids = spark.createDataFrame([(None,), (3,)], "doc_id bigint").select(li.held_out().alias("h")).collect()
+    assert None not in [r.h for r in ids] and ids[0].h is False
+
+
+def plain_scores(model, text):
+    """Every word by itself: the row of a known word, or the mean of the n-grams that cover it."""
+    total = np.zeros(len(model.languages))
+    for word in li.words_of(text):
+        if word in model.words:
+            total += model.table[model.words[word]]
+            continue
+        rows, at = [], 0
+        while at < len(word):
+            width = next((k for k in range(5, 0, -1) if at + k <= len(word) and word[at : at + k] in model.grams), 0)
+            if width:
+                rows.append(model.table[model.grams[word[at : at + width]]])
+            at += width or 1
+        if rows:
+            total += np.mean(rows, axis=0)
+    odds = np.exp(total - total.max())
+    return model.languages[int(total.argmax())], 1 / odds.sum()
+
+
+def test_predictions_equal_a_plain_scorer(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{folder}/documents.parquet")
+    model = li.fit(rows.limit(60), model_words=500, model_grams=800)
+    texts = [r.text for r in rows.collect()]
+    for memo in (li.MEMO_WORDS, 7):
+        scorer = li.Scorer(model, memo=memo)
+        for text in texts:
+            name, score = scorer.predict(text)
+            wanted, sure = plain_scores(model, text)
+            assert name == wanted and np.isclose(score, sure)
+        assert len(scorer.rows) <= len(model.words) + memo
+
+
 def test_keep_identified(spark):
     rows = [*TRAIN, (9, "42", "en"), (10, None, None)]
     kept = li.keep_identified(docs(spark, rows))
