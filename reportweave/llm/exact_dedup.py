@@ -107,13 +107,13 @@ def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
     A document is its id and its text: rows that share an id, or have none, stay for every text
     that ``deduplicate`` keeps of them.
     """
-    kept = deduplicate(docs, id, text).where("kept").select(
-        F.col("id").alias("_kept_id"), F.col("digest").alias("_kept_digest")
-    ).distinct()
-    own = docs.withColumn("_own_digest", text_digest(text))
-    same = F.col(id).eqNullSafe(F.col("_kept_id")) & (F.col("_own_digest") == F.col("_kept_digest"))
-    once = own.join(kept, same, "left_semi").dropDuplicates([id, "_own_digest"])
-    return once.select(*docs.columns)
+    kept = deduplicate(docs, id, text).where("kept").select("id", "digest").distinct()
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id).alias("id"), text_digest(text).alias("digest"),
+    )
+    same = own["id"].eqNullSafe(kept["id"]) & (own["digest"] == kept["digest"])
+    return own.join(kept, same, "left_semi").dropDuplicates(["id", "digest"]).select("row.*")
 
 
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:

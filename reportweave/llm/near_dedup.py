@@ -381,9 +381,30 @@ def keep_one(
     docs: DataFrame, id: str = "doc_id", text: str = "text",
     width: int = SHINGLE_WORDS, percent: int = SIMILAR_PERCENT,
 ) -> DataFrame:
-    """``docs`` without near duplicates: of every linked group the smallest id stays."""
-    gone = near_duplicates(docs, id, text, width, percent).where(~F.col("kept"))
-    return docs.join(gone.select(F.col("id").alias(id)).distinct(), id, "left_anti").select(docs.columns)
+    """``docs`` without near duplicates: of every linked group the smallest id stays.
+
+    A document is its id and its text: rows that share an id, or have none (they come last), are
+    compared each, and rows that repeat both stay or go together. Texts without words stay. Two
+    hashes of 64 bits stand for a document; ties between equal ids go by the second one. Columns
+    may have any name; no rows give no rows.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id).alias("id"), body.alias("text"),
+        F.xxhash64(F.col(id), body).alias("key"), F.xxhash64(body, F.col(id)).alias("second"),
+    )
+    found = near_duplicates(keyed.select("key", "text"), "key", "text", width, percent)
+    found = store(found.select(F.col("id").alias("key"), "component_id", "kept").distinct(), "near-components")
+    copied = found.where(~F.col("kept")).select("component_id").distinct()
+    members = found.join(copied, "component_id", "left_semi").select("key", "component_id")
+    named = store(keyed.select("key", "second", "id").distinct().join(members, "key"), "near-members")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "second")
+    firsts = named.groupBy("component_id").agg(F.min(order).alias("first"))
+    # A key that two documents share by chance takes neither away.
+    certain = named.groupBy("key").agg(F.min("second").alias("a"), F.max("second").alias("b")).where("a = b")
+    gone = named.join(firsts, "component_id").where(order != F.col("first")).select("key").distinct()
+    return keyed.join(gone.join(certain.select("key"), "key"), "key", "left_anti").select("row.*")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:

@@ -69,15 +69,17 @@ def place(
 ) -> DataFrame:
     """``rows`` with ``slot`` and ``shard``; columns of those names are replaced.
 
+    A null key has a slot like any other; repeated rows share theirs and no rows give no rows.
+
     The lookup table has ``size`` rows whatever the input, and is broadcast: no row moves. Equal
     keys share a shard, so choose a key without hot values, such as the document's id.
     """
     filled = pd.DataFrame({"_slot": range(size), "_shard": fill_table(shards, size)})
     table = rows.sparkSession.createDataFrame(filled, "_slot int, _shard string")
     kept = [c for c in rows.columns if c not in (slot, shard)]
-    placed = rows.select(*kept, slot_of(F.col(key), size).alias("_slot"))
-    joined = placed.join(F.broadcast(table), "_slot")
-    return joined.select(*kept, F.col("_slot").alias(slot), F.col("_shard").alias(shard))
+    whole = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
+    joined = rows.select(whole, slot_of(F.col(key), size).alias("_slot")).join(F.broadcast(table), "_slot")
+    return joined.select("row.*", F.col("_slot").alias(slot), F.col("_shard").alias(shard))
 
 
 def write_shards(placed: DataFrame, path: str, files_per_shard: int = 8, shard: str = "shard") -> None:

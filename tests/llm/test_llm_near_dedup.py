@@ -101,6 +101,16 @@ def test_components_against_union_find(spark):
     assert {r.id: r.component for r in got.collect()} == brute.components(nodes, [(a, b) for a, b in links if a != b])
 
 
+def test_keep_one_loses_no_text_of_a_shared_id(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(1, b), (5, a), (5, b + " more"), (None, a + " end"), (None, "alone"), (7, b), (7, b), (8, "")]
+    kept = sorted((r.doc_id or -1, r.text) for r in nd.keep_one(table(spark, rows)).collect())
+    assert kept == sorted([(1, b), (5, a), (-1, "alone"), (8, "")])
+    first = nd.keep_one(table(spark, [(None, a), (None, a + " x"), (2, a), (2, a)])).collect()
+    assert [(r.doc_id, r.text) for r in first] == [(2, a), (2, a)]
+    assert nd.keep_one(table(spark, rows).where("false")).count() == 0
+
+
 def test_query(spark, small):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     got = nd.op3_minhash_near_dedup(spark, small).collect()

@@ -55,7 +55,7 @@ def test_run_and_names(spark, small):
     assert [name for name, _ in cp.STAGES] == ["language_id", "exact_dedup", "minhash_near_dedup", "mixing", "byte_bpe"]
     got = cp.run(spark, small)
     assert got.columns == ["doc_id", "n_tokens", "ids"] and 0 < got.count() < 200
-    assert sorted(int(n[2:].split("_")[0]) for n in CORPUS_QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in CORPUS_QUERIES) == list(range(1, 14))
     assert set(CORPUS_SQL) <= set(CORPUS_QUERIES)
 
 
@@ -67,7 +67,8 @@ def test_stages_on_an_empty_table(spark, small):
 
 def test_stages_take_extra_columns(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").limit(40).selectExpr(
-        "*", "'x' AS id", "'x' AS digest", "'x' AS kept", "'x' AS tokens", "'x' AS lang_pred", "'x' AS row"
+        "*", "'x' AS id", "'x' AS digest", "'x' AS kept", "'x' AS tokens", "'x' AS lang_pred", "'x' AS row",
+        "'x' AS _language", "'x' AS _kept_id", "'x' AS _own_digest", "'x' AS _slot", "'x' AS second", "'x' AS key"
     ).cache()
     for _, stage in cp.STAGES[:4]:
         found = stage(spark, docs, small)
