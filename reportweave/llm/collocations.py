@@ -35,6 +35,7 @@ BITMAP_BITS = 1 << 26  # 8 MB, broadcast
 HOT_SHARE = 2_000  # a prefix with more than 1 / HOT_SHARE of all words is split; at most so many are
 HOT_PARTS = 64
 RANK_PARTS = 64
+TASK_BYTES = 3 * 1024 * 1024  # of texts or stripes worked on at once
 
 _BREAKS = byte_table(b".,;:!?\n\v\f\r")
 _BLANKS = byte_table(b" \t.,;:!?\n\v\f\r")
@@ -107,7 +108,7 @@ def count_words(docs: DataFrame) -> DataFrame:
     """``lang, phrase, f`` of all words of ``lang, text`` rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in groups(batches):
+        for batch in groups(batches, TASK_BYTES):
             for lang, texts in _by_language(batch):
                 ids, forms, _ = _words(texts)
                 n = np.bincount(ids, minlength=len(forms))
@@ -148,7 +149,7 @@ def build_stripes(docs: DataFrame, length: int, frequent: Bitmap, hot: set[tuple
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, hot = shared.value
         known = Bitmap(bits)
-        for batch in groups(batches):
+        for batch in groups(batches, TASK_BYTES):
             for lang, texts in _by_language(batch):
                 ids, forms, goes_on = _words(texts)
                 if len(ids) < length:
@@ -194,6 +195,7 @@ def build_stripes(docs: DataFrame, length: int, frequent: Bitmap, hot: set[tuple
                     [lang] * len(stripe), prefix.take(pa.array(of[stripe])), part[stripe],
                     np.append(stripe, len(of)), with_end.take(pa.array(nexts)), counts,
                 )
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(build, _STRIPE)
 
@@ -234,13 +236,14 @@ def merge_stripes(stripes: DataFrame) -> DataFrame:
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_stripe: pa.RecordBatch | None = None
-        for batch in groups(batches):
+        for batch in groups(batches, TASK_BYTES):
             together = batch if open_stripe is None else pa.concat_batches([open_stripe, batch])
             done = _merged(together)
             yield done.slice(0, done.num_rows - 1)
             open_stripe = done.slice(done.num_rows - 1)
         if open_stripe is not None:
             yield open_stripe
+        pa.default_memory_pool().release_unused()
 
     keys = ["lang", "prefix", "part"]
     return stripes.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(merge, _STRIPE)
@@ -250,7 +253,7 @@ def extensions(stripes: DataFrame, min_count: int) -> DataFrame:
     """``lang, prefix, next, a`` of all entries counted ``min_count`` times and, with a null next, totals."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in groups(batches):
+        for batch in groups(batches, TASK_BYTES):
             entries = pc.binary_length(batch[4]).to_numpy() // 8
             counts = np.frombuffer(b"".join(batch[4].to_pylist()), "<i8")
             words = pc.list_flatten(pc.split_pattern(batch[3].cast(pa.string()), " "))
