@@ -107,13 +107,14 @@ def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
     A document is its id and its text: rows that share an id, or have none, stay for every text
     that ``deduplicate`` keeps of them.
     """
-    kept = deduplicate(docs, id, text).where("kept").select("id", "digest").distinct()
+    # One key that is never null: repeats go before the shuffle, and the join uses that same shuffle.
+    document = lambda i, digest: F.concat_ws(":", digest, i.cast("string")).alias("document")
+    kept = deduplicate(docs, id, text).where("kept").select(document(F.col("id"), F.col("digest"))).distinct()
     own = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.col(id).alias("id"), text_digest(text).alias("digest"),
+        document(F.col(id), text_digest(text)),
     )
-    same = own["id"].eqNullSafe(kept["id"]) & (own["digest"] == kept["digest"])
-    return own.join(kept, same, "left_semi").dropDuplicates(["id", "digest"]).select("row.*")
+    return own.dropDuplicates(["document"]).join(kept, "document", "left_semi").select("row.*")
 
 
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
