@@ -404,7 +404,9 @@ def keep_one(
     # A key that two documents share by chance takes neither away.
     certain = named.groupBy("key").agg(F.min("second").alias("a"), F.max("second").alias("b")).where("a = b")
     gone = named.join(firsts, "component_id").where(order != F.col("first")).select("key").distinct()
-    return keyed.join(gone.join(certain.select("key"), "key"), "key", "left_anti").select("row.*")
+    # Stored, so that Spark knows its size: where it is small the texts need not move.
+    gone = store(gone.join(certain.select("key"), "key"), "near-gone")
+    return keyed.select("row", "key").join(gone, "key", "left_anti").select("row.*")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
