@@ -1,10 +1,13 @@
-"""Character spans on token edges."""
+"""Character spans on token edges, and spans over two tokenisations of one text."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reportweave import vocab
+from reportweave.functions.arrays import bind, running_sum
+
 
 def span_align(mentions: DataFrame, tokens: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """Mentions with ``tok_start`` and ``tok_end`` (exclusive).
@@ -54,3 +57,33 @@ def iob_table(tokens: DataFrame, mentions: DataFrame, doc_id: str = "doc_id") ->
         "tok",
         F.coalesce(F.concat(prefix, F.col("entity_group")), F.lit("O")).alias("tag"),
     )
+
+
+# ---------------------------------------------------------------- two tokenisations of one text
+
+
+def solid(text: Column) -> Column:
+    """The characters of a text that are no blanks."""
+    return F.regexp_replace(text, f"[{vocab.BLANK_RANGES}]+", "")
+
+
+def common_spans(tokens: Column, spans: Column, label: str = "entity_group") -> Column:
+    """Token spans as ``ARRAY<STRUCT<start,end,label>>`` in counts of characters that are no blanks.
+
+    ``tokens`` is an array of strings, ``spans`` one of structs with ``tok_start`` and ``tok_end``
+    (exclusive). However a text is spaced and cut into tokens, the same characters have the same
+    counts. Running sums over the tokens of the row, so linear in them but for a logarithm.
+    """
+
+    def placed(ends: Column) -> Column:
+        upto = lambda i: F.coalesce(F.get(ends, i - 1), F.lit(0))
+        return F.transform(
+            spans,
+            lambda s: F.struct(
+                upto(s["tok_start"]).alias("start"),
+                upto(s["tok_end"]).alias("end"),
+                s[label].alias("label"),
+            ),
+        )
+
+    return bind(running_sum(F.transform(tokens, lambda t: F.length(solid(t)))), placed)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from reportweave import vocab
 from reportweave.functions.labels import literal_array
+from reportweave.operators import alignment
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -340,3 +341,39 @@ def span_scores(gold: DataFrame, pred: DataFrame, doc_id: str = "doc_id") -> Dat
         _or_zero(_ratio(tp, tp + fn)).alias("recall"),
         _or_zero(_ratio(2 * tp, 2 * tp + fp + fn)).alias("f1"),
     )
+
+
+def tokenised_span_scores(
+    gold: DataFrame, pred: DataFrame, on_difference: str = "error",
+    tokens: str = "tokens", spans: str = "ents", label: str = "entity_group", doc_id: str = "doc_id",
+) -> DataFrame:
+    """``span_scores`` where the two sides were tokenised, or spaced, in their own way.
+
+    ``gold`` and ``pred``: a document per row, ``doc_id``, its tokens (strings) and its spans
+    (``tok_start``, ``tok_end``, label). Spans are equal if they cover the same characters, blanks
+    left out. A document whose characters differ between the sides is an error, or is left out of
+    the scores with ``on_difference='skip'``; one that only one side has counts as it is. Null
+    tokens are none, null spans are none.
+    """
+    if on_difference not in ("error", "skip"):
+        raise ValueError(f"on_difference: {on_difference}")
+    held = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+    side = lambda df: df.select(
+        doc_id,
+        F.sha2(alignment.solid(F.array_join(held, "", "")), 256).alias("_characters"),
+        alignment.common_spans(held, F.col(spans), label).alias("_spans"),
+    )
+    gold, pred = side(gold), side(pred)
+    digests = gold.select(doc_id, "_characters").unionByName(pred.select(doc_id, "_characters"))
+    differ = digests.groupBy(doc_id).agg(
+        F.min("_characters").alias("low"), F.max("_characters").alias("high")
+    ).where("low <> high").select(doc_id)
+    if on_difference == "skip":
+        gold, pred = (df.join(differ, doc_id, "left_anti") for df in (gold, pred))
+    long = lambda df: df.select(doc_id, F.inline("_spans"))
+    scores = span_scores(long(gold), long(pred), doc_id)
+    if on_difference == "skip":
+        return scores
+    first = differ.agg(F.min(F.col(doc_id).cast("string"))).scalar()
+    problem = F.raise_error(F.concat(F.lit("the sides have different characters in document "), first))
+    return scores.where(F.when(first.isNotNull(), problem.cast("boolean")).otherwise(F.lit(True)))

@@ -488,6 +488,7 @@ FROM (SELECT coalesce(label, 'all') AS label, count(*) FILTER (g AND p) AS tp, c
             FROM marks a FULL JOIN word_marks b
             ON a.doc_id = b.doc_id AND a.start = b.start AND a.stop = b.stop AND a.label = b.label)
       GROUP BY ROLLUP (label))"""
+    c["span_scores_spaced"] = c["span_scores"]
 
     c["tagger_fit"] = "SELECT prev, tok, tag, n FROM model"
     c["tagger_apply"] = """

@@ -879,6 +879,18 @@ def span_scores(spark, sf):
     return _rounded(evaluation.span_scores(gold, pred), "precision", "recall", "f1")
 
 
+@query
+def span_scores_spaced(spark, sf):
+    """``span_scores`` where the predictions come from texts that are spaced in another way."""
+    docs = documents(spark, sf)
+    apart = docs.withColumn("text", F.regexp_replace("text", r"([ .,;:])", "  $1 "))
+    sides = [
+        annotation.annotate(side, phrases).select("doc_id", tx.words(F.col("text")).alias("tokens"), "ents")
+        for side, phrases in ((docs, st.PHRASES), (apart, st.WORD_PHRASES))
+    ]
+    return _rounded(evaluation.tokenised_span_scores(*sides), "precision", "recall", "f1")
+
+
 # ---------------------------------------------------------------- learned and plugged-in models
 
 

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from against_sql import compare
 from reportweave import vocab
 from reportweave.functions import labels
 from reportweave.operators import classifier, evaluation, tasks
@@ -139,3 +140,38 @@ def test_confusion_is_one_aggregate_without_new_rows(spark):
     df = spark.createDataFrame([(1, ["a"], ["b"])], "doc_id bigint, gold array<string>, pred array<string>")
     plan = evaluation.multilabel_confusion(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "explode" not in plan
+
+
+TOKENISED = "doc_id bigint, tokens array<string>, ents array<struct<tok_start:int,tok_end:int,entity_group:string>>"
+
+
+def test_spans_over_two_tokenisations(spark):
+    gold = spark.createDataFrame([
+        (1, ["white", "matter", "and", "oedema"], [(0, 2, "x"), (3, 4, "y")]),
+        (2, ["old", "stroke"], [(1, 2, "x")]),
+        (3, [], []), (4, None, None), (5, ["a"], [(0, 1, "x")]),
+    ], TOKENISED)
+    pred = spark.createDataFrame([
+        (1, ["white ", "mat", "ter", "", "\u00a0and", "oe", "dema"], [(0, 3, "x"), (5, 7, "y")]),
+        (2, ["o", "ld", "stro", "ke"], [(2, 3, "x")]),  # half of the word
+        (3, [" "], []), (4, [], None),
+    ], TOKENISED)
+    got = {r.label: (r.tp, r.fp, r.fn) for r in evaluation.tokenised_span_scores(gold, pred).collect()}
+    assert got == {"x": (1, 1, 2), "y": (1, 0, 0), "all": (2, 1, 2)}
+    none = evaluation.tokenised_span_scores(gold.where("doc_id > 9"), pred.where("doc_id > 9"))
+    assert none.collect() == []
+
+
+def test_sides_with_other_characters(spark):
+    gold = spark.createDataFrame([(1, ["ab"], [(0, 1, "x")]), (2, ["c"], [(0, 1, "x")])], TOKENISED)
+    pred = spark.createDataFrame([(1, ["a", "x"], [(0, 2, "x")]), (2, ["c"], [(0, 1, "x")])], TOKENISED)
+    with pytest.raises(Exception, match="different characters in document 1"):
+        evaluation.tokenised_span_scores(gold, pred).collect()
+    skipped = evaluation.tokenised_span_scores(gold, pred, on_difference="skip").where("label = 'all'").first()
+    assert (skipped.tp, skipped.fp, skipped.fn) == (1, 0, 0)
+    with pytest.raises(ValueError):
+        evaluation.tokenised_span_scores(gold, pred, on_difference="drop")
+
+
+def test_scores_of_texts_spaced_apart(spark):
+    compare(spark, "span_scores_spaced")
