@@ -77,17 +77,16 @@ def running_flags(
     return bind(values, fold)
 
 
-def running_sum(values: Column) -> Column:
-    """Sums of all prefixes of an integer array.
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """``join`` over all prefixes of an array; ``join`` is associative and takes null for nothing.
 
-    Doubling scan: round k adds the element 2^k places to the left, so log2(n) rounds of
+    Doubling scan: round k joins the element 2^k places to the left, so log2(n) rounds of
     plain element access do, with no array grown element by element.
     """
 
-    def round_(sums: Column, k: Column) -> Column:
-        return F.transform(
-            sums, lambda v, i: v + F.coalesce(F.get(sums, i - F.call_function("shiftleft", F.lit(1), k)), F.lit(0))
-        )
+    def round_(done: Column, k: Column) -> Column:
+        left = lambda i: F.get(done, i - F.call_function("shiftleft", F.lit(1), k))
+        return F.transform(done, lambda v, i: join(v, left(i)))
 
     def scan(arr: Column) -> Column:
         rounds = F.ceil(F.log2(F.size(arr))).cast("int")
@@ -96,3 +95,28 @@ def running_sum(values: Column) -> Column:
         )
 
     return bind(values, scan)
+
+
+def running_sum(values: Column) -> Column:
+    """Sums of all prefixes of an integer array."""
+    return _running(values, lambda v, left: v + F.coalesce(left, F.lit(0)))
+
+
+def running_max(values: Column) -> Column:
+    """Greatest elements of all prefixes; nulls do not count."""
+    return _running(values, F.greatest)
+
+
+def first_not(values: Column, below: Callable[[Column], Column]) -> Column:
+    """Index of the first element for which ``below`` is not true, the size if there is none.
+
+    ``below`` holds for a prefix of the array, so log2(n) looks are enough.
+    """
+
+    def look(found: Column, k: Column) -> Column:
+        further = found + F.call_function("shiftleft", F.lit(1), k)
+        inside = further <= F.size(values)
+        return F.when(inside & below(F.get(values, further - 1)), further).otherwise(found)
+
+    rounds = F.floor(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+    return F.aggregate(F.sequence(rounds, F.lit(0)), F.lit(0), look)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from reportweave import vocab
 from reportweave.functions import text as tx
-from reportweave.functions.arrays import bind, running_flags
+from reportweave.functions.arrays import bind, first_not, running_flags, running_max
 from reportweave.functions.labels import literal_array, sql_text
 
 ENTITY_TYPE = (
@@ -257,8 +257,9 @@ def first_overlap_negated(entities: Column, spans: Column, closed: bool = True)
     """Entities with ``negated`` set by the first overlapping span, in list order.
 
     The first overlap decides even when it says "asserted"; no overlap means not negated.
-    Ends are compared as closed by default, so spans that touch do match. For lists of report
-    length; ``operators.negation`` has the join for long tables.
+    Ends are compared as closed by default, so spans that touch do match. In spans that are
+    sorted by start, the first overlap is the first one that ends late enough: a search in the
+    running maximum of the ends. Spans in any other order are compared with every entity.
     """
 
     def overlap(e: Column, s: Column) -> Column:
@@ -266,14 +267,40 @@ def first_overlap_negated(entities: Column, spans: Column, closed: bool = True)
             return (e["start"] <= s["end"]) & (s["start"] <= e["end"])
         return (e["start"] < s["end"]) & (s["start"] < e["end"])
 
-    def flag(e: Column, all_spans: Column) -> Column:
-        first = F.get(F.filter(all_spans, lambda s: overlap(e, s)), F.lit(0))
-        return F.coalesce(first["entity_group"] == "negated", F.lit(False))
+    def flags(first: Callable[[Column], Column]) -> Column:
+        says = lambda e, s: overlap(e, s) & (s["entity_group"] == "negated")
+        return F.transform(
+            entities,
+            lambda e: e.withField(
+                "negated", bind(first(e), lambda s: F.coalesce(says(e, s), F.lit(False)))
+            ),
+        )
+
+    def searched(all_spans: Column, ends: Column) -> Column:
+        def too_early(e: Column) -> Callable[[Column], Column]:
+            reached = lambda end: end >= e["start"] if closed else end > e["start"]
+            return lambda end: ~F.coalesce(reached(end), F.lit(False))
+
+        return flags(lambda e: F.get(all_spans, first_not(ends, too_early(e))))
+
+    def compared(all_spans: Column) -> Column:
+        return flags(lambda e: F.get(F.filter(all_spans, lambda s: overlap(e, s)), F.lit(0)))
+
+    def disordered(all_spans: Column) -> Column:
+        before = lambda i: F.get(all_spans, i - 1)["start"]
+        falls = F.transform(
+            all_spans,
+            lambda s, i: s["start"].isNull() | F.coalesce(s["start"] < before(i), F.lit(False)),
+        )
+        return F.exists(falls, lambda f: f)
 
     return bind(
         spans,
-        lambda all_spans: F.transform(
-            entities, lambda e: e.withField("negated", flag(e, all_spans))
+        lambda all_spans: F.when(disordered(all_spans), compared(all_spans)).otherwise(
+            bind(
+                running_max(F.transform(all_spans, lambda s: s["end"])),
+                lambda ends: searched(all_spans, ends),
+            )
         ),
     )
 

@@ -1,6 +1,7 @@
 """Phrase lookup, negation, overlap, tags and counts against plain Python."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,6 +166,45 @@ def test_first_overlap_in_both_forms(spark, closed):
     assert {(r.doc_id, i): e.negated for r in got.collect() for i, e in enumerate(r.ents)} == expected
 
 
+@pytest.mark.parametrize("closed", [True, False])
+def test_overlap_with_sorted_spans_by_search(spark, closed):
+    rnd = random.Random(7)
+    docs = []
+    for k in range(60):
+        ents = [(s, s + rnd.randint(0, 30)) for s in (rnd.randint(0, 200) for _ in range(rnd.randint(0, 12)))]
+        spans = [(rnd.choice(["negated", "asserted"]), s, s + rnd.choice([0, 1, 5, 120]))
+                 for s in sorted(rnd.randint(0, 200) for _ in range(rnd.randint(0, 20)))]
+        docs.append((k, ents, spans))
+    nested = spark.createDataFrame(
+        [(k, [("x", s, e, False) for s, e in ents], sp) for k, ents, sp in docs],
+        "doc_id bigint, ents array<struct<entity_group:string,start:int,end:int,negated:boolean>>,"
+        "spans array<struct<entity_group:string,start:int,end:int>>")
+    got = nested.withColumn("ents", en.first_overlap_negated(F.col("ents"), F.col("spans"), closed)).collect()
+    wanted = {k: [bool(f) for f in overlap_reference(ents, sp, closed)] for k, ents, sp in docs}
+    assert {r.doc_id: [e.negated for e in r.ents] for r in got} == wanted
+    holes = spark.sql(
+        "select array(named_struct('start', 1, 'end', 4, 'negated', true)) e, s from values "
+        "(cast(null as array<struct<entity_group:string,start:int,end:int>>)), "
+        "(array(named_struct('entity_group', 'negated', 'start', 0, 'end', cast(null as int)),"
+        " named_struct('entity_group', 'negated', 'start', 2, 'end', 3))) t(s)")
+    flags = [r[0][0].negated for r in holes.select(en.first_overlap_negated(F.col("e"), F.col("s"), closed)).collect()]
+    assert flags == [False, True]
+
+
+def test_overlap_of_many_with_many(spark):
+    n = 20_000
+    row = spark.range(1).select(
+        F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(
+            (i * 10).alias("start"), (i * 10 + 4).alias("end"), F.lit(False).alias("negated"))).alias("e"),
+        F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(
+            F.when(i % 3 == 0, "negated").otherwise("asserted").alias("entity_group"),
+            (i * 10 + 2).alias("start"), (i * 10 + 6).alias("end"))).alias("s"))
+    begin = time.time()
+    flagged = row.select(F.filter(en.first_overlap_negated(F.col("e"), F.col("s")), lambda e: e["negated"]).alias("e"))
+    assert flagged.select(F.size("e")).first()[0] == (n + 2) // 3
+    assert time.time() - begin < 40  # all pairs are 4 * 10^8
+
+
 def test_iob_in_both_forms_and_clearing(spark, texts):
     df, _ = texts
     docs = annotation.annotate(df, PHRASES, RULES, keep_tokens="tokens")
