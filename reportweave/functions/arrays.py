@@ -120,3 +120,36 @@ def first_not(values: Column, below: Callable[[Column], Column]) -> Column:
 
     rounds = F.floor(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
     return F.aggregate(F.sequence(rounds, F.lit(0)), F.lit(0), look)
+
+
+FOLD_BLOCK = 128
+
+
+def running_states(
+    values: Column, start: Column, step: Callable[[Column, Column], Column]
+) -> Column:
+    """The states of a left fold after every element: ``step(state before, element)``.
+
+    States are gathered in blocks, so no array that grows by one is longer than a block or the
+    number of blocks. An empty array gives an empty one.
+    """
+    grow = lambda states, v: F.array_append(states, step(F.element_at(states, -1), v))
+    rest = lambda states: F.slice(states, F.lit(2), F.size(states))
+
+    def fold(arr: Column) -> Column:
+        last_block = F.floor(F.greatest(F.size(arr) - 1, F.lit(0)) / FOLD_BLOCK).cast("int")
+        blocks = F.aggregate(
+            F.sequence(F.lit(0), last_block),
+            F.array(F.array(start)),
+            lambda done, b: F.array_append(
+                done,
+                F.aggregate(
+                    F.slice(arr, b * FOLD_BLOCK + 1, F.lit(FOLD_BLOCK)),
+                    F.array(F.element_at(F.element_at(done, -1), -1)),
+                    grow,
+                ),
+            ),
+        )
+        return F.flatten(F.transform(rest(blocks), rest))
+
+    return bind(values, fold)

@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reportweave import vocab
+from reportweave.operators.lookup import bounded_values
 
 
 def class_encode(df: DataFrame, column: str, out: str = "label_id") -> DataFrame:
     """Adds the place of a value among the sorted distinct values.
 
-    The values are classes, few by nature; they come in as one scalar array.
+    The values are classes: they come in as one scalar array, and too many are an error.
     """
-    values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    names = values.agg(F.array_sort(F.collect_list(column))).scalar()
+    names = bounded_values(df, column)
     return df.withColumn(out, (F.array_position(names, F.col(column)) - 1).cast("int"))
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportweave.functions.labels import sql_text
 
 HOT_KEYS = 10_000
+MAX_VALUES = 100_000
 
 
 def phrase_table(spark: SparkSession, phrases: Mapping[str, str]) -> DataFrame:
@@ -53,3 +54,16 @@ def weighted_lookup(
     return joined.select(
         *rows.columns, F.coalesce(F.col("_hot"), F.col("_cold")).alias("_value")
     ).select(*rows.columns, "_value.*")
+
+
+def bounded_values(df: DataFrame, column: str, limit: int = MAX_VALUES) -> Column:
+    """The distinct values of a column, sorted, as one scalar array; nulls are none.
+
+    For classes, tags and other columns with few values. More than ``limit`` are an error that
+    names the column, raised before they are gathered in one place.
+    """
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct()
+    problem = F.raise_error(F.lit(f"column {column} has more than {limit} values"))
+    return values.limit(limit + 1).agg(F.array_sort(F.collect_list("value")).alias("v")).select(
+        F.when(F.size("v") > limit, problem.cast(f"array<{df.schema[column].dataType.simpleString()}>")).otherwise(F.col("v"))
+    ).scalar()

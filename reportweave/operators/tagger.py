@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reportweave import vocab
-from reportweave.operators.lookup import weighted_lookup
+from reportweave.operators.lookup import bounded_values, weighted_lookup
 
 START = "<s>"
 
@@ -59,11 +59,9 @@ def tagger_apply(rows: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def tag_vocabulary(examples: DataFrame, tags: str = "ner_tags") -> DataFrame:
-    """``id, tag`` by sorted order. The distinct tags are few: one array, numbered in place."""
-    distinct = examples.select(F.explode(tags).alias("tag")).distinct()
-    return distinct.agg(F.array_sort(F.collect_list("tag")).alias("t")).select(
-        F.posexplode("t").alias("id", "tag")
-    )
+    """``id, tag`` by sorted order: one array, numbered in place; too many tags are an error."""
+    names = bounded_values(examples.select(F.explode(tags).alias("tag")), "tag")
+    return examples.sparkSession.range(1).select(F.posexplode(names).alias("id", "tag"))
 
 
 def vocabulary_array(vocabulary: DataFrame):

@@ -226,6 +226,45 @@ UNION ALL SELECT NULL, tok, tag, CAST(total AS BIGINT) FROM (
     "turn_tokens": _tokens_of("turns", "turn_id"),
     "turn_rows": """
 SELECT turn_id, i, tok, coalesce(lag(tok) OVER (PARTITION BY turn_id ORDER BY i), '<s>') AS prev FROM turn_tokens""",
+    "tag_steps": """
+SELECT prev, tag, count(*) AS n FROM (
+  SELECT coalesce(lag(tag) OVER (PARTITION BY doc_id ORDER BY i), '<s>') AS prev, tag FROM tags) GROUP BY ALL""",
+    "tag_names": "SELECT tag FROM tags UNION SELECT 'O'",
+    "tag_moves": """
+SELECT p.prev, t.tag, CAST(round(1000 * ln((coalesce(s.n, 0) + 1.0::DOUBLE)
+    / (coalesce(b.n, 0) + (SELECT count(*) FROM tag_names)))) AS BIGINT) AS score
+FROM (SELECT tag AS prev FROM tag_names UNION ALL SELECT '<s>') p CROSS JOIN tag_names t
+LEFT JOIN tag_steps s ON s.prev = p.prev AND s.tag = t.tag
+LEFT JOIN (SELECT prev, sum(n) AS n FROM tag_steps GROUP BY prev) b ON b.prev = p.prev
+WHERE NOT starts_with(t.tag, 'I-') OR p.prev IN ('I-' || substr(t.tag, 3), 'B-' || substr(t.tag, 3))""",
+    "tag_choices": """
+SELECT c.tok, c.tag, CAST(round(1000 * ln((c.n + 0.5::DOUBLE) / (coalesce(t.n, 0) + 1))) AS BIGINT) AS score
+FROM (SELECT tok, tag, sum(n) AS n FROM (SELECT tok, tag, n FROM pair_counts
+        UNION ALL SELECT DISTINCT tok, 'O', 0 FROM pair_counts) GROUP BY ALL) c
+LEFT JOIN (SELECT tag, sum(n) AS n FROM tag_steps GROUP BY tag) t ON t.tag = c.tag""",
+    "turn_choices": """
+SELECT r.turn_id, r.i, coalesce(c.tag, 'O') AS tag, coalesce(c.score, 0) AS score
+FROM turn_rows r LEFT JOIN tag_choices c ON c.tok = r.tok""",
+    "split_reports": f"""
+SELECT *, CASE WHEN r <= n - ceil(0.2::DOUBLE * n) THEN 'train' ELSE 'test' END AS split
+FROM (SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY md5('{SEED}:' || doc_id), doc_id) AS r FROM classed)""",
+    "report_words": r"""
+SELECT doc_id, word, count(*) AS n FROM (
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents) GROUP BY ALL""",
+    "class_words": """
+SELECT s.normality_class AS label, w.word, sum(w.n) AS n
+FROM split_reports s JOIN report_words w ON w.doc_id = s.doc_id WHERE s.split = 'train' GROUP BY ALL""",
+    "class_sizes": """
+SELECT c.label, CAST(round(1000000 * ln(c.n::DOUBLE / sum(c.n) OVER ())) AS BIGINT) AS prior,
+       coalesce(w.n, 0) + (SELECT count(DISTINCT word) FROM class_words) AS base
+FROM (SELECT normality_class AS label, count(*) AS n FROM split_reports WHERE split = 'train' GROUP BY ALL) c
+LEFT JOIN (SELECT label, sum(n) AS n FROM class_words GROUP BY label) w ON w.label = c.label""",
+    "class_scores": """
+SELECT s.doc_id, k.label, any_value(k.prior) + coalesce(sum(w.n * CAST(round(1000000
+    * ln((coalesce(c.n, 0) + 1)::DOUBLE / k.base)) AS BIGINT)), 0) AS score
+FROM split_reports s CROSS JOIN class_sizes k
+LEFT JOIN (SELECT * FROM report_words WHERE word IN (SELECT word FROM class_words)) w ON w.doc_id = s.doc_id
+LEFT JOIN class_words c ON c.label = k.label AND c.word = w.word GROUP BY s.doc_id, k.label""",
     "mask_spans": """
 SELECT doc_id, start, stop, coalesce(max(stop) OVER (PARTITION BY doc_id ORDER BY start, stop
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS kept_from
@@ -496,6 +535,12 @@ SELECT r.turn_id AS doc_id, r.i, r.tok, coalesce(a.tag, b.tag, 'O') AS tag FROM
 LEFT JOIN model a ON a.prev = r.prev AND a.tok = r.tok
 LEFT JOIN model b ON b.prev IS NULL AND b.tok = r.tok"""
 
+    c["classify_bayes"] = """
+SELECT s.doc_id, s.split, s.normality_class, b.label, round(b.share, 6) AS score FROM split_reports s
+JOIN (SELECT doc_id, max({'score': score, 'label': label}).label AS label,
+        1 / sum(exp((score - top)::DOUBLE / 1000000)) AS share
+      FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS top FROM class_scores) GROUP BY doc_id) b ON b.doc_id = s.doc_id"""
+
     options = ",".join(vocab.EVALUATION_PATHOLOGIES)
     c["choice_tasks"] = f"""
 SELECT d.doc_id, md5(d.text) AS text_md5, 'choice' AS _view_id, 'multiple' AS choice_style, 'accept' AS answer,
@@ -528,6 +573,18 @@ FROM climb GROUP BY doc_id""",
   SELECT doc_id, i, head AS anc, 1 AS depth FROM deps WHERE head <> i
   UNION ALL SELECT c.doc_id, c.i, d.head, c.depth + 1 FROM climb c
   JOIN deps d ON d.doc_id = c.doc_id AND d.i = c.anc WHERE d.head <> d.i)""",
+    )
+    composed["tagger_decode"] = compose(
+        """SELECT t.turn_id AS doc_id, coalesce(p.tags, '') AS tags FROM turns t LEFT JOIN (
+  SELECT turn_id, array_to_string(max({'i': i, 'score': score, 'tag': tag, 'path': path}).path, ' ') AS tags FROM paths GROUP BY turn_id) p ON p.turn_id = t.turn_id""",
+        recursive="""paths AS (
+  SELECT c.turn_id, c.i, c.tag, CAST(m.score + c.score AS BIGINT) AS score, [c.tag] AS path
+  FROM turn_choices c JOIN tag_moves m ON m.prev = '<s>' AND m.tag = c.tag WHERE c.i = 0
+  UNION ALL SELECT turn_id, i, tag, CAST(best.score + emit AS BIGINT), list_append(best.path, tag) FROM (
+    SELECT c.turn_id, c.i, c.tag, any_value(c.score) AS emit,
+           max({'score': p.score + m.score, 'prev': p.tag, 'path': p.path}) AS best
+    FROM paths p JOIN turn_choices c ON c.turn_id = p.turn_id AND c.i = p.i + 1
+    JOIN tag_moves m ON m.prev = p.tag AND m.tag = c.tag GROUP BY c.turn_id, c.i, c.tag))""",
     )
     composed["dep_numbers"] = compose(
         """SELECT doc_id, sent, i, pre, pre + below - 1 AS last, depth FROM (

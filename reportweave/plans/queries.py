@@ -20,6 +20,7 @@ from reportweave.functions.arrays import bind, running_sum
 from reportweave.operators import (
     alignment,
     annotation,
+    bayes,
     classifier,
     counts,
     evaluation,
@@ -31,6 +32,7 @@ from reportweave.operators import (
     relations,
     sampling,
     sections,
+    sequence,
     tagger,
     tasks,
     vocabulary,
@@ -899,17 +901,42 @@ def tagger_fit(spark, sf):
     return tagger.tagger_fit(tagger.tag_rows(tag_examples(spark, sf)))
 
 
-@query
-def tagger_apply(spark, sf):
-    model = store(tagger.tagger_fit(tagger.tag_rows(tag_examples(spark, sf))), "tagger")
-    turns = read_table(spark, sf, "conversations").select(
+def _turns(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"),
         tx.words(F.col("text")).alias("tokens"),
     )
-    rows = tagger.tag_rows(turns, tags=None)
+
+
+@query
+def tagger_apply(spark, sf):
+    model = store(tagger.tagger_fit(tagger.tag_rows(tag_examples(spark, sf))), "tagger")
+    rows = tagger.tag_rows(_turns(spark, sf), tags=None)
     return tagger.tagger_apply(rows, model).select("doc_id", "i", "tok", "tag")
 
 
+@query
+def tagger_decode(spark, sf):
+    """Tags of whole turns by the best valid path, learned from all documents."""
+    model = sequence.sequence_fit(store(tag_examples(spark, sf), "tag-examples"))
+    model = sequence.SequenceModel(
+        store(model.emissions, "tag-emissions"), store(model.transitions, "tag-transitions")
+    )
+    found = sequence.sequence_decode(_turns(spark, sf), model)
+    return found.select("doc_id", F.array_join("tags", " ").alias("tags"))
+
+
+@query
+def classify_bayes(spark, sf):
+    """Every report by a model of the train part."""
+    reports = store(classed_reports(spark, sf).withColumnRenamed("Narrative", "text"), "classed")
+    split = sampling.exact_split(reports, ["doc_id"], SEED, test_size=0.2, dev_share=1.0)
+    model = bayes.bayes_fit(split.where("split = 'train'"), label="normality_class")
+    model = bayes.BayesModel(store(model.words, "bayes-words"), store(model.classes, "bayes-classes"))
+    found = bayes.bayes_classify(reports, model).join(split.select("doc_id", "split", "normality_class"), "doc_id")
+    return found.select("doc_id", "split", "normality_class", "label", F.round("score", 6).alias("score"))
+
+
 @query
 def classify_documents(spark, sf):
     reports = classed_reports(spark, sf).withColumnRenamed("Narrative", "text")
