@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -77,7 +78,7 @@ ENDS_FOREIGN = frozenset(
 CELL_WALLS = frozenset({"td", "th", "caption", "table", "html"})
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>?"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+>?"
     r"|</(?P<end>[a-zA-Z][^\s/>]*+)[^>]*+>?"
     r"|<(?P<start>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[\s/]++|[^\s/>][^\s/>=]*+"
     r"(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?)?)*+)>?",
@@ -86,7 +87,11 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(
     r"([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s>\"'][^\s>]*+)))?"
 )
-_HIDING_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_DECLARATION = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
+_SELECTOR = re.compile(r"(\*|[a-z][\w-]*)?((?:[.#][\w-]+)*)", re.I)
+_CSS_STEP = re.compile(r"[{}]|;|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)")
+# Inputs that show no text of theirs.
+UNSEEN_INPUTS = frozenset("hidden password checkbox radio file image range color".split())
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -95,6 +100,7 @@ class Node:
     tag: str
     attributes: dict[str, str]
     hidden: bool
+    unseen: bool = False  # takes part in the layout, but its text is not shown
     tight: bool = False  # a list in a list item, which is not set apart
     foreign: str = ""  # svg or math, for an element of a drawing or a formula
     mute: bool = False  # its own text is not shown, its elements are
@@ -115,22 +121,133 @@ def _hides(tag: str, attributes: dict[str, str]) -> bool:
     return (
         tag in UNSEEN
         or "hidden" in attributes
-        or bool(_HIDING_STYLE.search(attributes.get("style", "")))
-        or (tag == "input" and attributes.get("type", "").lower() not in ("submit", "button", "reset"))
+        or (tag == "input" and attributes.get("type", "").strip().lower() in UNSEEN_INPUTS)
         or (tag == "dialog" and "open" not in attributes)
     )
 
 
 def _hides_foreign(kind: str, tag: str, attributes: dict[str, str]) -> bool:
     return tag in FOREIGN_UNSEEN[kind] or (
-        kind == "svg"
-        and (
-            attributes.get("display", "").strip().lower() == "none"
-            or attributes.get("visibility", "").strip().lower() in ("hidden", "collapse")
-        )
+        kind == "svg" and attributes.get("display", "").strip().lower() == "none"
     )
 
 
+def _declared(body: str) -> dict[str, tuple[bool, str]]:
+    """Whether it is important, and the value, of what a style says about display and visibility."""
+    found: dict[str, tuple[bool, str]] = {}
+    for name, value, important in _DECLARATION.findall(body):
+        name = name.lower()
+        if important or not found.get(name, (False,))[0]:
+            found[name] = (bool(important), value.lower())
+    return found
+
+
+class Sheet:
+    """Rules about display and visibility whose selector is a tag, classes and an id.
+
+    Rules with other selectors, and those for other media than screens, are left out.
+    """
+
+    def __init__(self) -> None:
+        self.rules: dict[str, list[tuple]] = {}
+        self.order = 0
+
+    def add(self, css: str) -> None:
+        css = re.sub(r"/\*.*?(?:\*/|\Z)", " ", css, flags=re.S)
+        blocks: list[bool] = []  # of the open at-rules, whether they hold for a screen
+        begin = at = 0
+        head: str | None = None
+        while found := _CSS_STEP.search(css, at):
+            at = found.end()
+            sign = found[0]
+            if sign == "{" and head is None:
+                name = css[begin : found.start()].strip()
+                if name.startswith("@"):
+                    words = name.lower().split(None, 1)
+                    medium = words[1].strip() if len(words) > 1 else ""
+                    blocks.append(words[0] == "@media" and medium in ("", "all", "screen", "only screen"))
+                else:
+                    head = name
+                begin = at
+            elif sign == "}":
+                if head is not None:
+                    if all(blocks):
+                        self._rule(head, css[begin : found.start()])
+                    head = None
+                elif blocks:
+                    blocks.pop()
+                begin = at
+            elif sign == ";" and head is None:
+                begin = at
+
+    def _rule(self, selectors: str, body: str) -> None:
+        declared = _declared(body)
+        if not declared:
+            return
+        for selector in selectors.split(","):
+            found = _SELECTOR.fullmatch(selector.strip())
+            if found is None or not found[0]:
+                continue
+            tag = "" if found[1] in (None, "*") else found[1].lower()
+            parts = re.findall(r"[.#][\w-]+", found[2])
+            ids = frozenset(p for p in parts if p[0] == "#")
+            classes = frozenset(p for p in parts if p[0] == ".")
+            key = min(ids or classes, default=tag)
+            self.order += 1
+            weight = (len(ids), len(classes), bool(tag), self.order)
+            self.rules.setdefault(key, []).append((weight, tag, ids | classes, declared))
+
+    def apply(self, node: Node) -> dict[str, str]:
+        """The values of display and visibility that the sheet and its own style give an element."""
+        found: list[tuple[tuple, dict[str, tuple[bool, str]]]] = []
+        if self.rules:
+            own = {f".{c}" for c in node.attributes.get("class", "").split()}
+            if name := node.attributes.get("id"):
+                own.add(f"#{name}")
+            for key in {"", node.tag, *own}:
+                for weight, tag, parts, declared in self.rules.get(key, ()):
+                    if tag in ("", node.tag) and parts <= own:
+                        found.append((weight, declared))
+        if style := node.attributes.get("style"):
+            found.append(((1_000_000,), _declared(style)))
+        values: dict[str, str] = {}
+        for name in ("display", "visibility"):
+            said = [(d[name][0], weight, d[name][1]) for weight, d in found if name in d]
+            if said:
+                values[name] = max(said)[2]
+        return values
+
+
+def _settle(root: Node) -> None:
+    """Marks what the styles of a page hide: with all it holds by display, by visibility except for
+    what says that it is visible."""
+    sheet = Sheet()
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if node.tag == "style" and not node.foreign:
+            sheet.add("".join(c for c in node.children if isinstance(c, str)))
+        # Rules are read in the order of the page.
+        todo.extend(c for c in reversed(node.children) if isinstance(c, Node) and c.tag != "template")
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        for child in node.children:
+            if not isinstance(child, Node):
+                continue
+            values = sheet.apply(child)
+            child.hidden = child.hidden or node.hidden or values.get("display") == "none"
+            said = values.get("visibility")
+            if said is None and child.foreign == "svg":
+                said = child.attributes.get("visibility", "").strip().lower()
+            if said in ("hidden", "collapse", "visible"):
+                child.unseen = said != "visible"
+            else:
+                child.unseen = node.unseen
+            if not child.hidden:
+                todo.append(child)
+
+
 def _closes_itself(raw: str) -> bool:
     """Whether a tag ends with a slash that is not the end of an unquoted value."""
     if not raw.endswith("/"):
@@ -162,10 +279,14 @@ class TreeBuilder:
             len(self.open) >= MAX_DEPTH + TABLE_DEPTH
             or self.open[-1].tag not in TABLE_PARTS | {"td", "th"}
         ):
+            if self.open[-1].hidden and not self.open[-2].hidden:
+                break  # what is in it must stay hidden
             self.open.pop()
         parent = self.open[-1]
         tight = tag in ("ul", "ol") and any(n.tag == "li" for n in self.open)
-        node = Node(tag, attributes, parent.hidden or _hides(tag, attributes), tight)
+        own = _declared(attributes["style"]) if "style" in attributes else {}
+        hides = _hides(tag, attributes) or own.get("display", (False, ""))[1] == "none"
+        node = Node(tag, attributes, parent.hidden or hides, tight=tight)
         node.foreign = tag if tag in FOREIGN_UNSEEN else "" if parent.tag in HOLDS_HTML else parent.foreign
         if node.foreign:
             node.hidden = node.hidden or _hides_foreign(node.foreign, tag, attributes)
@@ -218,7 +339,11 @@ class TreeBuilder:
                 del self.open[i:]
                 return
             if self.open[i].tag in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
-                return  # an end tag in a cell closes nothing outside it
+                break  # an end tag in a cell closes nothing outside it
+        if tag == "p" and not self.in_foreign():
+            self._push("p", {})
+            if self.open[-1].tag == "p":
+                self.open.pop()
 
     def text(self, text: str) -> None:
         if text:
@@ -260,6 +385,7 @@ def parse(page: str) -> Node:
             stop = len(page) if stop < 0 else stop
             builder.text(page[found.start() + len("<![CDATA[") : stop])
             at = stop + len("]]>")
+    _settle(builder.root)
     return builder.root
 
 
@@ -340,7 +466,7 @@ def _apart(node: Node) -> list[str]:
 def _children(node: Node, flow: Flow, keeps: bool = False) -> None:
     for child in node.children:
         if isinstance(child, str):
-            if not node.hidden and not node.mute:
+            if not node.hidden and not node.mute and not node.unseen:
                 (flow.kept if keeps else flow.text)(child)
         else:
             _element(child, flow, keeps)
@@ -354,7 +480,8 @@ def _element(node: Node, flow: Flow, keeps: bool) -> None:
     if tag == "br":
         flow.end_line(always=True)
     elif tag == "input":
-        flow.text(node.attributes.get("value") or " ")
+        value = "" if node.unseen else node.attributes.get("value", "")
+        flow.text(f" {value} ")  # a box of its own
     elif tag in ("td", "th", "mtd"):  # outside a table
         flow.text(" ")
         _children(node, flow, keeps)
@@ -381,6 +508,9 @@ def _element(node: Node, flow: Flow, keeps: bool) -> None:
         elif tag == "li":  # outside a list
             flow.add(_item("- ", node))
         else:
+            if tag == "optgroup" and not node.unseen and node.attributes.get("label", "").strip():
+                flow.text(node.attributes["label"])
+                flow.end_line()
             if tag == "pre" and node.children and isinstance(node.children[0], str):
                 node.children[0] = node.children[0].removeprefix("\n")
             _children(node, flow, keeps)
@@ -395,6 +525,15 @@ def _item(mark: str, node: Node) -> list[str]:
     return [f"{mark}{lines[0]}".rstrip(), *rest]
 
 
+def _width(line: str) -> int:
+    """Columns that a line takes where wide characters take two and marks none."""
+    if line.isascii():
+        return len(line)
+    return sum(
+        0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in ("W", "F") else 1 for c in line
+    )
+
+
 def _whole(value: str | None, default: int) -> int:
     found = re.match(r"\s*(-?\d{1,6})", value or "")
     return int(found[1]) if found else default
@@ -406,13 +545,15 @@ def _list(node: Node, flow: Flow) -> None:
     number = _whole(node.attributes.get("start"), 1)
     for child in node.children:
         if isinstance(child, str):
-            if child.strip():
+            if child.strip() and not node.unseen:
                 flow.text(child)
         elif child.tag != "li":
             _element(child, flow, False)
         elif not child.hidden:
             number = _whole(child.attributes.get("value"), number)
-            flow.add(_item(f"{number}. " if ordered else "- ", child))
+            item = _item(f"{number}. " if ordered else "- ", child)
+            if not child.unseen or len(item) > 1 or " " in item[0].lstrip():
+                flow.add(item)
             number += 1
 
 
@@ -429,7 +570,7 @@ def _strays(node: Node) -> Iterator[Node | str]:
     """What stands in a table or its parts but is no part of it."""
     for child in node.children:
         if isinstance(child, str):
-            if child.strip() and not node.hidden:
+            if child.strip() and not node.hidden and not node.unseen:
                 yield child
         elif child.tag == "tr" or child.tag in GROUPS:
             yield from _strays(child)
@@ -472,7 +613,7 @@ def _table(node: Node, flow: Flow) -> None:
     widths: dict[int, int] = {}
     for cells in grid:
         for column, lines, span in cells:
-            longest = max(map(len, lines), default=0)
+            longest = max(map(_width, lines), default=0)
             if span == 1 and longest <= PAD_WIDTH:
                 widths[column] = max(widths.get(column, 0), longest)
     starts, at = {}, 0
@@ -486,7 +627,8 @@ def _table(node: Node, flow: Flow) -> None:
             for column, lines, _ in cells:
                 part = lines[i] if i < len(lines) else ""
                 if part:
-                    line = f"{line}  " if len(line) > max(starts[column] - 2, 0) else line.ljust(starts[column])
+                    taken_up = _width(line)
+                    line += " " * (2 if taken_up > max(starts[column] - 2, 0) else starts[column] - taken_up)
                     line += part
             flow.add([line.rstrip()])
 
@@ -509,7 +651,8 @@ def extract_text(
     """``id, out`` with the visible text of every row of ``pages``.
 
     A null, empty or wholly hidden page gives an empty text. Broken markup is read as browsers
-    do: what is left open is closed, what is unknown is inline. Repeated rows are rendered each;
+    do: what is left open is closed, what is unknown is inline. What styles and sheets hide is left
+    out, as far as their rules name tags, classes and ids and hold for a screen. Repeated rows are rendered each;
     other columns are ignored; pages are read whole.
     """
     rows = pages.select(F.col(id), F.col(page).alias("_page"))

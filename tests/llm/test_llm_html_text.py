@@ -17,9 +17,9 @@ CASES = [
     ("<noscript>a</noscript><template>b</template>c", "c"), ("<pre>\n a\n  b</pre>x", " a\n  b\n\nx"),
     ("<dl><dt>T<dd>D<dd>E</dl>", "T\n  D\n  E"), ("<blockquote>q</blockquote>r", "  q\n\nr"),
     ("<details><summary>S</summary>hid</details><details open>seen</details>", "S\nseen"),
-    ("<select><option>A<option>B</select>", "A\nB"), ("<input type=submit value=Go><input value=no>", "Go"),
+    ("<select><option>A<option>B</select>", "A\nB"), ("<input type=submit value=Go><input value=typed><input type=hidden value=no>", "Go typed"),
     ("<textarea> a &lt; b\n c</textarea>", " a < b\n c"), ("a < b <3 <", "a < b <3 <"), ("<p title='a>b'>x", "x"),
-    ("<a href=\"x", ""), ("x</div></p>y", "x y".replace(" ", "")), ("<TABLE><TR><TD>u</TABLE>", "u"),
+    ("<a href=\"x", ""), ("x</div></p>y", "x\n\ny"), ("<TABLE><TR><TD>u</TABLE>", "u"),
     ("<div hidden><p>a<div>b</div></div>c", "c"), ("<script>x", ""), ("<!doctype html><html lang=e><body>k</body></html>", "k"),
     ("İ<script>a</script>b", "İb"), ("&#0;&nbsp;x&shy;y", "� xy"), ("<h1>T</h1>text", "T\n\ntext"),
 ]
@@ -45,6 +45,41 @@ WHOLE = [
 ]
 
 
+WHOLE += [
+    ("<!-->visible<p>x", "visible\n\nx"), ("<!--->visible", "visible"), ("<!-- a > b -->c", "c"), ("<!--x", ""),
+    ("<div style='visibility:hidden'>a<b style='visibility:visible'>b</b>c</div>d", "b\nd"),
+    ("<ul style='visibility:hidden'><li>a<li style='visibility: visible'>b</ul>", "- b"),
+    ("<p style='display:none;display:block'>a", "a"), ("<td>a</p>b", "a\n\nb"),
+    ("<select><optgroup label=Fruit><option>apple</optgroup></select>", "Fruit\napple"),
+    ("<input type=password value=x><input type=Checkbox value=y>z", "z"),
+    ("<table><tr><td>日本<td>x<tr><td>abcd<td>y</table>", "日本  x\nabcd  y"),
+    ("<svg><g visibility=hidden><text>a<tspan visibility=visible>b</tspan></text></g></svg>", "b"),
+]
+SHEETS = [
+    (".h{display:none}", "<p class='a h'>no</p><p class=a>yes"), ("#h, .x { visibility: hidden }", "<p id=h>no</p>yes"),
+    ("b{display:none}", "<b>no</b>yes"), ("p.h{display:none}", "<p class=h>no</p><b class=h>yes"),
+    ("@media print{.h{display:none}}", "<p class=h>yes"), ("@media screen{.h{display:none}}", "<p class=h>no</p>yes"),
+    ("@import 'a;{b'; .h{display:none}", "<p class=h>no</p>yes"), ("div .h{display:none}", "<p class=h>yes"),
+    (".h{display:none}", "<p class=h style='display:block'>yes"), (".h{display:none!important}", "<p class=h style='display:block'>no</p>yes"),
+    (".h{display:none} .h{display:block}", "<p class=h>yes"), ("#i{display:block} .h{display:none}", "<p class=h id=i>yes"),
+    ("/* .h{display:none} */ .g{color:red}", "<p class='h g'>yes"), (".h{display:none", "<p class=h>yes"),
+    (".h:hover{display:none}", "<p class=h>yes"), (".h{visibility:hidden}", "<p class=h>no<b style='visibility:visible'>yes"),
+]
+
+
+@pytest.mark.parametrize(("sheet", "page"), SHEETS)
+def test_simple_rules_of_sheets(sheet, page):
+    assert render(f"<style>{sheet}</style>{page}") == render(f"{page}<style>{sheet}</style>") == "yes"
+
+
+@pytest.mark.parametrize("depth", [*range(90, 110), 300])
+def test_deep_hidden_elements_stay_hidden(depth):
+    page = "<div>" * depth + "<div hidden><p>secret<table><tr><td>secret" + "<div>secret" * depth
+    assert render(page) == ""
+    closed = "<div>" * depth + "<div hidden><p>secret</div>open"
+    assert render(closed) == "open"
+
+
 @pytest.mark.parametrize(("page", "text"), WHOLE)
 def test_all_visible_text(page, text):
     assert render(page) == text
