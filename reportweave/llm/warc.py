@@ -24,6 +24,8 @@ from reportweave.sources.tables import read_table
 
 REVISIT_BYTES = 100  # smaller payloads are always stored again
 ARCHIVE_BYTES = 256 * 1024 * 1024  # an archive is closed when it is this long
+TASK_BYTES = 64 << 20  # of packed records that one task reads
+CHUNK_BYTES = 4 << 20  # of an archive that stay in one task
 RANGE_GAP = 64 * 1024  # records this near to each other are fetched together
 RANGE_BYTES = 8 * 1024 * 1024
 DATE = "2024-01-01T00:00:00Z"
@@ -167,11 +169,16 @@ def write_archives(
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """``RECORD`` rows of the records that ``index`` (rows of ``write_archives``) selects.
 
-    ``payload`` is null for a revisit. A record whose payload does not match its digest, or whose
-    range holds no record, is an error.
+    ``payload`` is null for a revisit. Chunks of ``CHUNK_BYTES`` of the archives are dealt over tasks
+    of about ``TASK_BYTES``, and over all cores at least. A record whose payload does not match its
+    digest, or whose range holds no record, is an error.
     """
     spots = index.select("archive", "offset", "length")
-    parts = spots.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    # Index rows are small and payloads are not, so the parts are counted and cut by payload bytes.
+    total = spots.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    chunk = F.floor(F.col("offset") / CHUNK_BYTES)
+    parts = spots.repartition(tasks, "archive", chunk).sortWithinPartitions("archive", "offset")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = fs.FileSystem.from_uri(folder)
