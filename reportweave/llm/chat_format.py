@@ -15,12 +15,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportweave.functions.arrays import bind, running_states
 from reportweave.sources.tables import read_table
 
 # The marks of this template, and control strings of other templates.
 START, SEPARATOR, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 CONTROL = (START, SEPARATOR, END, "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]")
 
+SPAN_BLOCK = 128  # spans that are cut out of a text together
+
 # A backslash, or the first character of a control string.
 _BREAK_AFTER = (
     r"(\\|<(?=\|im_start\|>|\|im_sep\|>|\|im_end\|>|s>|/s>|<SYS>>|</SYS>>)|\[(?=/?INST\]))"
@@ -68,38 +71,39 @@ def format_conversations(
         F.sort_array(F.collect_list("turn_row")).alias("turns")
     )
 
-    def piece(this: Column, at: Column) -> Column:
-        """Opens a message where the role changes, else separates; closes before a change."""
-        before = F.get(F.col("turns"), at - 1)["role"]
-        after = F.get(F.col("turns"), at + 1)["role"]
-        opening = F.concat(F.lit(START), escape_role(this["role"]), F.lit("\n"))
-        return F.struct(
-            F.when(before.eqNullSafe(this["role"]), SEPARATOR).otherwise(opening).alias("head"),
-            escape(this["text"]).alias("body"),
-            F.when(after.eqNullSafe(this["role"]), "").otherwise(END + "\n").alias("tail"),
-            (this["role"] == learn).alias("learn"),
-        )
-
-    pieces = sorted_turns.select("conv", F.transform("turns", piece).alias("pieces"))
+    opening = lambda t: F.concat(F.lit(START), escape_role(t["role"]), F.lit("\n"))
+    bodies = sorted_turns.select("conv", "turns", F.transform("turns", lambda t: escape(t["text"])).alias("bodies"))
+    merged = F.zip_with(
+        "turns", "bodies",
+        lambda t, body: F.struct(t["role"].alias("role"), F.length(body).alias("chars"), opening(t).alias("opening")),
+    )
 
-    def advance(state: Column, p: Column) -> Column:
-        begin = state["at"] + F.length(p["head"])
-        stop = begin + F.length(p["body"])
-        spans = F.when(
-            p["learn"],
-            F.array_append(state["spans"], F.struct(begin.alias("start"), stop.alias("end"))),
-        ).otherwise(state["spans"])
-        return F.struct((stop + F.length(p["tail"])).alias("at"), spans.alias("spans"))
+    def advance(state: Column, t: Column) -> Column:
+        """A turn joins the message before it if the roles are the same, or closes it and opens its own."""
+        head = (
+            F.when(state["role"].isNull(), t["opening"])
+            .when(state["role"] == t["role"], SEPARATOR)
+            .otherwise(F.concat(F.lit(END + "\n"), t["opening"]))
+        )
+        return bind(
+            F.struct(head.alias("head"), (state["end"] + F.length(head)).alias("start")),
+            lambda h: F.struct(
+                t["role"].alias("role"), h["head"].alias("head"), h["start"].alias("start"),
+                (h["start"] + t["chars"]).alias("end"),
+            ),
+        )
 
-    empty = F.struct(
-        F.lit(0).alias("at"), F.expr("CAST(array() AS array<struct<start:int,end:int>>)").alias("spans")
-    )
-    return pieces.select(
+    nothing = F.lit(None).cast("string")
+    before = F.struct(nothing.alias("role"), nothing.alias("head"), F.lit(0).alias("start"), F.lit(0).alias("end"))
+    placed = bodies.select("conv", "bodies", running_states(merged, before, advance).alias("places"))
+    learned = F.filter("places", lambda p: p["role"] == learn)
+    return placed.select(
         F.col("conv").alias(conv),
-        F.array_join(
-            F.transform("pieces", lambda p: F.concat(p["head"], p["body"], p["tail"])), ""
+        F.concat(
+            F.array_join(F.zip_with("places", "bodies", lambda p, body: F.concat(p["head"], body)), ""),
+            F.lit(END + "\n"),
         ).alias("formatted"),
-        F.aggregate("pieces", empty, advance, lambda s: s["spans"]).alias("loss_spans"),
+        F.transform(learned, lambda p: F.struct(p["start"], p["end"])).alias("loss_spans"),
     )
 
 
@@ -116,9 +120,26 @@ def read_back(formatted: Column) -> Column:
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped and joined."""
-    inside = lambda s: unescape(F.substring(formatted, s["start"] + 1, s["end"] - s["start"]))
-    return F.array_join(F.transform(spans, inside), "")
+    """All text under the loss mask, unescaped and joined; ``spans`` are in order.
+
+    A character is found by counting from the start of a string, so a block of spans is cut out of
+    the whole text first, and its spans out of the block.
+    """
+
+    def inside(block: Column) -> Column:
+        begin = F.get(block, 0)["start"]
+        part = F.substring(formatted, begin + 1, F.element_at(block, -1)["end"] - begin)
+        cut = lambda text: F.transform(
+            block, lambda s: unescape(F.substring(text, s["start"] - begin + 1, s["end"] - s["start"]))
+        )
+        return F.array_join(bind(part, cut), "")
+
+    last = F.floor((F.size(spans) - 1) / SPAN_BLOCK).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+        lambda b: bind(F.slice(spans, b * SPAN_BLOCK + 1, F.lit(SPAN_BLOCK)), inside),
+    )
+    return F.when(F.size(spans) == 0, "").otherwise(F.array_join(blocks, ""))
 
 
 def op10_chat_format(spark: SparkSession, sf: str) -> DataFrame:

@@ -46,6 +46,16 @@ def test_marks_and_merging(spark):
     )
 
 
+def test_many_turns_take_linear_time(spark):
+    turns = spark.range(100_000).selectExpr(
+        "1L AS conv_id", "id AS turn", "if(id % 3 = 0, 'user', 'assistant') AS role", "concat('<s>', id) AS text")
+    made = cf.format_conversations(turns).select(
+        F.size("loss_spans").alias("spans"), F.size(cf.read_back(F.col("formatted"))).alias("turns"),
+        cf.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).first()
+    assert made.turns == 100_000 and made.spans == 66_666
+    assert made.loss == "".join(f"<s>{i}" for i in range(100_000) if i % 3)
+
+
 def test_empty_table_and_plan(spark, small):
     assert cf.format_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
     plan = cf.op10_chat_format(spark, small)._jdf.queryExecution().toString()
