@@ -136,77 +136,130 @@ def multilabel_report(
 
     A ratio over zero is 0. The samples average is the mean of per-document scores.
     """
-    confusion = multilabel_confusion(df, keep, gold, pred, classes)
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    per_label = confusion.select(
-        "label",
-        _or_zero(_ratio(tp, tp + fp)).alias("precision"),
-        _or_zero(_ratio(tp, tp + fn)).alias("recall"),
-        _or_zero(_ratio(2 * tp, 2 * tp + fp + fn)).alias("f1"),
-        (tp + fn).alias("support"),
-        "tp",
-        "fp",
-        "fn",
+    return report_of(evaluation_state(df, keep, gold, pred), keep, classes).drop("specificity", "sensitivity")
+
+
+def domain_metrics(
+    df: DataFrame,
+    keep: Sequence[str] = vocab.EVALUATION_PATHOLOGIES,
+    gold: str = "gold",
+    pred: str = "pred",
+    classes: str = "gold",
+) -> DataFrame:
+    """The multilabel report with sensitivity and specificity attached.
+
+    The samples average has neither. ``df`` is read once.
+    """
+    return report_of(evaluation_state(df, keep, gold, pred), keep, classes)
+
+
+def evaluation_state(
+    df: DataFrame,
+    keep: Sequence[str] = vocab.EVALUATION_PATHOLOGIES,
+    gold: str = "gold",
+    pred: str = "pred",
+) -> DataFrame:
+    """``gold, pred, n``: how many documents have which two sets of kept labels.
+
+    All scores follow from it, so ``df`` is read once, and states of parts or days add up with
+    ``merge_states``. Documents are summed before the shuffle. Null lists are empty.
+    """
+    names = literal_array(sorted(keep))
+    held = lambda c: F.coalesce(
+        F.array_sort(F.array_intersect(F.col(c), names)), F.array().cast("array<string>")
     )
+    return df.groupBy(held(gold).alias("gold"), held(pred).alias("pred")).agg(F.count("*").alias("n"))
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """The state of all documents from the states of their parts, which share no document."""
+    merged = states[0]
+    for state in states[1:]:
+        merged = merged.unionByName(state)
+    return merged.groupBy("gold", "pred").agg(F.sum("n").alias("n"))
 
-    def average(name: str, precision: Column, recall: Column, f1: Column) -> Column:
+
+def report_of(
+    state: DataFrame, keep: Sequence[str] = vocab.EVALUATION_PATHOLOGIES, classes: str = "gold"
+) -> DataFrame:
+    """The rows of ``domain_metrics`` from an ``evaluation_state`` over the same ``keep``.
+
+    Classes that gold has nowhere do not count, which is known when all states are read: the classes
+    are an aggregate over the state first, and Spark reuses the shuffle behind it.
+    """
+    n = F.col("n")
+    count = lambda hit: F.coalesce(F.sum(F.when(hit, n)), F.lit(0))
+
+    def cell(label: str) -> Column:
+        g, p = F.array_contains("gold", label), F.array_contains("pred", label)
         return F.struct(
-            F.lit(name).alias("label"),
-            precision.alias("precision"),
-            recall.alias("recall"),
-            f1.alias("f1"),
-            F.sum("support").alias("support"),
+            F.lit(label).alias("label"), count(~g & ~p).alias("tn"), count(~g & p).alias("fp"),
+            count(g & ~p).alias("fn"), count(g & p).alias("tp"),
         )
 
-    s_tp, s_fp, s_fn = F.sum("tp"), F.sum("fp"), F.sum("fn")
-    weighted = lambda c: _or_zero(_ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")))
-    averages = per_label.agg(
-        F.array(
-            average(
-                "micro avg",
-                _or_zero(_ratio(s_tp, s_tp + s_fp)),
-                _or_zero(_ratio(s_tp, s_tp + s_fn)),
-                _or_zero(_ratio(2 * s_tp, 2 * s_tp + s_fp + s_fn)),
-            ),
-            average("macro avg", F.avg("precision"), F.avg("recall"), F.avg("f1")),
-            average("weighted avg", weighted("precision"), weighted("recall"), weighted("f1")),
-        ).alias("a")
-    ).select(F.inline("a"))
-    names = ["label", "precision", "recall", "f1", "support"]
-    return (
-        per_label.select(*names)
-        .unionByName(averages)
-        .unionByName(_samples_average(df, keep, gold, pred, classes))
+    # One row per document set; the classes stand beside it as one small array.
+    # The filter keeps the counts in the plan of the classes, so that both sides are one shuffle.
+    known = state.withColumn("_classes", _class_array(state.where("n > 0"), keep, "gold", classes)).select(
+        "gold", F.array_intersect("pred", "_classes").alias("pred"), "n", "_classes"
+    )
+    hits, n_gold, n_pred = F.size(F.array_intersect("gold", "pred")), F.size("gold"), F.size("pred")
+    mean = lambda score: _or_zero(F.sum(score * n) / F.sum(n))
+    totals = known.agg(
+        F.array(*[cell(label) for label in sorted(keep)]).alias("cells"),
+        F.first("_classes").alias("_classes"),
+        F.struct(
+            mean(_or_zero(_ratio(hits, n_pred))).alias("precision"),
+            mean(_or_zero(_ratio(hits, n_gold))).alias("recall"),
+            mean(_or_zero(_ratio(2 * hits, n_gold + n_pred))).alias("f1"),
+            F.coalesce(F.sum(n_gold * n), F.lit(0)).alias("support"),
+        ).alias("samples"),
+    ).select(
+        F.filter("cells", lambda c: F.array_contains(F.col("_classes"), c["label"])).alias("cells"), "samples"
     )
 
+    # A few labels: what follows is arithmetic in one row.
+    def scores(label: Column, tp: Column, fp: Column, fn: Column, tn: Column) -> Column:
+        return F.struct(
+            label.alias("label"),
+            _or_zero(_ratio(tp, tp + fp)).alias("precision"),
+            _or_zero(_ratio(tp, tp + fn)).alias("recall"),
+            _or_zero(_ratio(2 * tp, 2 * tp + fp + fn)).alias("f1"),
+            (tp + fn).cast("bigint").alias("support"),
+            _ratio(tn, tn + fp).alias("specificity"),
+            _or_zero(_ratio(tp, tp + fn)).alias("sensitivity"),
+        )
 
-def _samples_average(
-    df: DataFrame, keep: Sequence[str], gold: str, pred: str, classes: str
-) -> DataFrame:
-    per_doc = df.select(
-        _class_array(df, keep, gold, classes).alias("c"), F.col(gold).alias("g"), F.col(pred).alias("p")
-    ).select(F.array_intersect("g", "c").alias("g"), F.array_intersect("p", "c").alias("p"))
-    hits = F.size(F.array_intersect("g", "p"))
-    n_gold, n_pred = F.size("g"), F.size("p")
-    return per_doc.agg(
-        F.lit("samples avg").alias("label"),
-        F.avg(_or_zero(_ratio(hits, n_pred))).alias("precision"),
-        F.avg(_or_zero(_ratio(hits, n_gold))).alias("recall"),
-        F.avg(_or_zero(_ratio(2 * hits, n_gold + n_pred))).alias("f1"),
-        F.sum(n_gold).alias("support"),
+    one = totals.select(
+        "cells", "samples",
+        F.transform("cells", lambda c: scores(c["label"], c["tp"], c["fp"], c["fn"], c["tn"])).alias("lines"),
     )
+    total = lambda f: F.aggregate("cells", F.lit(0).cast("bigint"), lambda a, c: a + c[f])
+    support = F.aggregate("lines", F.lit(0).cast("bigint"), lambda a, r: a + r["support"])
 
+    def average(name: str, weight) -> Column:
+        weights = F.aggregate("lines", F.lit(0.0), lambda a, r: a + weight(r))
+        mean_of = lambda f: _ratio(F.aggregate("lines", F.lit(0.0), lambda a, r: a + r[f] * weight(r)), weights)
+        return F.struct(
+            F.lit(name).alias("label"),
+            *[(_or_zero(mean_of(f)) if name == "weighted avg" else mean_of(f)).alias(f) for f in ("precision", "recall", "f1")],
+            support.alias("support"),
+            mean_of("specificity").alias("specificity"),
+            (_or_zero(mean_of("recall")) if name == "weighted avg" else mean_of("recall")).alias("sensitivity"),
+        )
 
-def domain_metrics(df: DataFrame, **options) -> DataFrame:
-    """The multilabel report with sensitivity and specificity attached.
-
-    The samples average has neither.
-    """
-    report = multilabel_report(df, **options)
-    spec = specificity(multilabel_confusion(df, **options))
-    return report.join(spec, "label", "left").withColumn(
-        "sensitivity", F.when(F.col("label") != "samples avg", F.col("recall"))
+    none = F.lit(None).cast("double")
+    samples = F.struct(
+        F.lit("samples avg").alias("label"),
+        *[F.col(f"samples.{f}").alias(f) for f in ("precision", "recall", "f1", "support")],
+        none.alias("specificity"), none.alias("sensitivity"),
+    )
+    extra = F.array(
+        scores(F.lit("micro avg"), total("tp"), total("fp"), total("fn"), total("tn")),
+        average("macro avg", lambda r: F.lit(1.0)),
+        average("weighted avg", lambda r: r["support"].cast("double")),
+        samples,
     )
+    return one.select(F.inline(F.concat("lines", extra)))
 
 
 def class_report(df: DataFrame, gold: str = "gold", pred: str = "pred") -> DataFrame:

@@ -175,3 +175,37 @@ def test_sides_with_other_characters(spark):
 
 def test_scores_of_texts_spaced_apart(spark):
     compare(spark, "span_scores_spaced")
+
+
+def test_states_of_parts_add_up(spark):
+    from reportweave.plans.queries import gold_and_pred
+
+    df = gold_and_pred(spark, "/root/testdata/sf0.001")
+    parts = [evaluation.evaluation_state(df.where(F.xxhash64("doc_id") % 3 == k)) for k in (-2, -1, 0, 1, 2)]
+    merged = evaluation.report_of(evaluation.merge_states(*parts))
+    key = lambda rows: sorted((r.label, *[None if v is None else round(v, 9) for v in r[1:]]) for r in rows)
+    whole = key(evaluation.domain_metrics(df).collect())
+    assert key(merged.collect()) == whole and len(whole) > 5
+
+
+def test_state_edges(spark):
+    schema = "gold array<string>, pred array<string>"
+    keep = ("a", "b", "c")
+    rows = [(["a", "a"], ["b"]), (None, ["a"]), (["a", "x"], None), ([], ["c", "x"])]
+    df = spark.createDataFrame(rows, schema)
+    got = {r.label: r for r in evaluation.domain_metrics(df, keep).collect()}
+    assert set(got) == {"a", "micro avg", "macro avg", "weighted avg", "samples avg"}
+    assert (got["a"].support, got["a"].precision, got["a"].recall, got["a"].specificity) == (2, 0.0, 0.0, 0.5)
+    everything = {r.label for r in evaluation.domain_metrics(df, keep, classes="keep_list").collect()}
+    assert everything == {*keep, "micro avg", "macro avg", "weighted avg", "samples avg"}
+    nothing = {r.label: r for r in evaluation.domain_metrics(df.where("false"), keep).collect()}
+    assert nothing["samples avg"].support == 0 and "a" not in nothing
+
+
+def test_domain_metrics_reads_its_input_once(spark, tmp_path):
+    path = str(tmp_path / "scored")
+    spark.createDataFrame(DOCS, "doc_id bigint, gold array<string>, pred array<string>").write.parquet(path)
+    report = evaluation.domain_metrics(spark.read.parquet(path), KEEP)
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan or plan.count("FileScan parquet") == 1
