@@ -541,6 +541,22 @@ JOIN (SELECT doc_id, max({'score': score, 'label': label}).label AS label,
         1 / sum(exp((score - top)::DOUBLE / 1000000)) AS share
       FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS top FROM class_scores) GROUP BY doc_id) b ON b.doc_id = s.doc_id"""
 
+    digested = "doc_id, lang, source, sha256(coalesce(text, '')) AS text_sha256"
+    c["csv_round_trip"] = c["jsonl_round_trip"] = f"SELECT {digested} FROM documents"
+    c["split_round_trip"] = f"SELECT d.*, s.split FROM (SELECT {digested} FROM documents) d JOIN ({c['exact_split']}) s ON s.doc_id = d.doc_id"
+    c["metrics_round_trip"] = c["domain_metrics"]
+    c["error_report"] = """
+SELECT g.doc_id, g.label, CASE WHEN g.pred THEN 'false_positive' ELSE 'false_negative' END AS kind, sha256(d.text) AS report_sha256
+FROM grid g JOIN documents d ON d.doc_id = g.doc_id WHERE g.gold <> g.pred"""
+    # Not WHERE i < 16: the engine rewrites a filter on a row number and then numbers from 1.
+    c["truncate_tokens"] = """
+SELECT doc_id, string_agg(tok, ' ' ORDER BY i) FILTER (WHERE i < 16) AS tokens FROM tokens GROUP BY doc_id"""
+    c["fill_null"] = """
+SELECT d.doc_id, coalesce(CAST(l.toxic AS VARCHAR), 'unknown') AS toxic FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
+    c["accepted_texts"] = """
+SELECT sha256(d.text) AS text_sha256 FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE l.quality = 1"""
+    c["exclusive_ends"] = "SELECT doc_id, entity_group AS label, tok_start, tok_end FROM ents"
+
     options = ",".join(vocab.EVALUATION_PATHOLOGIES)
     c["choice_tasks"] = f"""
 SELECT d.doc_id, md5(d.text) AS text_md5, 'choice' AS _view_id, 'multiple' AS choice_style, 'accept' AS answer,

@@ -204,18 +204,23 @@ def gold_and_predicted(
     found: DataFrame,
     keep: Sequence[str] = vocab.EVALUATION_PATHOLOGIES,
     ignore_negation: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``doc_id, gold, pred, ents`` from accepted choice records and annotated documents."""
+    """``doc_id, gold, pred, ents`` from accepted choice records and annotated documents.
+
+    ``carry`` are further columns of ``found`` to keep, such as the text.
+    """
     labels = F.transform("accept", lambda l: lb.normalise_label(l))
     gold = tasks.accepted(gold).select("doc_id", lb.keep_labels(labels, keep).alias("gold"))
     pred = en.asserted_labels(F.col("ents"), keep, ignore_negation)
-    return pair_predictions(gold, found.select("doc_id", pred.alias("pred"), "ents"))
+    return pair_predictions(gold, found.select("doc_id", pred.alias("pred"), "ents", *carry))
 
 
-def evaluate_domains(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
+def evaluate_domains(scored: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Metrics per label, and the documents that went wrong with what was found in them.
 
-    Both read what was scored several times, so it is stored: models run once per text.
+    ``carry`` are columns of ``scored`` that stand beside an error, such as the text of the report.
+    Both results read what was scored, so it is stored: models run once per text.
     """
     scored = store(scored, "scored-documents")
-    return evaluation.domain_metrics(scored), evaluation.label_errors(scored, ents="ents")
+    return evaluation.domain_metrics(scored), evaluation.label_errors(scored, ents="ents", carry=carry)

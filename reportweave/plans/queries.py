@@ -40,7 +40,8 @@ from reportweave.operators import (
 from reportweave.operators.lookup import phrase_table
 from reportweave.plans import jobs
 from reportweave.plans import standins as st
-from reportweave.sources.stored import store
+from reportweave.sources import jsonl, reports
+from reportweave.sources.stored import new_path, store
 from reportweave.sources.tables import read_table, spread_locally
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1149,3 +1150,103 @@ def mask_spans(spark, sf):
     return docs.withColumn("ranges", ranges).select(
         "doc_id", tx.mask_ranges(F.col("text"), F.col("ranges")).alias("masked")
     )
+
+
+# ---------------------------------------------------------------- sources and sinks, there and back
+
+
+def _text_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
+
+
+def _digested(df: DataFrame) -> DataFrame:
+    """Rows with a digest in place of the whole text."""
+    text = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "source", text.alias("text_sha256"))
+
+
+@query
+def csv_round_trip(spark, sf):
+    path = new_path(spark, "reports-csv")
+    reports.write_reports(_text_rows(spark, sf), path)
+    return _digested(reports.read_reports(spark, path, ["doc_id", "lang", "source", "text"]))
+
+
+@query
+def split_round_trip(spark, sf):
+    """Train and test parts, written in folders and read one by one."""
+    path = new_path(spark, "reports-split")
+    rows = sampling.exact_split(_text_rows(spark, sf), ["doc_id"], SEED, test_size=0.2, dev_share=0.5)
+    reports.write_reports(rows, path, split="split")
+    parts = [
+        _digested(reports.read_split(spark, path, part, ["doc_id", "lang", "source", "text"])).withColumn("split", F.lit(part))
+        for part in ("train", "dev", "test")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def jsonl_round_trip(spark, sf):
+    path = new_path(spark, "reports-jsonl")
+    jsonl.write_jsonl(_text_rows(spark, sf), path)
+    read = jsonl.read_jsonl(spark, path, "doc_id bigint, lang string, source string, text string")
+    return _digested(read.where(F.col("_corrupt_record").isNull()))
+
+
+@query
+def metrics_round_trip(spark, sf):
+    path = new_path(spark, "metrics")
+    jsonl.write_metrics(evaluation.domain_metrics(gold_and_pred(spark, sf)), path)
+    names = ("precision", "recall", "f1", "specificity", "sensitivity")
+    schema = ", ".join(["label string", "support bigint", *[f"{n} double" for n in names]])
+    return _rounded(jsonl.read_jsonl(spark, path, schema).drop("_corrupt_record"), *names)
+
+
+@query
+def error_report(spark, sf):
+    """False positives and negatives with the texts they are in, written by label and kind."""
+    path = new_path(spark, "errors")
+    texts = documents(spark, sf).withColumnRenamed("text", "report")
+    scored = jobs.pair_predictions(gold_and_pred(spark, sf), texts)
+    jsonl.write_errors(evaluation.label_errors(scored, carry=["report"]), path)
+    read = spark.read.schema("doc_id bigint, report string, label string, kind string").json(path)
+    return read.select("doc_id", "label", "kind", F.sha2(F.col("report").cast("binary"), 256).alias("report_sha256"))
+
+
+@query
+def truncate_tokens(spark, sf):
+    """The first 16 tokens of every text, as a user may want them; nothing else here cuts texts."""
+    words = tx.truncate(tx.words(F.col("text")), 16)
+    return documents(spark, sf).select("doc_id", F.array_join(words, " ").alias("tokens"))
+
+
+@query
+def fill_null(spark, sf):
+    """Every page of a report and the label it may not have."""
+    flags = read_table(spark, sf, "labels").select("doc_id", F.col("toxic").cast("string").alias("toxic"))
+    joined = documents(spark, sf).select("doc_id").join(flags, "doc_id", "left")
+    return joined.select("doc_id", tx.fill_null(F.col("toxic"), "unknown").alias("toxic"))
+
+
+@query
+def accepted_texts(spark, sf):
+    """Texts of the records that a person accepted: here those of good quality."""
+    flags = read_table(spark, sf, "labels").select(
+        "doc_id", F.when(F.col("quality") == 1, "accept").otherwise("reject").alias("answer")
+    )
+    kept = tasks.accepted(documents(spark, sf).join(flags, "doc_id"))
+    return tasks.text_only(kept).select(F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+@query
+def exclusive_ends(spark, sf):
+    spans = F.transform(
+        "ents",
+        lambda e: F.struct(
+            e["entity_group"].alias("label"), e["tok_start"].alias("token_start"), (e["tok_end"] - 1).alias("token_end")
+        ),
+    )
+    ended = annotated(spark, sf).select("doc_id", F.explode(tasks.exclusive_ends(spans)).alias("s"))
+    return ended.select(
+        "doc_id", "s.label", F.col("s.tok_start").cast("bigint").alias("tok_start"), F.col("s.tok_end").cast("bigint").alias("tok_end")
+    )

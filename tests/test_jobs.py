@@ -69,6 +69,8 @@ def test_evaluation_of_accepted_records(spark, reports):
     assert rows["pathology_ischaemic"].recall == 0.5 and rows["pathology_ischaemic"].specificity == 1.0
     assert [(r.doc_id, r.kind, [f.entity_group for f in r.found]) for r in errors.collect()] == [
         (1, "false_negative", ["pathology_endocrine"])]
+    texts = scored.withColumn("text", F.concat(F.lit("report "), F.col("doc_id")))
+    assert [r.text for r in jobs.evaluate_domains(texts, carry=["text"])[1].collect()] == ["report 1"]
 
 
 def _loads():
