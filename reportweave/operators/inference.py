@@ -6,7 +6,7 @@ Spark's functions.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from itertools import accumulate
 
 import pandas as pd
@@ -22,6 +22,9 @@ from reportweave.operators.sections import sections_from_labels
 SPAN_TYPE = "array<struct<entity_group:string,score:double,word:string,start:int,end:int>>"
 Predict = Callable[[Sequence[str]], Sequence[Sequence[Mapping[str, object]]]]
 
+#: Spans go back to Spark as soon as so many are held, and not with the whole Arrow batch.
+HELD_SPANS = 10_000
+
 
 def model_spans(
     loads: Sequence[Callable[[], Predict]], batch_size: int = 32
@@ -37,21 +40,55 @@ def model_spans(
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         models = [load() for load in loads]
         for texts in batches:
-            found = _spans_of(models, texts.tolist(), batch_size)
-            yield pd.DataFrame({f"m{i}": pd.Series(f, dtype=object) for i, f in enumerate(found)})
+            for found in _spans_in_parts(models, [[t] for t in texts], batch_size):
+                yield _frame([spans for (spans,) in rows] for rows in found)
 
     return predict.asNondeterministic()
 
 
-def _spans_of(models: Sequence[Predict], texts: list[str], batch_size: int) -> list[list[list[dict]]]:
-    """For each model one list of spans per text."""
+def _frame(found: Iterable[list]) -> pd.DataFrame:
+    """A column of objects per model."""
+    return pd.DataFrame({f"m{i}": pd.Series(f, dtype=object) for i, f in enumerate(found)})
+
+
+def _spans_of(model: Predict, texts: list[str]) -> list[list[dict]]:
+    """One list of spans per text."""
     keys = ("entity_group", "score", "word", "start", "end")
-    spans: list[list[list[dict[str, object]]]] = [[] for _ in models]
+    found = [[{k: s.get(k) for k in keys} for s in doc] for doc in model(texts)]
+    if len(found) != len(texts):
+        raise ValueError(f"the model gave spans for {len(found)} of {len(texts)} texts")
+    return found
+
+
+def _spans_in_parts(
+    models: Sequence[Predict], rows: Sequence[Sequence[str]], batch_size: int
+) -> Iterator[list[list[list[list[dict]]]]]:
+    """The spans of some rows after the other: by model, row and text of the row.
+
+    A part ends with the row that brings it to ``HELD_SPANS`` spans. Models get ``batch_size``
+    texts at a time, over the borders of rows and parts.
+    """
+    sizes = [len(texts) for texts in rows]
+    texts = [t for row in rows for t in row]
+    spans: list[list[list[dict]]] = [[] for _ in models]
+    first = held = 0
     for at in range(0, len(texts), batch_size):
-        part = texts[at : at + batch_size]
         for found, model in zip(spans, models, strict=True):
-            found += [[{k: s.get(k) for k in keys} for s in doc] for doc in model(part)]
-    return spans
+            some = _spans_of(model, texts[at : at + batch_size])
+            held += sum(map(len, some))
+            found += some
+        if held < HELD_SPANS:
+            continue
+        stop, done = first, 0
+        while stop < len(sizes) and done + sizes[stop] <= len(spans[0]):
+            done += sizes[stop]
+            stop += 1
+        if stop > first:
+            yield [_regrouped(found[:done], sizes[first:stop]) for found in spans]
+            spans, first = [found[done:] for found in spans], stop
+            held = sum(len(s) for found in spans for s in found)
+    if first < len(sizes) or not sizes:
+        yield [_regrouped(found, sizes[first:]) for found in spans]
 
 
 def _regrouped(found: list, sizes: Sequence[int]) -> list[list]:
@@ -72,11 +109,8 @@ def model_window_spans(
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         models = [load() for load in loads]
         for rows in batches:
-            sizes = [len(windows) for windows in rows]
-            found = _spans_of(models, [w for windows in rows for w in windows], batch_size)
-            yield pd.DataFrame(
-                {f"m{i}": pd.Series(_regrouped(f, sizes), dtype=object) for i, f in enumerate(found)}
-            )
+            for found in _spans_in_parts(models, rows.tolist(), batch_size):
+                yield _frame(found)
 
     return predict.asNondeterministic()
 

@@ -112,3 +112,34 @@ def test_class_hook(spark):
 def test_queries(spark, name):
     compare(spark, name)
     compare(spark, name, "/root/testdata/sf0.01")
+
+
+def test_spans_leave_python_in_parts_of_bounded_size():
+    import pandas as pd
+
+    many = lambda texts: [[{"word": t, "start": k, "end": k + 1} for k in range(100)] for t in texts]
+    sizes = []
+
+    def model(texts):
+        sizes.append(len(texts))
+        return many(texts)
+
+    texts = [f"t{i}" for i in range(1000)]
+    frames = list(inference.model_spans([lambda: model, lambda: many], 30).func(iter([pd.Series(texts)])))
+    held = [sum(map(len, f.m0)) + sum(map(len, f.m1)) for f in frames]
+    assert max(held) < inference.HELD_SPANS + 2 * 30 * 100
+    assert [spans[0]["word"] for f in frames for spans in f.m1] == texts
+    assert sizes == [30] * 33 + [10]
+
+    rows = [[f"r{i}w{k}" for k in range(i % 4)] for i in range(600)]
+    frames = list(inference.model_window_spans([lambda: many], 7).func(iter([pd.Series(rows)])))
+    assert len(frames) > 1 and max(sum(len(w) for r in f.m0 for w in r) for f in frames) < 2 * inference.HELD_SPANS
+    assert [[w[0]["word"] for w in r] for f in frames for r in f.m0] == rows
+
+
+def test_model_that_leaves_out_a_text_is_an_error():
+    import pandas as pd
+
+    short = lambda texts: [[] for _ in texts[1:]]
+    with pytest.raises(ValueError, match="1 of 2 texts"):
+        list(inference.model_spans([lambda: short]).func(iter([pd.Series(["a", "b"])])))
