@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -218,7 +217,7 @@ def _sentences(deps: DataFrame, doc_id: str) -> DataFrame:
     """One row per sentence: its tokens in order, with all their columns but the sentence's own."""
     own = ["i", "head", *[c for c in deps.columns if c not in (doc_id, "sent", "i", "head")]]
     return deps.groupBy(doc_id, "sent").agg(
-        F.array_sort(F.collect_list(F.struct("i", F.struct(*own).alias("t")))).alias("rows")
+        F.sort_array(F.collect_list(F.struct("i", F.struct(*own).alias("t")))).alias("rows")
     )
 
 
@@ -247,47 +246,69 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, Ca
     return ids, _parents(ids, heads, starts, names), starts, names, np.repeat(np.arange(len(sizes)), sizes)
 
 
+def _walk(parent: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``pre``, ``last`` and ``depth`` of the tokens of many sentences, level by level for all together."""
+    token = np.arange(len(parent))
+    roots = token[parent == token]
+    # Children beside each other under their parent, in the order of the sentence.
+    children = token[parent != token]
+    children = children[np.argsort(parent[children], kind="stable")]
+    number = np.bincount(parent[children], minlength=len(parent))
+    first = np.cumsum(number) - number
+    levels = [roots]
+    while len(levels[-1]):
+        above = levels[-1]
+        width = number[above]
+        ends = np.cumsum(width)
+        levels.append(children[np.repeat(first[above] - ends + width, width) + np.arange(ends[-1])])
+    depth = np.full(len(parent), -1)
+    for d, level in enumerate(levels):
+        depth[level] = d
+    if (depth < 0).any():
+        sentence = np.searchsorted(starts, int(np.flatnonzero(depth < 0)[0]), "right") - 1
+        size = int(np.append(starts, len(parent))[sentence + 1] - starts[sentence])
+        raise ValueError(f"heads in a cycle in a sentence of {size} tokens")
+    below = np.ones(len(parent), np.int64)
+    for level in reversed(levels[1:]):
+        np.add.at(below, parent[level], below[level])
+
+    def before(tokens: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        """Tokens in the trees of earlier siblings; ``firsts`` are the places of the eldest."""
+        sums = np.cumsum(below[tokens]) - below[tokens]
+        return sums - sums[firsts]
+
+    pre = np.zeros(len(parent), np.int64)
+    of = np.searchsorted(starts, roots, "right")
+    pre[roots] = before(roots, np.searchsorted(of, of))
+    pre[children] = before(children, first[parent[children]])
+    for level in levels[1:]:
+        pre[level] += pre[parent[level]] + 1
+    return pre, pre + below - 1, depth
+
+
 def tree_numbers(deps: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """The token rows with ``pre``, ``last`` and ``depth``: their places in a walk over the tree.
 
     A token comes before its children and these in the order of the sentence; ``last`` is the
     largest number below a token. So x is an ancestor of y where ``pre(x) < pre(y) <= last(x)``,
-    and no pair of them is ever listed. Linear in the sentence, however deep. Roots are their own
-    heads; tokens may be numbered with gaps, and trees of one sentence follow each other. A head that is no
+    and no pair of them is ever listed. Linear in the sentence, however deep: the sentences of an
+    Arrow batch are numbered together, level by level. Roots are their own heads; tokens may be
+    numbered with gaps, and trees of one sentence follow each other. A head that is no
     token of the sentence, or a cycle, is an error.
     """
     sentences = _sentences(deps, doc_id)
 
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"pre": [], "last": [], "depth": []}
-        for ids, heads in zip(rows["ids"], rows["heads"], strict=True):
-            ids, heads = np.asarray(ids, np.int64), np.asarray(heads, np.int64)
-            parent = _parents(ids, heads, np.zeros(1, int), lambda _: "a sentence").tolist()
-            children: list[list[int]] = [[] for _ in parent]
-            roots = []
-            for k, p in enumerate(parent):
-                (roots if p == k else children[p]).append(k)
-            pre, last, depth = [0] * len(parent), [0] * len(parent), [0] * len(parent)
-            order, stack = [], roots[::-1]
-            while stack:
-                k = stack.pop()
-                pre[k] = last[k] = len(order)
-                depth[k] = depth[parent[k]] + 1 if parent[k] != k else 0
-                order.append(k)
-                stack += children[k][::-1]
-            if len(order) < len(parent):
-                raise ValueError(f"heads in a cycle in a sentence of {len(parent)} tokens")
-            for k in reversed(order):
-                last[parent[k]] = max(last[parent[k]], last[k])
-            for name, values in (("pre", pre), ("last", last), ("depth", depth)):
-                out[name].append(values)
-        return pd.DataFrame({name: pd.Series(values, dtype=object) for name, values in out.items()})
-
-    kind = "pre array<int>, last array<int>, depth array<int>"
-
-    @F.pandas_udf(kind)
-    def numbers(ids: pd.Series, heads: pd.Series) -> pd.DataFrame:
-        return walk(pd.DataFrame({"ids": ids, "heads": heads}))
+    @F.arrow_udf("pre array<int>, last array<int>, depth array<int>")
+    def numbers(ids: pa.Array, heads: pa.Array) -> pa.Array:
+        sizes = ids.value_lengths().to_numpy()
+        starts = np.cumsum(sizes) - sizes
+        i, head = (a.flatten().to_numpy().astype(np.int64) for a in (ids, heads))
+        found = (np.zeros(0, int),) * 3
+        if len(i):
+            found = _walk(_parents(i, head, starts, lambda _: "a sentence"), starts)
+        offsets = pa.array(np.append(starts, len(i)), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v, pa.int32())) for v in found]
+        return pa.StructArray.from_arrays(lists, ["pre", "last", "depth"])
 
     arrays = numbers(F.col("rows.t.i"), F.col("rows.t.head"))
     numbered = sentences.select(doc_id, "sent", F.col("rows.t").alias("t"), arrays.alias("n"))

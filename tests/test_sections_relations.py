@@ -287,3 +287,28 @@ def test_numbers_of_deep_and_gappy_trees(spark):
 @pytest.mark.parametrize("name", ["dep_numbers", "dep_ancestors", "dep_match", "dep_closure", "triplet_counts"])
 def test_relation_queries(spark, name):
     compare(spark, name)
+
+
+def test_sentences_are_numbered_together(spark, monkeypatch):
+    """No walk over tokens one by one: the work of a batch is a few steps per level of the deepest tree."""
+    steps = []
+    plain = relations.np.repeat
+    monkeypatch.setattr(relations.np, "repeat", lambda *a: steps.append(1) or plain(*a))
+    parent, starts = [], []
+    for n in range(1, 300):
+        starts.append(len(parent))
+        parent += [starts[-1] + k // 2 for k in range(n)]
+    pre, last, depth = relations._walk(relations.np.array(parent), relations.np.array(starts))
+    assert len(steps) == 1 + max(n.bit_length() for n in range(299))
+    for s, t in zip(starts, [*starts[1:], len(parent)], strict=True):
+        numbers = {}
+
+        def walk(k, d):
+            numbers[k] = [len(numbers), 0, d]
+            for c in range(k + 1, t):
+                if parent[c] == k:
+                    walk(c, d + 1)
+            numbers[k][1] = len(numbers) - 1
+
+        walk(s, 0)
+        assert [numbers[k] for k in range(s, t)] == [[*x] for x in zip(pre[s:t], last[s:t], depth[s:t], strict=True)]
