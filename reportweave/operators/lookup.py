@@ -31,6 +31,11 @@ def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.join(table, list(keys))
 
 
+def heaviest(table: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+    """The rows of the 10,000 heaviest keys, few enough to broadcast."""
+    return table.orderBy(F.col(weight).desc(), *keys).limit(HOT_KEYS)
+
+
 def weighted_lookup(
     rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str
 ) -> DataFrame:
@@ -41,8 +46,7 @@ def weighted_lookup(
     spreading number, match nothing in the second join and land on all partitions evenly.
     """
     values = [c for c in table.columns if c not in keys and c != weight]
-    hot = table.orderBy(F.col(weight).desc(), *keys).limit(HOT_KEYS)
-    hot = hot.select(*keys, F.struct(*values).alias("_hot"))
+    hot = heaviest(table, keys, weight).select(*keys, F.struct(*values).alias("_hot"))
     cold = table.select(*keys, F.struct(*values).alias("_cold"), F.lit(0).alias("_spread"))
     marked = rows.join(F.broadcast(hot), list(keys), "left").withColumn(
         "_spread",

@@ -120,6 +120,17 @@ def test_bayes_equals_the_formula(spark, monkeypatch):
         assert got[k][1] == pytest.approx(1 / sum(exp(v - logs[best]) for v in logs.values()), abs=1e-4)
 
 
+def test_frequent_words_leave_a_text_as_sums_by_class(spark):
+    words = " ".join("w" + chr(97 + k // 26) + chr(97 + k % 26) for k in range(500))
+    train = spark.createDataFrame([("x", words), ("y", words)], "label string, text string")
+    docs = spark.createDataFrame([(1, words + " new new"), (2, None)], "doc_id bigint, text string")
+    rows = bayes.frequent_sums(docs, bayes.bayes_fit(train)).collect()
+    assert sorted((r.doc_id, r.id, r.word or "") for r in rows) == [
+        (1, bayes.REST, "new"), (1, bayes.KNOWN, ""), (1, 0, ""), (1, 1, ""), (2, bayes.KNOWN, "")
+    ]
+    assert {(r.doc_id, r.id): r.weight for r in rows if r.id < 0} == {(1, bayes.REST): 2, (1, bayes.KNOWN): 500, (2, bayes.KNOWN): 0}
+
+
 def test_bayes_without_rows(spark):
     empty = spark.createDataFrame([], "label string, text string")
     docs = spark.createDataFrame([(1, "red")], "doc_id bigint, text string")
