@@ -100,9 +100,8 @@ def vocabulary_entities(
     else:
         work = work.withColumn("_hits", en.wanted_words(F.col("_toks"), rules.wanted()))
         work = annotation.find_phrases(work, rules.phrases(), "_triggers")
-        none = F.array().cast("array<struct<tok_start:int,tok_end:int>>")
         work = work.withColumn(
-            "_events", en.scope_events(F.col("_hits"), F.col("_triggers"), none, rules.sentence_ends)
+            "_events", en.scope_events(F.col("_hits"), F.col("_triggers"), rules.sentence_ends)
         )
     # What stays of the row from here on are candidates with offsets, and events.
     # Each bitmap is named once, so that it goes into the expression and is no field of any row.
@@ -162,9 +161,7 @@ def _chosen(found: DataFrame, known: DataFrame, rules: en.NegationRules | None,
     if rules is None:
         by_doc = by_doc.withColumn("_neg", F.transform("_marks", lambda m: F.lit(False)))
     else:
-        by_doc = annotation.decide(
-            by_doc.withColumn("_events", en.with_marks(F.col("_base"), F.col("_marks"))), rules
-        )
+        by_doc = annotation.decide(by_doc.withColumnRenamed("_base", "_events"), rules)
     ents = F.transform("_marks", lambda m, k: F.struct(m.alias("m"), F.get("_neg", k).alias("negated")))
     return by_doc.select(doc_id, F.posexplode(ents).alias("ent_pos", "e")).select(
         doc_id,
