@@ -87,27 +87,42 @@ def tag_examples(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def trigger_spans(tokens: Column, width: int) -> Column:
-    """Ranges of ``width`` characters from every trigger word."""
+def trigger_spans(text: Column, width: int) -> Column:
+    """Ranges of ``width`` characters from every trigger word of a text."""
     negating = ("no", "not", "nicht", "pas", "sans", "is")
-    hits = F.filter(
-        tokens, lambda t: F.lower(t["tok"]).isin([*negating, "with", "by", "von", "par"])
-    )
-    return F.transform(
-        hits,
-        lambda t: F.struct(
-            F.when(F.lower(t["tok"]).isin(list(negating)), "negated")
-            .otherwise("asserted")
-            .alias("entity_group"),
-            t["start"].alias("start"),
-            (t["start"] + width).alias("end"),
+    words = {*negating, "with", "by", "von", "par"}
+
+    def spans(parts: Column, lead: Column, hits: Column) -> Column:
+        tokens = F.transform(
+            hits, lambda h: F.struct(h["i"].alias("tok_start"), (h["i"] + 1).alias("tok_end"))
+        )
+        # Only the few triggers are located, not every token.
+        places = bind(tokens, lambda t: tx.locate_spans(parts, lead, t))
+        return F.zip_with(
+            hits,
+            places,
+            lambda h, place: F.struct(
+                F.when(h["w"].isin(list(negating)), "negated").otherwise("asserted").alias("entity_group"),
+                place["start"].alias("start"),
+                (place["start"] + width).alias("end"),
+            ),
+        )
+
+    return bind(
+        tx.pieces(text),
+        lambda parts: bind(
+            tx.leading_blanks(text),
+            lambda lead: bind(
+                en.wanted_words(F.transform(parts, tx.token_of), words),
+                lambda hits: spans(parts, lead, hits),
+            ),
         ),
     )
 
 
 def negation_spans(spark: SparkSession, sf: str) -> DataFrame:
     """``doc_id, neg_pos, entity_group, start, end`` as a long table."""
-    spans = trigger_spans(tx.tokens(F.col("text")), 40)
+    spans = trigger_spans(F.col("text"), 40)
     return (
         documents(spark, sf)
         .select("doc_id", F.posexplode(spans).alias("neg_pos", "s"))
@@ -308,7 +323,7 @@ def mention_negation(spark, sf):
 @query
 def mention_negation_nested(spark, sf):
     docs = annotation.annotate(documents(spark, sf), st.PHRASES)
-    docs = docs.withColumn("spans", trigger_spans(tx.tokens(F.col("text")), 40))
+    docs = docs.withColumn("spans", trigger_spans(F.col("text"), 40))
     docs = docs.withColumn("ents", en.first_overlap_negated(F.col("ents"), F.col("spans")))
     return longform.mention_table(docs).select("doc_id", "ent_pos", "entity_group", "negated")
 
@@ -1145,7 +1160,7 @@ def document_tasks(spark, sf):
 
 @query
 def mask_spans(spark, sf):
-    docs = documents(spark, sf).withColumn("spans", trigger_spans(tx.tokens(F.col("text")), 15))
+    docs = documents(spark, sf).withColumn("spans", trigger_spans(F.col("text"), 15))
     ranges = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
     return docs.withColumn("ranges", ranges).select(
         "doc_id", tx.mask_ranges(F.col("text"), F.col("ranges")).alias("masked")

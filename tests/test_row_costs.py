@@ -40,3 +40,10 @@ def test_negation_by_ranges_carries_no_state(spark):
     assert got == {i: segment_flags(t, rules) for i, t in enumerate(texts)}
     assert any(any(v) for v in got.values())
     assert "bit_get" not in plan(found) and "array_append" not in plan(found)
+
+
+def test_trigger_spans_of_a_text(spark):
+    df = spark.createDataFrame([(1, "  no cyst , seen  With care"), (2, None), (3, "nothing")],
+                               "doc_id bigint, text string")
+    got = {r.doc_id: [tuple(s) for s in r.s] for r in df.select("doc_id", q.trigger_spans(F.col("text"), 40).alias("s")).collect()}
+    assert got == {1: [("negated", 2, 42), ("asserted", 18, 58)], 2: [], 3: []}
