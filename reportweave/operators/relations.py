@@ -103,12 +103,12 @@ def _holds(op: str, a: Column, b: Column) -> Column:
     return condition
 
 
-def match_patterns(
+def _matches(
     tokens: DataFrame,
     patterns: Mapping[str, Sequence[Mapping[str, object]]],
     doc_id: str = "doc_id",
 ) -> DataFrame:
-    """``pattern, doc_id, tok_i, tok_j``: first and last node of the matches of all patterns, distinct.
+    """``pattern, doc_id, tok_i, tok_j``: first and last node of every match of all patterns.
 
     ``tokens``: ``doc_id, sent, i, head, tok, dep, pos`` and other attributes. A pattern is a list
     of nodes with ``RIGHT_ID`` and ``RIGHT_ATTRS``; all but the first name a bound node
@@ -137,9 +137,7 @@ def match_patterns(
         raise ValueError("no patterns")
 
     asks = any(op in _ANCESTRY for _, steps in plans for _, _, op in steps)
-    rows = tree_numbers(tokens, doc_id) if asks else tokens.withColumns(
-        {"pre": F.lit(None).cast("int"), "last": F.lit(None).cast("int")}
-    )
+    rows = tree_numbers(tokens, doc_id) if asks else tokens
     nodes = [(p, k, *step) for p, (_, steps) in enumerate(plans) for k, step in enumerate(steps)]
     if len(nodes) > MAX_NODES:
         raise ValueError(f"{len(nodes)} nodes in one pass; match at most {MAX_NODES} together")
@@ -152,7 +150,8 @@ def match_patterns(
         if op in _EQUALITY:
             key = F.when(F.col("n") == n, F.col(_EQUALITY[op][1]).cast("bigint")).otherwise(key)
     of = lambda which: F.get(F.array(*[F.lit(x[which]) for x in nodes]), F.col("n"))
-    fitting = rows.select(doc_id, "sent", "i", "head", "pre", "last", fits.alias("fits")).where("fits <> 0")
+    fields = ["i", "head", *(("pre", "last") if asks else ())]
+    fitting = rows.select(doc_id, "sent", *fields, fits.alias("fits")).where("fits <> 0")
     found = store(fitting, "pattern-nodes")
 
     def step(k: int) -> DataFrame:
@@ -165,7 +164,7 @@ def match_patterns(
         pattern = F.get(F.array(*[F.lit(x[0]) for x in nodes]), F.col("n"))
         return found.where(some).select("*", F.explode(ones).alias("n")).select(
             doc_id, "sent", pattern.alias("p"), key.alias("key"),
-            F.struct("i", "head", "pre", "last").alias("node"),
+            F.struct(*fields).alias("node"),
         )
 
     matches = step(0).select(doc_id, "sent", "p", F.array("node").alias("nodes"))
@@ -191,7 +190,16 @@ def match_patterns(
     return matches.select(
         titles.alias("pattern"), doc_id, F.get("nodes", F.lit(0))["i"].alias("tok_i"),
         F.element_at("nodes", -1)["i"].alias("tok_j"),
-    ).distinct()
+    )
+
+
+def match_patterns(
+    tokens: DataFrame,
+    patterns: Mapping[str, Sequence[Mapping[str, object]]],
+    doc_id: str = "doc_id",
+) -> DataFrame:
+    """Distinct ``pattern, doc_id, tok_i, tok_j``: first and last node of the matches, as ``_matches``."""
+    return _matches(tokens, patterns, doc_id).distinct()
 
 
 def match_pattern(
@@ -207,7 +215,7 @@ def dep_match(
     doc_id: str = "doc_id",
 ) -> DataFrame:
     """Distinct first and last tokens of the matches of all patterns."""
-    return match_patterns(tokens, patterns, doc_id).drop("pattern").distinct()
+    return _matches(tokens, patterns, doc_id).drop("pattern").distinct()
 
 
 # ---------------------------------------------------------------- trees

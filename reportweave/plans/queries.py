@@ -213,34 +213,30 @@ def dependencies(spark: SparkSession, sf: str) -> DataFrame:
     is_end = lambda t: t.isin(list(vocab.SENTENCE_ENDS))
     names = labels.literal_array(["amod", "nsubj", "prep", "pobj"])
     docs = documents(spark, sf).select("doc_id", tx.words(F.col("text")).alias("toks"))
-    docs = docs.withColumn(
-        "ends", running_sum(F.transform("toks", lambda t: is_end(t).cast("int")))
-    ).withColumn(
-        "starts",
-        F.concat(
-            F.array(F.lit(0)),
-            F.transform(
-                F.filter(F.transform("toks", lambda t, i: F.when(is_end(t), i)), lambda i: i.isNotNull()),
-                lambda i: i + 1,
-            ),
-        ),
-    )
 
-    def row(ends: Column, starts: Column, tok: Column, i: Column) -> Column:
-        sent = F.coalesce(F.get(ends, i - 1), F.lit(0))
-        first = F.get(starts, sent)
-        return F.struct(
-            sent.cast("bigint").alias("sent"),
-            i.cast("bigint").alias("i"),
-            tok.alias("tok"),
-            (first + F.shiftright(i - first, 1)).cast("bigint").alias("head"),
+    def starts(toks: Column) -> Column:
+        ends = F.filter(F.transform(toks, lambda t, i: F.when(is_end(t), i + 1)), lambda i: i.isNotNull())
+        return F.concat(F.array(F.lit(0)), ends)
+
+    def sentence(toks: Column, firsts: Column, first: Column, sent: Column) -> Column:
+        stop = F.coalesce(F.get(firsts, sent + 1), F.size(toks))
+        return F.transform(
+            F.slice(toks, first + 1, stop - first),
+            lambda tok, k: F.struct(
+                sent.cast("bigint").alias("sent"),
+                (first + k).cast("bigint").alias("i"),
+                tok.alias("tok"),
+                (first + F.shiftright(k, 1)).cast("bigint").alias("head"),
+            ),
         )
 
     rows = bind(
-        F.col("ends"),
-        lambda ends: bind(
-            F.col("starts"),
-            lambda starts: F.transform("toks", lambda t, i: row(ends, starts, t, i)),
+        F.col("toks"),
+        lambda toks: bind(
+            starts(toks),
+            lambda firsts: F.flatten(
+                F.transform(firsts, lambda first, sent: sentence(toks, firsts, first, sent))
+            ),
         ),
     )
     exploded = docs.select("doc_id", F.explode_outer(rows).alias("r")).select("doc_id", "r.*")

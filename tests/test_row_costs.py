@@ -47,3 +47,33 @@ def test_trigger_spans_of_a_text(spark):
                                "doc_id bigint, text string")
     got = {r.doc_id: [tuple(s) for s in r.s] for r in df.select("doc_id", q.trigger_spans(F.col("text"), 40).alias("s")).collect()}
     assert got == {1: [("negated", 2, 42), ("asserted", 18, 58)], 2: [], 3: []}
+
+
+def test_dep_match_removes_doubles_once(spark):
+    rows = [(1, 0, i, i // 2, w, "amod") for i, w in enumerate("a b a c".split())]
+    deps = spark.createDataFrame(rows, "doc_id bigint, sent bigint, i bigint, head bigint, tok string, dep string")
+    child = lambda left, right: [
+        {"RIGHT_ID": "a", "RIGHT_ATTRS": left}, {"LEFT_ID": "a", "REL_OP": ">", "RIGHT_ID": "b", "RIGHT_ATTRS": right}]
+    patterns = {"one": child({"DEP": "amod"}, {"DEP": "amod"}), "two": child({"TEXT": "b"}, {})}
+    found = relations.dep_match(deps, patterns)
+    assert sorted(map(tuple, found.collect())) == [(1, 0, 1), (1, 1, 2), (1, 1, 3)]
+    assert plan(found).count("Aggregate") == 1
+    both = relations.match_patterns(deps, patterns)
+    assert sorted((r.pattern, r.tok_i, r.tok_j) for r in both.collect()) == [
+        ("one", 0, 1), ("one", 1, 2), ("one", 1, 3), ("two", 1, 2), ("two", 1, 3)]
+
+
+def test_sentences_need_no_running_sum(spark, tmp_path):
+    texts = ["", "a", "a b. c d e! ?", "..", "no end here"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    deps = q.dependencies(spark, str(tmp_path))
+    expected = set()
+    for d, text in enumerate(texts):
+        words, sent, first = text.replace(".", " .").replace("!", " !").split(), 0, 0
+        for i, w in enumerate(words):
+            expected.add((d, sent, i, w, first + (i - first) // 2))
+            if w in (".", "!", "?"):
+                sent, first = sent + 1, i + 1
+    rows = [(r.doc_id, r.sent, r.i, r.tok, r.head) for r in deps.collect()]
+    assert len(rows) == len(expected) and set(rows) == expected
+    assert "shiftleft" not in plan(deps)
