@@ -2,10 +2,8 @@
 
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
-from reportweave.functions.arrays import running_max, running_sum
 from reportweave.functions.entities import NegationRules
 from reportweave.operators import annotation, relations
 from reportweave.plans import queries as q
@@ -77,3 +75,10 @@ def test_sentences_need_no_running_sum(spark, tmp_path):
     rows = [(r.doc_id, r.sent, r.i, r.tok, r.head) for r in deps.collect()]
     assert len(rows) == len(expected) and set(rows) == expected
     assert "shiftleft" not in plan(deps)
+
+
+def test_tags_of_words_need_no_offsets(spark, tmp_path):
+    spark.createDataFrame([(1, "the of the end")], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    tags = q.iob_tag_rows(spark, str(tmp_path))
+    assert [r.i for r in tags.orderBy("i").collect()] == [0, 1, 2, 3]
+    assert plan(tags).count("shiftleft") == plan(q.mentions(spark, str(tmp_path))).count("shiftleft")
