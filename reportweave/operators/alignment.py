@@ -64,7 +64,7 @@ def iob_table(tokens: DataFrame, mentions: DataFrame, doc_id: str = "doc_id") ->
 
 def solid(text: Column) -> Column:
     """The characters of a text that are no blanks."""
-    return F.regexp_replace(text, f"[{vocab.BLANK_RANGES}]+", "")
+    return F.regexp_replace(text, vocab.JAVA_BLANK_PATTERN, "")
 
 
 def common_spans(tokens: Column, spans: Column, label: str = "entity_group") -> Column:
@@ -72,7 +72,8 @@ def common_spans(tokens: Column, spans: Column, label: str = "entity_group") ->
 
     ``tokens`` is an array of strings, ``spans`` one of structs with ``tok_start`` and ``tok_end``
     (exclusive). However a text is spaced and cut into tokens, the same characters have the same
-    counts. Running sums over the tokens of the row, so linear in them but for a logarithm.
+    counts. Between sorted, disjoint spans only the distances are counted and summed; spans in any
+    other order are looked up in the running sum over all tokens.
     """
 
     def placed(ends: Column) -> Column:
@@ -86,4 +87,32 @@ def common_spans(tokens: Column, spans: Column, label: str = "entity_group") ->
             ),
         )
 
-    return bind(running_sum(F.transform(tokens, lambda t: F.length(solid(t)))), placed)
+    def stepped(every: Column, edges: Column) -> Column:
+        before = lambda k: F.coalesce(F.get(edges, k - 1), F.lit(0))
+        between = lambda e, k: F.slice(every, before(k) + 1, e - before(k))
+        gaps = F.transform(edges, lambda e, k: F.length(solid(F.array_join(between(e, k), ""))))
+        return bind(
+            running_sum(gaps),
+            lambda ends: F.transform(
+                spans,
+                lambda s, k: F.struct(
+                    F.get(ends, 2 * k).alias("start"),
+                    F.get(ends, 2 * k + 1).alias("end"),
+                    s[label].alias("label"),
+                ),
+            ),
+        )
+
+    def either(every: Column, edges: Column) -> Column:
+        rises = F.forall(
+            F.transform(edges, lambda e, k: e >= F.coalesce(F.get(edges, k - 1), F.lit(0))),
+            lambda r: r,
+        )
+        inside = F.coalesce(F.get(edges, F.size(edges) - 1), F.lit(0)) <= F.size(every)
+        lengths = F.transform(every, lambda t: F.length(solid(t)))
+        return F.when(rises & inside, stepped(every, edges)).otherwise(
+            bind(running_sum(lengths), placed)
+        )
+
+    sides = F.flatten(F.transform(spans, lambda s: F.array(s["tok_start"], s["tok_end"])))
+    return bind(tokens, lambda every: bind(sides, lambda edges: either(every, edges)))

@@ -7,8 +7,10 @@ a constant, summed before the shuffle; the tables of scores behind them have one
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reportweave import vocab
@@ -382,11 +384,18 @@ def span_scores(gold: DataFrame, pred: DataFrame, doc_id: str = "doc_id") -> Dat
         .groupBy(*key).agg(F.max("g").alias("g"), F.max("p").alias("p"))
     )
     long = spans.select(F.explode(F.array(F.col("label"), F.lit("all"))).alias("label"), "g", "p")
-    counts = long.groupBy("label").agg(
+    return _span_ratios(long.groupBy("label").agg(*_span_counts()))
+
+
+def _span_counts() -> list[Column]:
+    return [
         F.count_if((F.col("g") == 1) & (F.col("p") == 1)).alias("tp"),
         F.count_if((F.col("g") == 0) & (F.col("p") == 1)).alias("fp"),
         F.count_if((F.col("g") == 1) & (F.col("p") == 0)).alias("fn"),
-    )
+    ]
+
+
+def _span_ratios(counts: DataFrame) -> DataFrame:
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return counts.select(
         "label", "tp", "fp", "fn",
@@ -417,16 +426,57 @@ def tokenised_span_scores(
         alignment.common_spans(held, F.col(spans), label).alias("_spans"),
     )
     gold, pred = side(gold), side(pred)
+    if on_difference == "error":
+        return _scores_or_error(gold, pred, doc_id)
     digests = gold.select(doc_id, "_characters").unionByName(pred.select(doc_id, "_characters"))
     differ = digests.groupBy(doc_id).agg(
         F.min("_characters").alias("low"), F.max("_characters").alias("high")
     ).where("low <> high").select(doc_id)
-    if on_difference == "skip":
-        gold, pred = (df.join(differ, doc_id, "left_anti") for df in (gold, pred))
+    gold, pred = (df.join(differ, doc_id, "left_anti") for df in (gold, pred))
     long = lambda df: df.select(doc_id, F.inline("_spans"))
-    scores = span_scores(long(gold), long(pred), doc_id)
-    if on_difference == "skip":
-        return scores
-    first = differ.agg(F.min(F.col(doc_id).cast("string"))).scalar()
-    problem = F.raise_error(F.concat(F.lit("the sides have different characters in document "), first))
-    return scores.where(F.when(first.isNotNull(), problem.cast("boolean")).otherwise(F.lit(True)))
+    return span_scores(long(gold), long(pred), doc_id)
+
+
+def _scores_or_error(gold: DataFrame, pred: DataFrame, doc_id: str) -> DataFrame:
+    """``span_scores`` of ``_spans``, an error if the ``_characters`` of a document differ.
+
+    Each document adds a row with its characters to the rows of its spans, so that one grouping
+    finds equal spans and different documents, and both sides are worked out once.
+    """
+    # Numbers of 60 bits, as Spark groups by hashing only where what it keeps has a fixed width.
+    quarters = range(4)
+    digits = lambda k: F.conv(F.substring("_characters", 15 * k + 1, 15), 16, 10).cast("bigint")
+    whole = F.struct(
+        F.lit(True).alias("_whole"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"),
+        F.lit(None).cast("string").alias("label"), *[digits(k).alias(f"_{k}") for k in quarters],
+    )
+    spans = F.transform("_spans", lambda s: F.struct(
+        F.lit(False).alias("_whole"), s["start"].alias("start"), s["end"].alias("end"),
+        s["label"].alias("label"), *[F.lit(None).cast("bigint").alias(f"_{k}") for k in quarters],
+    ))
+    rows = F.inline(F.concat(F.array(whole), F.coalesce(spans, F.array())))
+    side = lambda df, g, p: df.select(doc_id, F.lit(g).alias("g"), F.lit(p).alias("p"), rows)
+    found = side(gold, 1, 0).unionByName(side(pred, 0, 1)).groupBy(
+        doc_id, "_whole", "start", "end", "label"
+    ).agg(
+        *[F.max(F.when(~F.col("_whole"), F.col(c))).alias(c) for c in ("g", "p")],
+        *[F.min(f"_{k}").alias(f"low{k}") for k in quarters],
+        *[F.max(f"_{k}").alias(f"high{k}") for k in quarters],
+    )
+    everywhere = F.lit("all")
+    labels = F.when(F.col("_whole"), F.array(everywhere)).otherwise(F.array(F.col("label"), everywhere))
+    other = reduce(or_, [F.col(f"low{k}") != F.col(f"high{k}") for k in quarters])
+    differs = F.when(other, F.col(doc_id).cast("string"))
+    counts = found.select(F.explode(labels).alias("label"), "g", "p", differs.alias("_differs")).groupBy(
+        "label"
+    ).agg(*_span_counts(), F.min("_differs").alias("_differs"))
+    # A few rows, one per label: the first document that differs is known to each of them.
+    first = F.min("_differs").over(Window.partitionBy(F.lit(0)))
+    problem = F.raise_error(F.concat(F.lit("the sides have different characters in document "), F.col("_first")))
+    some = (F.col("tp") + F.col("fp") + F.col("fn")) > 0
+    checked = counts.withColumn("_first", first).where(
+        F.when(~some, F.lit(False))
+        .when(F.col("_first").isNotNull(), problem.cast("boolean"))
+        .otherwise(F.lit(True))
+    )
+    return _span_ratios(checked)

@@ -118,4 +118,15 @@ TOKEN_PATTERN = rf"(\p{{L}}+|\p{{N}}+|[^\p{{L}}\p{{N}}{BLANK_RANGES}])"
 # A token together with the blanks behind it: these pieces cover a text with no leading blanks.
 PIECE_PATTERN = rf"{TOKEN_PATTERN}[{BLANK_RANGES}]*"
 
+# The same tokens and pieces for Java alone, which reads them faster: no group, nothing tried twice, and
+# blanks below U+0100 one by one, as those are looked up in a table. What is no letter and no number
+# after the first two branches needs no test for either; a piece never begins with a blank.
+_JAVA_BLANKS = (
+    r" \x09\x0a\x0b\x0c\x0d\x1c\x1d\x1e\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+JAVA_TOKEN_PATTERN = rf"\p{{L}}++|\p{{N}}++|[^{_JAVA_BLANKS}]"
+JAVA_PIECE_PATTERN = rf"(?:\p{{L}}++|\p{{N}}++|(?s:.))[{_JAVA_BLANKS}]*+"
+JAVA_BLANK_PATTERN = rf"[{_JAVA_BLANKS}]++"
+
 SENTENCE_ENDS = (".", "!", "?")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from against_sql import compare
 from reportweave import vocab
 from reportweave.functions import labels
-from reportweave.operators import classifier, evaluation, tasks
+from reportweave.operators import alignment, classifier, evaluation, tasks
 
 KEEP = ["a", "b", "c", "d"]
 DOCS = [(1, ["a", "b"], ["a"]), (2, ["a"], ["a", "c"]), (3, [], []), (4, ["b", "z"], ["a", "d", "z"])]
@@ -173,6 +173,26 @@ def test_sides_with_other_characters(spark):
         evaluation.tokenised_span_scores(gold, pred, on_difference="drop")
 
 
+def test_each_side_is_read_once(spark, tmp_path):
+    for name in ("gold", "pred"):
+        rows_ = [(1, ["a", "b"], [(0, 1, "x")]), (None, ["c"], [(0, 1, "y")]), (3, ["d"], [])]
+        spark.createDataFrame(rows_, TOKENISED).write.parquet(str(tmp_path / name))
+    scores = evaluation.tokenised_span_scores(*(spark.read.parquet(str(tmp_path / n)) for n in ("gold", "pred")))
+    assert scores._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    assert scores._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("FileScan parquet") == 2
+    assert rows(scores, "tp", "fp", "fn") == {"x": (1, 0, 0), "y": (1, 0, 0), "all": (2, 0, 0)}
+
+
+def test_spans_in_any_order_are_placed(spark):
+    tokens = ["a ", "\u00a0", "bc", "\u2003d", "", "\u00e9f"]
+    spans = [[(0, 1), (2, 3), (3, 6)], [(2, 4), (0, 3)], [(0, 6), (1, 2)], [(0, 0), (6, 6)], [], None]
+    df = spark.createDataFrame([(i, tokens, None if s is None else [(*e, "x") for e in s]) for i, s in enumerate(spans)], TOKENISED)
+    placed = alignment.common_spans(F.col("tokens"), F.col("ents"))
+    count = lambda k: len("".join("".join(tokens[:k]).split()))
+    got = {r.doc_id: r.s and [tuple(s) for s in r.s] for r in df.select("doc_id", placed.alias("s")).collect()}
+    assert got == {i: s and [(count(a), count(b), "x") for a, b in s] for i, s in enumerate(spans)}
+
+
 def test_scores_of_texts_spaced_apart(spark):
     compare(spark, "span_scores_spaced")
 
