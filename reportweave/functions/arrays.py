@@ -97,9 +97,45 @@ def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column
     return bind(values, scan)
 
 
+SUM_BLOCK = 16
+
+
 def running_sum(values: Column) -> Column:
-    """Sums of all prefixes of an integer array."""
-    return _running(values, lambda v, left: v + F.coalesce(left, F.lit(0)))
+    """Sums of all prefixes of an integer array; nulls do not count.
+
+    Blocks are summed one by one, then moved by the sum of all blocks before. Only the sums of whole
+    blocks are scanned by doubling, so nearly all of the work is linear in the array.
+    """
+    or_zero = lambda v: F.coalesce(v, F.lit(0))
+
+    def within(block: Column) -> Column:
+        add = lambda sums, v: F.array_append(sums, or_zero(v) + or_zero(F.get(sums, F.size(sums) - 1)))
+        return F.aggregate(block, F.slice(block, F.lit(1), F.lit(0)), add)
+
+    def moved(blocks: Column, totals: Column) -> Column:
+        move = lambda block, done: F.transform(block, lambda v: v + done)
+        return F.flatten(
+            F.transform(
+                blocks, lambda block, b: bind(or_zero(F.get(totals, b - 1)), lambda done: move(block, done))
+            )
+        )
+
+    def scan(arr: Column) -> Column:
+        last_block = F.floor((F.size(arr) - 1) / SUM_BLOCK).cast("int")
+        block = lambda b: bind(F.slice(arr, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK)), within)
+        summed = bind(
+            F.transform(F.sequence(F.lit(0), last_block), block),
+            lambda blocks: bind(
+                _running(
+                    F.transform(blocks, lambda sums: F.element_at(sums, -1)),
+                    lambda v, left: v + or_zero(left),
+                ),
+                lambda totals: moved(blocks, totals),
+            ),
+        )
+        return F.when(F.size(arr) < 1, arr).otherwise(summed)
+
+    return bind(values, scan)
 
 
 def running_max(values: Column) -> Column:

@@ -17,7 +17,7 @@ from reportweave.functions.arrays import bind, running_sum
 def pieces(text: Column) -> Column:
     """``ARRAY<STRING>``: every token with the blanks behind it; leading blanks are left out."""
     body = F.ltrim(F.coalesce(text, F.lit("")), F.lit(vocab.BLANKS))
-    return F.regexp_extract_all(body, F.lit(vocab.PIECE_PATTERN), F.lit(0))
+    return F.regexp_extract_all(body, F.lit(vocab.JAVA_PIECE_PATTERN), F.lit(0))
 
 
 def leading_blanks(text: Column) -> Column:
@@ -26,12 +26,13 @@ def leading_blanks(text: Column) -> Column:
 
 
 def token_of(piece: Column) -> Column:
-    return F.regexp_extract(piece, vocab.TOKEN_PATTERN, 1)
+    """The token of a piece, which is the piece without the blanks behind it."""
+    return F.rtrim(piece, F.lit(vocab.BLANKS))
 
 
 def words(text: Column) -> Column:
     """``ARRAY<STRING>``: the tokens of a text, without offsets."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(vocab.TOKEN_PATTERN), F.lit(1))
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(vocab.JAVA_TOKEN_PATTERN), F.lit(0))
 
 
 def tokens(text: Column) -> Column:

@@ -86,3 +86,15 @@ def test_mask_ranges_against_brute_force(spark):
 def test_section_dump(spark):
     df = spark.sql("select 'full' text, array(named_struct('section','report_body','text','b')) s")
     assert df.select(tx.section_dump(F.col("text"), F.col("s"))).head()[0] == "full\n\nreport_body\nb"
+
+
+def test_pieces_and_sums_of_long_texts(spark):
+    texts = ["", " ", "\u00a0a\u3000b", "x1\t\u0085,\n\n\u00e9t\u00e9 \U0001f600\u00b2 \u0663. ", "w, " * 40 + "end"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = df.select("text", tx.tokens(F.col("text")).alias("t"), tx.words(F.col("text")).alias("w")).collect()
+    for r in got:
+        assert [t.tok for t in r.t] == r.w and all(r.text[t.start:t.end] == t.tok for t in r.t)
+        assert "".join(r.w) == "".join(r.text.split())
+    n = 16 * 3 + 1
+    sums = spark.range(1).select(running_sum(F.sequence(F.lit(1), F.lit(n))).alias("s")).first().s
+    assert sums == [k * (k + 1) // 2 for k in range(1, n + 1)]
