@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportweave.sources.stored import store
-
 # ---------------------------------------------------------------- patterns
 
 
-def _link(op: str, a: Mapping[str, Column], b: Mapping[str, Column]) -> list[Column]:
+Values = Mapping[str, np.ndarray]
+
+
+def _link(op: str, a: Values, b: Values) -> list[np.ndarray]:
     """Conditions between a bound node A and a new node B; an equality wherever there is one."""
     child = [b["head"] == a["i"], b["i"] != a["i"]]
     parent = [b["i"] == a["head"], b["i"] != a["i"]]
@@ -90,38 +94,26 @@ _EQUALITY = {
 }
 _ANCESTRY = (">>", "<<")
 MAX_NODES = 60  # bits of one number
+PAIRS = 100_000  # pairs of nodes that a task holds at once, beyond those of one node
+_SORTED = ("doc", "sent", "i", "head", "fits")
 
 
-def _holds(op: str, a: Column, b: Column) -> Column:
-    """Whether the link ``op`` holds between a bound node and a new one."""
+def _holds(op: str, a: Values, b: Values) -> np.ndarray:
+    """Whether the link ``op`` holds between bound nodes and new ones."""
     if op in _ANCESTRY:
         above, below = (a, b) if op == ">>" else (b, a)
         return (below["pre"] > above["pre"]) & (below["pre"] <= above["last"])
-    condition = F.lit(True)
-    for c in _link(op, a, b):
-        condition = condition & c
-    return condition
+    return reduce(and_, _link(op, a, b))
 
 
-def _matches(
-    tokens: DataFrame,
-    patterns: Mapping[str, Sequence[Mapping[str, object]]],
-    doc_id: str = "doc_id",
-) -> DataFrame:
-    """``pattern, doc_id, tok_i, tok_j``: first and last node of every match of all patterns.
+Step = tuple[Mapping[str, object], int, str]  # attributes, place of the bound node, link
 
-    ``tokens``: ``doc_id, sent, i, head, tok, dep, pos`` and other attributes. A pattern is a list
-    of nodes with ``RIGHT_ID`` and ``RIGHT_ATTRS``; all but the first name a bound node
-    (``LEFT_ID``) and a link (``REL_OP``). A token becomes one row per node that it fits, of any
-    pattern, in one pass. Then all patterns grow together, node by node: one join on document,
-    sentence, pattern and the equality of the link, so there are as many joins as the longest
-    pattern has links. Ancestry is a comparison of two intervals (``tree_numbers``), which are
-    computed only where a pattern asks for it.
-    """
-    plans: list[tuple[str, list[tuple[Mapping[str, object], int, str]]]] = []
+
+def _plans(patterns: Mapping[str, Sequence[Mapping[str, object]]]) -> list[list[Step]]:
+    plans = []
     for title, pattern in patterns.items():
         names: list[str] = []
-        steps = []
+        steps: list[Step] = []
         for node in pattern:
             left, op = 0, ""
             if names:
@@ -132,64 +124,184 @@ def _matches(
             steps.append((node.get("RIGHT_ATTRS", {}), left, op))
         if not steps:
             raise ValueError(f"pattern {title} has no node")
-        plans.append((title, steps))
+        plans.append(steps)
     if not plans:
         raise ValueError("no patterns")
+    return plans
+
+
+def _first_rows(batch: pa.RecordBatch) -> np.ndarray:
+    """Rows where a sentence begins, in rows sorted by document and sentence; a null key is alone."""
+    other = np.ones(batch.num_rows, bool)
+    for name in ("doc", "sent"):
+        key = batch.column(name)
+        differs = pc.fill_null(pc.not_equal(key[1:], key[:-1]), True).to_numpy(zero_copy_only=False)
+        other[1:] = differs if name == "doc" else other[1:] | differs
+    return np.flatnonzero(other)
+
+
+def _whole_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, cut only between sentences."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        # With the last row held, to see whether the sentence goes on.
+        joint = pa.concat_batches([*(h.slice(h.num_rows - 1) for h in held[-1:]), batch])
+        begins = int(_first_rows(joint)[-1]) - min(len(held), 1)
+        if begins < 0 or (not held and begins == 0):
+            held.append(batch)
+            continue
+        if held or begins:
+            yield pa.concat_batches([*held, batch.slice(0, begins)])
+        held = [batch.slice(begins)]
+    if held:
+        yield pa.concat_batches(held)
+
+
+class _Tokens:
+    """The tokens of whole sentences, and where those that fit a node meet a value."""
+
+    def __init__(self, batch: pa.RecordBatch, asks: bool) -> None:
+        starts = _first_rows(batch)
+        values = {c: batch.column(c) for c in ("i", "head")}
+        if asks and any(v.null_count for v in values.values()):
+            raise ValueError("a token has no number or no head")
+        # A null meets nothing.
+        self.known = {c: v.is_valid().to_numpy(zero_copy_only=False) for c, v in values.items()}
+        self.of = {c: pc.fill_null(v, 0).to_numpy().astype(np.int64) for c, v in values.items()}
+        self.fits = batch.column("fits").to_numpy()
+        self.sentence = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, batch.num_rows)))
+        self.numbers = np.unique(np.concatenate(list(self.of.values())))
+        if asks:
+            parent = _parents(self.of["i"], self.of["head"], starts, lambda s: f"sentence {batch.column('doc')[int(starts[s])]}")
+            self.of["pre"], self.of["last"], _ = _walk(parent, starts)
+
+    def at(self, tokens: np.ndarray) -> Values:
+        return {c: v[tokens] for c, v in self.of.items()}
+
+    def fitting(self, n: int) -> np.ndarray:
+        return np.flatnonzero(self.fits >> n & 1)
+
+    def _place(self, tokens: np.ndarray, value: np.ndarray, side: str = "left") -> np.ndarray:
+        """A number that sorts by sentence, then by the place of the value among all ``i`` and ``head``."""
+        return self.sentence[tokens] * (len(self.numbers) + 1) + np.searchsorted(self.numbers, value, side)
+
+    def met(self, bound: np.ndarray, new: np.ndarray, op: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``new`` in an order in which those that may be linked to a bound node are a range, and the ranges."""
+        linked = self.known["i"][bound]
+        new = new[self.known["i"][new]]
+        if op in _EQUALITY:
+            wanted, column = _EQUALITY[op]
+            new = new[self.known[column][new]]
+            keys = self._place(new, self.of[column][new])
+            value = wanted(self.at(bound))
+            low, high = self._place(bound, value), self._place(bound, value, "right")
+            if op[0] in "<$":
+                linked = linked & self.known["head"][bound]
+        elif op in (".*", ";*"):
+            keys = self._place(new, self.of["i"][new])
+            own, wide = self._place(bound, self.of["i"][bound]), len(self.numbers) + 1
+            first = self.sentence[bound] * wide
+            low, high = (own + 1, first + wide) if op == ".*" else (first, own)
+        else:
+            wide = len(self.sentence) + 1
+            keys = self.sentence[new] * wide + self.of["pre"][new]
+            first, pre = self.sentence[bound] * wide, self.of["pre"][bound]
+            low, high = (first + pre + 1, first + self.of["last"][bound] + 1) if op == ">>" else (first, first + pre)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        low, high = np.searchsorted(keys, low), np.searchsorted(keys, high)
+        return new[order], low, np.where(linked, high - low, 0)
+
+
+def _parts(counts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of nodes with ``PAIRS`` pairs together, or one node that has more."""
+    ends, start = np.cumsum(counts), 0
+    while start < len(counts):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + PAIRS, "right")))
+        yield start, stop
+        start = stop
+
+
+def _grown(
+    tokens: _Tokens, steps: Sequence[Step], first_bit: int, k: int, nodes: Sequence[np.ndarray]
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """First and last tokens of the matches that begin with ``nodes``, one array per bound node."""
+    if k == len(steps):
+        yield nodes[0], nodes[-1]
+        return
+    _, left, op = steps[k]
+    new, low, counts = tokens.met(nodes[left], tokens.fitting(first_bit + k), op)
+    some = np.flatnonzero(counts)
+    for start, stop in _parts(counts[some]):
+        at = some[start:stop]
+        number = counts[at]
+        ends = np.cumsum(number)
+        found = new[np.repeat(low[at] - ends + number, number) + np.arange(ends[-1])]
+        before = [np.repeat(n[at], number) for n in nodes]
+        held = _holds(op, tokens.at(before[left]), tokens.at(found))
+        yield from _grown(tokens, steps, first_bit, k + 1, [*(n[held] for n in before), found[held]])
 
-    asks = any(op in _ANCESTRY for _, steps in plans for _, _, op in steps)
-    rows = tree_numbers(tokens, doc_id) if asks else tokens
-    nodes = [(p, k, *step) for p, (_, steps) in enumerate(plans) for k, step in enumerate(steps)]
+
+def _matches(
+    tokens: DataFrame,
+    patterns: Mapping[str, Sequence[Mapping[str, object]]],
+    doc_id: str = "doc_id",
+) -> DataFrame:
+    """``pattern, doc_id, tok_i, tok_j``: first and last node of every match of all patterns.
+
+    ``tokens``: ``doc_id, sent, i, head, tok, dep, pos`` and other attributes. A pattern is a list
+    of nodes with ``RIGHT_ID`` and ``RIGHT_ATTRS``; all but the first name a bound node
+    (``LEFT_ID``) and a link (``REL_OP``). Which nodes of all patterns a token fits is one number,
+    worked out where the token is read. Only that number, its place and its head are shuffled,
+    once, by document and sentence. Sorted by them, the sentences of a batch are matched together
+    with numpy: a node meets the next ones by a search for the equality of the link, or for the
+    range of numbers that a link without one asks for. Pairs of nodes are held in parts. Ancestry is a
+    comparison of two intervals (``_walk``), which are computed only where a pattern asks for it.
+    """
+    plans = _plans(patterns)
+    asks = any(op in _ANCESTRY for steps in plans for _, _, op in steps)
+    nodes = [attributes for steps in plans for attributes, _, _ in steps]
     if len(nodes) > MAX_NODES:
         raise ValueError(f"{len(nodes)} nodes in one pass; match at most {MAX_NODES} together")
-    # One bit per node that a token fits; only tokens with a bit become rows.
+    # One bit per node that a token fits.
     fits = F.lit(0).cast("bigint")
-    for n, (_, _, attributes, _, _) in enumerate(nodes):
+    for n, attributes in enumerate(nodes):
         fits = fits + F.when(_fits(attributes), F.lit(1 << n).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-    key = F.lit(0).cast("bigint")
-    for n, (_, _, _, _, op) in enumerate(nodes):
-        if op in _EQUALITY:
-            key = F.when(F.col("n") == n, F.col(_EQUALITY[op][1]).cast("bigint")).otherwise(key)
-    of = lambda which: F.get(F.array(*[F.lit(x[which]) for x in nodes]), F.col("n"))
-    fields = ["i", "head", *(("pre", "last") if asks else ())]
-    fitting = rows.select(doc_id, "sent", *fields, fits.alias("fits")).where("fits <> 0")
-    found = store(fitting, "pattern-nodes")
-
-    def step(k: int) -> DataFrame:
-        """One row per token and pattern whose node ``k`` it fits."""
-        own = [n for n, x in enumerate(nodes) if x[1] == k]
-        some = F.col("fits").bitwiseAND(F.lit(sum(1 << n for n in own)).cast("bigint")) != 0
-        ones = F.filter(
-            F.array(*[F.lit(n) for n in own]), lambda n: F.call_function("bit_get", F.col("fits"), n) == 1
-        )
-        pattern = F.get(F.array(*[F.lit(x[0]) for x in nodes]), F.col("n"))
-        return found.where(some).select("*", F.explode(ones).alias("n")).select(
-            doc_id, "sent", pattern.alias("p"), key.alias("key"),
-            F.struct(*fields).alias("node"),
-        )
-
-    matches = step(0).select(doc_id, "sent", "p", F.array("node").alias("nodes"))
-    for k in range(1, max(len(steps) for _, steps in plans)):
-        wanted, holds, ended = F.lit(None).cast("bigint"), F.lit(False), F.lit(True)
-        for p, (_, steps) in enumerate(plans):
-            if len(steps) <= k:
-                continue
-            _, left, op = steps[k]
-            bound = F.get("nodes", F.lit(left))
-            own = F.col("p") == p
-            ended = ended & ~own
-            equal = _EQUALITY[op][0](bound) if op in _EQUALITY else F.lit(0)
-            wanted = F.when(own, equal.cast("bigint")).otherwise(wanted)
-            holds = F.when(own, _holds(op, bound, F.col("node"))).otherwise(holds)
-        # Patterns that have ended here have no new node and pass through the outer join.
-        grown = matches.withColumn("key", wanted).join(step(k), [doc_id, "sent", "p", "key"], "left")
-        matches = grown.where(ended | F.coalesce(holds, F.lit(False))).select(
-            doc_id, "sent", "p",
-            F.when(F.col("node").isNull(), F.col("nodes")).otherwise(F.array_append("nodes", F.col("node"))).alias("nodes"),
-        )
-    titles = F.element_at(F.array(*[F.lit(title) for title, _ in plans]), F.col("p") + 1)
-    return matches.select(
-        titles.alias("pattern"), doc_id, F.get("nodes", F.lit(0))["i"].alias("tok_i"),
-        F.element_at("nodes", -1)["i"].alias("tok_j"),
+    i, head = F.col("i").cast("bigint"), F.col("head").cast("bigint")
+    rows = tokens.select(F.col(doc_id).alias("doc"), "sent", i.alias("i"), head.alias("head"), fits.alias("fits"))
+    if not asks:
+        rows = rows.where("fits <> 0")
+    keyless = F.col("doc").isNull() | F.col("sent").isNull()
+    keys = [F.col("doc"), F.col("sent")]
+    if all(len(steps) > 1 for steps in plans):
+        rows = rows.where(~keyless)  # without both keys a token is linked with nothing
+    else:
+        keys.append(F.when(keyless, F.xxhash64("i", "head", "fits")))
+        rows = rows.withColumn("head", F.when(keyless, F.col("i")).otherwise(F.col("head")))
+    sentences = rows.repartition(*keys).sortWithinPartitions(*_SORTED)
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_sentences(batches):
+            known = _Tokens(batch, asks)
+            bit = 0
+            for p, steps in enumerate(plans):
+                for first, last in _grown(known, steps, bit, 1, [known.fitting(bit)]):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(first), p, np.int32)),
+                         *(batch.column(c).take(pa.array(x)) for c, x in (("doc", first), ("i", first), ("i", last)))],
+                        ["p", "doc", "tok_i", "tok_j"],
+                    )
+                bit += len(steps)
+
+    kinds = dict(tokens.dtypes)
+    found = sentences.mapInArrow(match, f"p int, doc {kinds[doc_id]}, tok_i bigint, tok_j bigint")
+    titles = F.element_at(F.array(*[F.lit(title) for title in patterns]), F.col("p") + 1)
+    return found.select(
+        titles.alias("pattern"), F.col("doc").alias(doc_id),
+        *(F.col(c).cast(kinds["i"]).alias(c) for c in ("tok_i", "tok_j")),
     )
 
 

@@ -82,3 +82,43 @@ def test_tags_of_words_need_no_offsets(spark, tmp_path):
     tags = q.iob_tag_rows(spark, str(tmp_path))
     assert [r.i for r in tags.orderBy("i").collect()] == [0, 1, 2, 3]
     assert plan(tags).count("shiftleft") == plan(q.mentions(spark, str(tmp_path))).count("shiftleft")
+
+
+def test_patterns_shuffle_a_token_once(spark, monkeypatch):
+    """Sentences over many batches, doubles and nulls; no join, and one exchange before the doubles are removed."""
+    rnd = random.Random(3)
+    rows = []
+    for d, size in ((1, 40), (2, 3), (None, 6), (3, 25)):
+        for sent in (0, 1, None):
+            own = [(d, sent, i, rnd.choice([None, i, rnd.randrange(size)]), rnd.choice("abc"), rnd.choice("pq"))
+                   for i in range(size)]
+            rows += own + own[:4] + [(d, sent, None, 2, "a", "p")]
+    deps = spark.createDataFrame(rows, "doc_id bigint, sent bigint, i bigint, head bigint, tok string, dep string")
+    node = lambda name, **more: {"RIGHT_ID": name, **more}
+    x, y = node("x", RIGHT_ATTRS={"DEP": "p"}), {"RIGHT_ID": "y", "LEFT_ID": "x", "RIGHT_ATTRS": {"LOWER": "a"}}
+    patterns = {op: [x, y | {"REL_OP": op}] for op in (">", "<", ".", "$++", ".*", ";*")}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        found = relations.match_patterns(deps, patterns)
+        got = {tuple(r) for r in found.collect()}
+        lone = {tuple(r) for r in relations.match_patterns(deps, patterns | {"one": [x]}).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "Join" not in plan(found) and plan(found).count("RepartitionByExpression") == 1
+    linked = {
+        ">": lambda a, b: b[3] == a[2], "<": lambda a, b: a[3] is not None and b[2] == a[3],
+        ".": lambda a, b: b[2] == a[2] + 1, ".*": lambda a, b: b[2] > a[2], ";*": lambda a, b: b[2] < a[2],
+        "$++": lambda a, b: None not in (a[3], b[3]) and a[3] == b[3] != b[2] > a[2] != a[3],
+    }
+    pairs = [(a, b) for a in rows for b in rows if None not in (*a[:3], *b[:3]) and a[:2] == b[:2] and a[2] != b[2]
+             and a[5] == "p" and b[4] == "a"]
+    wanted = {(op, a[0], a[2], b[2]) for op, holds in linked.items() for a, b in pairs if holds(a, b)}
+    assert got == wanted and {w[0] for w in wanted} == set(linked)
+    assert lone == wanted | {("one", r[0], r[2], r[2]) for r in rows if r[5] == "p"}
+
+
+def test_pairs_of_nodes_are_held_in_parts(monkeypatch):
+    parts = lambda *counts: list(relations._parts(relations.np.array(counts)))
+    monkeypatch.setattr(relations, "PAIRS", 10)
+    assert parts(4, 6, 1, 30, 10, 9) == [(0, 2), (2, 3), (3, 4), (4, 5), (5, 6)]
+    assert parts() == []
