@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from reportweave.functions.entities import NegationRules
-from reportweave.operators import annotation, relations
+from reportweave.operators import annotation, grouping, relations
 from reportweave.plans import queries as q
 
 
@@ -122,3 +122,22 @@ def test_pairs_of_nodes_are_held_in_parts(monkeypatch):
     monkeypatch.setattr(relations, "PAIRS", 10)
     assert parts(4, 6, 1, 30, 10, 9) == [(0, 2), (2, 3), (3, 4), (4, 5), (5, 6)]
     assert parts() == []
+
+
+def test_pieces_of_a_document_are_shuffled_once(spark):
+    rows = [(1, 0, 0, "B-x", 1.0, 0, 4), (1, 0, 4, "O", 0.5, 4, 6), (1, 1, 7, "I-x", 0.5, 7, 9), (1, 2, 10, "O", 1.0, 10, 11),
+            (None, 0, 3, "I-y", 1.0, 3, 5), (None, 0, 3, "I-y", 1.0, 3, 5), (2, 5, None, "B-x", 1.0, 8, 9),
+            (3, 0, 1, "B-x", 1.0, None, 2), (3, 1, 2**62, "O", 1.0, 2**62, None), (3, 1, -1, None, None, -(2**62), 2**62)]
+    pieces = spark.createDataFrame(
+        rows, "doc_id bigint, word_id bigint, pos bigint, label string, score double, start bigint, end bigint")
+    words = grouping.word_labels(pieces)
+    assert {tuple(r) for r in words.collect()} == {
+        (1, 0, 0, "B-x", 1.0, 0, 6), (1, 1, 7, "I-x", 0.5, 7, 9), (1, 2, 10, "O", 1.0, 10, 11),
+        (None, 0, 3, "I-y", 1.0, 3, 5), (2, 5, None, None, None, 8, 9),
+        (3, 0, 1, "B-x", 1.0, None, 2), (3, 1, -1, None, None, -(2**62), 2**62)}
+    assert dict(words.dtypes)["start"] == "bigint"
+    whole = grouping.group_entities(words, index="word_id")
+    assert {(r.doc_id, r.ent_pos, r.entity_group, r.start, r.end) for r in whole.collect()} == {
+        (1, 0, "x", 0, 9), (None, 0, "y", 3, 5), (3, 0, "x", None, 2)}
+    first_plan = whole._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert first_plan.count("Exchange hashpartitioning") == 1
