@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from reportweave import vocab
 from reportweave.functions.arrays import bind, running_states
 from reportweave.operators.lookup import bounded_values, weighted_lookup
-from reportweave.operators.tagger import START, tag_rows
+from reportweave.operators.tagger import START
+from reportweave.sources.stored import store
 
 MAX_TAGS = 1_000  # the table of neighbours is held by every task: 8 MB at this bound
 SCALE = 1_000  # scores are whole numbers, so sums are exact in any order
@@ -36,25 +37,38 @@ def _score(part: Column, whole: Column) -> Column:
     return F.round(F.lit(float(SCALE)) * F.ln(part / whole)).cast("bigint")
 
 
+def _counts(examples: DataFrame, tokens: str, tags: str) -> DataFrame:
+    """``is_tok, tok, is_tag, prev, tag, n``: how often a token has a tag behind another tag.
+
+    A text with more tokens than tags has tokens without a tag, one with more tags has tags alone.
+    """
+    or_none = lambda c: F.coalesce(F.col(c), F.array().cast("array<string>"))
+    words = F.transform(or_none(tokens), lambda t: F.struct(t.alias("tok")))
+    # The start of a text counts as a tag that is never chosen.
+    steps = F.transform(
+        or_none(tags),
+        lambda t, i: F.struct(F.coalesce(F.get(F.col(tags), i - 1), F.lit(START)).alias("prev"), t.alias("tag")),
+    )
+    pair = lambda w, s: F.struct(
+        w.isNotNull().alias("is_tok"), w["tok"].alias("tok"),
+        s.isNotNull().alias("is_tag"), s["prev"].alias("prev"), s["tag"].alias("tag"),
+    )
+    rows = examples.select(F.inline(F.zip_with(words, steps, pair)))
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+
 def sequence_fit(
     examples: DataFrame, tokens: str = "tokens", tags: str = "ner_tags", doc_id: str = "doc_id"
 ) -> SequenceModel:
     """Counts tokens by tag, and tags by the tag before; more than ``MAX_TAGS`` tags are an error.
 
     A score is 1,000 times the logarithm of a smoothed share, rounded: of a token among those of
-    its tag, (n + 1/2) / (N + 1), and of a tag after another, (n + 1) / (N + number of tags).
+    its tag, (n + 1/2) / (N + 1), and of a tag after another, (n + 1) / (N + number of tags). The
+    examples are read once; all counts are sums of one stored table, of a row per token, tag and tag before.
     """
-    rows = tag_rows(examples, tokens, tags, doc_id)
-    pairs = rows.groupBy("tok", "tag").agg(F.count("*").alias("n"))
-    # The start of a text counts as a tag that is never chosen.
-    steps = examples.select(
-        F.explode(
-            F.transform(
-                tags,
-                lambda t, i: F.struct(F.coalesce(F.get(F.col(tags), i - 1), F.lit(START)).alias("prev"), t.alias("tag")),
-            )
-        ).alias("s")
-    ).groupBy("s.prev", "s.tag").agg(F.count("*").alias("n"))
+    counted = store(_counts(examples, tokens, tags), "tag-counts")
+    pairs = counted.where("is_tok").groupBy("tok", "tag").agg(F.sum("n").alias("n"))
+    steps = store(counted.where("is_tag").groupBy("prev", "tag").agg(F.sum("n").alias("n")), "tag-steps")
     seen = steps.select("tag")
     names = F.sort_array(F.array_union(bounded_values(seen, "tag", MAX_TAGS), F.array(F.lit(vocab.OUTSIDE))))
     id_of = lambda c: (F.array_position(names, F.col(c)) - 1).cast("int")

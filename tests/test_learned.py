@@ -142,3 +142,16 @@ def test_bayes_without_rows(spark):
 @pytest.mark.parametrize("name", ["tagger_decode", "classify_bayes"])
 def test_against_sql(spark, name):
     compare(spark, name)
+
+
+def test_fit_reads_examples_once(spark):
+    uneven = [(1, ["a", "b", None], ["O", "B-x"]), (2, ["a"], ["B-x", "I-x", "O"]), (3, None, ["O"]), (4, ["b"], None)]
+    examples = spark.createDataFrame(uneven, SHAPE + ", ner_tags array<string>")
+    model = sequence.sequence_fit(examples)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (model.emissions, model.transitions)]
+    assert not any("ner_tags" in p or "LogicalRDD" in p for p in plans)
+    assert {(r.tok, r.n) for r in model.emissions.collect()} == {("a", 2), ("b", 1)}
+    share = lambda n, of: round(1000 * log((n + 1) / (of + 3)))
+    got = {(r.prev, r.tag): r.score for r in model.transitions.collect()}
+    assert got["<s>", "O"] == share(2, 3) and got["B-x", "I-x"] == share(1, 1) and got["I-x", "O"] == share(1, 1)
+    assert got["O", "I-x"] is None and got["O", "B-x"] == share(1, 1)
